@@ -94,11 +94,11 @@ def encoder(rank_file: bytes, pattern: str) -> Encoder:
     return _built[key]
 
 
-def encode(df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows key, ids, decoded: each whole text's ids (packed, four little-endian bytes each) and the bytes they decode to.
+def encode(df: DataFrame, rank_path: str, pattern: str, columns: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The named columns, ids, decoded for each row: the whole text's ids (packed, four little-endian bytes each) and the bytes they decode to.
 
-    A null text counts as empty and has no ids; repeated rows stay; the key may be null; other columns are left out.
-    The rank file is read by the driver and sent along (its size is that of a vocabulary, not of the data).
+    A null text counts as empty and has no ids; repeated rows and nulls in other columns stay; columns that aren't named
+    are left out. The driver reads the rank file and sends it along (its size is that of a vocabulary, not of the data).
     """
     with open(rank_path, "rb") as f:
         sent = df.sparkSession.sparkContext.broadcast(f.read())
@@ -106,11 +106,11 @@ def encode(df: DataFrame, rank_path: str, pattern: str, key: str = "doc_id", tex
     def make() -> Any:
         own = encoder(sent.value, pattern)
 
-        def work(keys: list, texts: list[str]) -> list[list]:
-            ids = [own.encode(t) for t in texts]
-            return [keys, ids, [own.decode(x) for x in ids]]
+        def work(*given: list) -> list[list]:
+            ids = [own.encode(t) for t in given[-1]]
+            return [*given[:-1], ids, [own.decode(x) for x in ids]]
 
         return work
 
-    kind = df.schema[key].dataType.simpleString()
-    return map_blocks(df.select(F.col(key).alias("key"), F.col(text).alias("text")), make, f"key {kind}, ids binary, decoded binary").withColumnRenamed("key", key)
+    fields = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
+    return map_blocks(df.select(*(df[f"`{c}`"] for c in columns), F.col(text).alias("_encoded")), make, f"{fields}ids binary, decoded binary", len(columns))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import map_blocks
@@ -184,7 +184,7 @@ def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> D
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def reject(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows that score below the threshold, with all their columns."""
     names = docs.columns
     return score(docs, fit(docs, labels), names).where(F.col("score") < threshold).select(*(F.col(f"`{c}`") for c in names))

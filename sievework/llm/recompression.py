@@ -4,7 +4,8 @@ Rounds rename a token sequence: short runs of a symbol become one symbol, and so
 names makes the first a left and the second a right one. A name is a hash of what the symbol stands for, so all
 documents agree on it without exchanging a dictionary, and which symbols merge depends on them and their neighbours
 alone: inside two equal passages the symbols are equal but for a margin whose length MARGIN bounds. Each window of
-words is filed under the least of the names wholly inside its margins; equal windows are filed under equal names.
+words is filed under the least of the names wholly inside its margins, together with the words that the margins leave
+room for on both sides of that symbol; equal windows are filed under equal names.
 
 Windows next to each other that share a symbol make a context, known by its name and a hash of its words. Contexts that
 several documents share settle all their windows at once. Only where one name has several contexts are windows looked
@@ -151,8 +152,10 @@ class Parser:
         many = np.diff(first, append=len(chosen))
         from_word = at[first]
         sums = self.sums(hashes)
-        owner = doc[from_word]
-        return owner, from_word - (ends - counts)[owner], many, names[chosen[first]], self.passage(sums, from_word, from_word + many + window - 1)
+        owner, symbol = doc[from_word], chosen[first]
+        stop = np.append(start, total)[symbol + 1]
+        around = self.passage(sums, start[symbol] - MARGIN, stop + MARGIN)
+        return owner, from_word - (ends - counts)[owner], many, _mix(names[symbol], around), self.passage(sums, from_word, from_word + many + window - 1)
 
 
 def _signed(x: np.ndarray) -> pa.Array:

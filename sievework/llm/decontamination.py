@@ -14,45 +14,54 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .natives import let, lower_ascii
 
 WINDOW, GRAM = 13, 5
-#: Benchmark fingerprints up to which they are broadcast; each holds 21 words at most. Beyond, the join shuffles.
+#: Benchmark fingerprints up to which they are broadcast (none has more than 21 words); beyond, the join shuffles.
 BROADCAST_ROWS = 100_000
+#: Documents, and fingerprints in them, up to which those found are broadcast to pick out texts; beyond, texts are shuffled.
+BROADCAST_DOCS, BROADCAST_PAIRS = 100_000, 200_000
 #: A fingerprint is 33 bits of hash above 31 bits of position, so that the least hash is also the leftmost.
 _PLACE = 31
-_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A mark that no k-gram has; it brings each document's number of words along.
+_SENTINEL = -1
+# All of ASCII but letters and digits, one by one: Java tests such a class with a table.
+_BREAK = "[" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 
 
 def words(text: Column) -> Column:
-    return F.coalesce(F.array_remove(F.split(lower_ascii(text), _BREAK), ""), F.array().cast("array<string>"))
+    """In the case in which they stand; what counts is their form under lower_ascii()."""
+    return F.coalesce(F.array_remove(F.split(text, _BREAK), ""), F.array().cast("array<string>"))
 
 
-def count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(_WORD_ANY_CASE)), F.lit(0)).cast("long")
+def word_hashes(w: Column | str) -> Column:
+    """Hashes that are equal for words that are equal but for A-Z; lower() does more than that, which verification undoes."""
+    return F.transform(w, lambda x: F.xxhash64(F.lower(x)))
 
 
-def _fingerprints(word_hashes: Column, /, *, window: int) -> Column:
+def _fingerprints(hashes: Column, /, *, window: int) -> Column:
     """The winnowed fingerprints of all windows of so many words: hash << 31 | place of the k-gram, distinct."""
     gram = min(GRAM, window)
     width = window - gram + 1  # k-grams in a window
 
     def packed(h: Column, hs: Column, i: Column) -> Column:
         grams = F.xxhash64(F.lit(window), h, *(F.get(hs, i + k) for k in range(1, gram)))
-        return F.shiftleft(F.shiftright(grams, _PLACE), _PLACE).bitwiseOR(i.cast("long"))
+        return grams.bitwiseAND(F.lit(-1 << _PLACE)).bitwiseOR(i.cast("long"))
 
-    def least(span: int, values: Column) -> Column:
-        return let(values, lambda v: F.transform(v, lambda x, i: F.least(x, F.get(v, i + span))))
+    def least(values: Column, *steps: int) -> Column:
+        return let(values, lambda v: F.transform(v, lambda x, i: F.least(x, *(F.get(v, i + k) for k in steps))))
 
-    grams = let(word_hashes, lambda hs: F.transform(hs, lambda h, i: packed(h, hs, i)))
-    out = F.slice(grams, 1, F.greatest(F.size(word_hashes) - gram + 1, F.lit(0)))
+    grams = let(hashes, lambda hs: F.transform(hs, lambda h, i: packed(h, hs, i)))
+    out = F.slice(grams, 1, F.greatest(F.size(hashes) - gram + 1, F.lit(0)))
     have = 1
-    while have * 2 <= width:
-        out, have = least(have, out), have * 2
-    if have < width:
-        out = least(width - have, out)
-    return F.array_distinct(F.slice(out, 1, F.greatest(F.size(word_hashes) - window + 1, F.lit(0))))
+    while have * 3 <= width:
+        out, have = least(out, have, 2 * have), have * 3
+    if have * 2 < width:
+        out = least(out, have, width - have)
+    elif have < width:
+        out = least(out, width - have)
+    return F.array_distinct(F.slice(out, 1, F.greatest(F.size(hashes) - window + 1, F.lit(0))))
 
 
 def _of(window: int) -> Callable[[Column], Column]:
@@ -68,63 +77,77 @@ def _place_of(mark: Column) -> Column:
 
 
 def benchmark_fingerprints(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """hash, window (words in a window), gram, context (words around the k-gram), at (its place in them), items (ids).
+    """hash, window (words in a window), gram, context (words around the k-gram, joined by spaces), at (its place in them), items (ids).
 
     Items that share a fingerprint and the words around it share a row. Null ids and texts without words give none.
     """
     items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
     items = items.withColumn("window", F.least(F.size("w"), F.lit(window)))
-    hashes = F.transform("w", lambda x: F.xxhash64(x))
+    hashes = word_hashes("w")
     marks = F.coalesce(*(F.when(F.col("window") == n, let(hashes, _of(n))) for n in range(window, 0, -1)))
     gram = F.least(F.col("window"), F.lit(GRAM))
     start = F.greatest(F.col("q") - F.col("window") + F.col("gram"), F.lit(0))
     return (
         items.select("item", "w", "window", gram.alias("gram"), F.explode(marks).alias("m"))
         .select("item", "w", "window", "gram", _hash_of(F.col("m")).alias("hash"), _place_of(F.col("m")).alias("q"))
-        .select("item", "window", "gram", "hash", F.slice("w", start + 1, F.col("q") - start + F.col("window")).alias("context"), (F.col("q") - start).alias("at"))
+        .select("item", "window", "gram", "hash", lower_ascii(F.array_join(F.slice("w", start + 1, F.col("q") - start + F.col("window")), " ")).alias("context"), (F.col("q") - start).alias("at"))
         .groupBy("hash", "window", "gram", "context", "at")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
 
 
-def _extend(w: Column, p: Column, context: Column, at: Column) -> Column:
-    """start and stop of the longest agreement around the fingerprint, in document words."""
-    same = F.transform(context, lambda x, j: x.eqNullSafe(F.get(w, p - at + j)))
+def _extend(w: Column, pair: Column) -> Column:
+    """start and stop of the longest agreement around a fingerprint, in document words."""
+    p, at = pair["p"], pair["at"]
+    same = F.transform(F.split(pair["context"], " "), lambda x, j: x.eqNullSafe(lower_ascii(F.get(w, p - at + j))))
 
     def ends(eq: Column) -> Column:
         before = F.array_position(F.reverse(F.slice(eq, 1, at)), F.lit(False)).cast("int")
         after = F.array_position(F.slice(eq, at + 1, F.size(eq)), F.lit(False)).cast("int")
         start = F.when(before == 0, F.lit(0)).otherwise(at - before + 1)
         stop = F.when(after == 0, F.size(eq)).otherwise(at + after - 1)
-        return F.struct((p - at + start).alias("start"), (p - at + stop).alias("stop"))
+        whole = (stop - start >= pair["window"]) & (stop >= at + pair["gram"])
+        return F.struct((p - at + start).alias("start"), F.when(whole, p - at + stop).alias("stop"), pair["items"].alias("items"))
 
     return let(same, ends)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows doc_id, text_hash, spans (start, stop), items for the documents in which a window occurs."""
-    marks = benchmark_fingerprints(benchmark, window)
+def _candidates(docs: DataFrame, marks: DataFrame, broadcast_rows: int) -> DataFrame:
+    """doc_id, text_hash, n_words, n_rows (equal rows), pairs (fingerprints found in the document) of each document."""
     lengths = marks.groupBy("window").count().collect()  # one row for each length of window, 13 at most
     lengths, many = sorted(r["window"] for r in lengths), sum(r["count"] for r in lengths)
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
-    hashes = F.transform("w", lambda x: F.xxhash64(x))
-    every = let(hashes, lambda h: F.concat(*(_fingerprints(h, window=n) for n in lengths or [window])))
-    marked = source.withColumn("m", every)
-    exploded = marked.select("doc_id", "text_hash", "w", F.explode("m").alias("m")).withColumns({"hash": _hash_of(F.col("m")), "p": _place_of(F.col("m"))})
+    every = let(word_hashes("w"), lambda h: F.concat(F.array(F.lit(_SENTINEL).cast("long")), *(_fingerprints(h, window=n) for n in lengths)))
+    marked = source.select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), every.alias("m"))
+    exploded = marked.select("doc_id", "text_hash", "n_words", F.explode("m").alias("m")).select("doc_id", "text_hash", "n_words", "m", _hash_of(F.col("m")).alias("hash"), _place_of(F.col("m")).alias("p"))
+    pair = F.struct("p", "window", "gram", "context", "at", "items")
     if many <= broadcast_rows:
-        # The words stay beside each fingerprint: only rows that found a partner are ever copied.
-        found = exploded.join(F.broadcast(marks), "hash")
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in marks.schema if f.name != "hash"]
+        sentinel = marks.sparkSession.range(1).select(F.lit(_SENTINEL).cast("long").alias("hash"), *nothing)
+        found = exploded.join(F.broadcast(marks.unionByName(sentinel)), "hash").where((F.col("m") == _SENTINEL) | F.col("window").isNotNull())
     else:
-        pairs = exploded.drop("w", "m").join(marks, "hash").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("p", "window", "gram", "context", "at", "items")).alias("pairs"))
-        found = (
-            source.alias("s")
-            .join(pairs.alias("x"), F.col("s.doc_id").eqNullSafe(F.col("x.doc_id")) & F.col("s.text_hash").eqNullSafe(F.col("x.text_hash")))
-            .select("s.doc_id", "s.text_hash", "s.w", F.explode("x.pairs").alias("pair"))
-            .select("doc_id", "text_hash", "w", "pair.*")
-        )
-    span = found.select("doc_id", "text_hash", "window", "gram", "at", "p", "items", _extend(F.col("w"), F.col("p"), F.col("context"), F.col("at")).alias("span"))
-    whole = (F.col("span.stop") - F.col("span.start") >= F.col("window")) & (F.col("span.stop") >= F.col("p") + F.col("gram"))
-    return span.where(whole).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("spans"), F.collect_set("items").alias("items"))
+        real = exploded.where(F.col("m") != _SENTINEL).join(marks, "hash")
+        counted = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words"), F.lit(_SENTINEL).cast("long").alias("m"))
+        found = real.drop("hash").unionByName(counted, allowMissingColumns=True)
+    return found.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.count_if(F.col("m") == _SENTINEL).alias("n_rows"), F.collect_set(F.when(F.col("window").isNotNull(), pair)).alias("pairs"))
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS, broadcast_docs: int = BROADCAST_DOCS) -> DataFrame:
+    """doc_id, text_hash, n_words, n_rows, n_hit, items for each different document."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    found = _candidates(docs, benchmark_fingerprints(benchmark, window).checkpoint(), broadcast_rows).checkpoint()
+    some = found.where(F.size("pairs") > 0)
+    sizes = some.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("pairs")), F.lit(0)).alias("pairs")).first()
+    pairs = some.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "pairs")
+    pairs = F.broadcast(pairs) if sizes["docs"] <= broadcast_docs and sizes["pairs"] <= BROADCAST_PAIRS else pairs
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    texts = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    # The words are bound by let(): a column of a lower projection would be merged into the lambda and split anew for each word.
+    spans = let(words(F.col("text")), lambda w: F.filter(F.transform("pairs", lambda pair: _extend(w, pair)), lambda s: s["stop"].isNotNull()))
+    spans = texts.select("doc_id", "text_hash", spans.alias("spans"))
+    result = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), _covered(F.col("spans")).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("spans.items"))).alias("items")).dropDuplicates(["_id", "_hash"])
+    out = found.drop("pairs").join(result, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    return out.select("doc_id", "text_hash", "n_words", "n_rows", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def _covered(spans: Column) -> Column:
@@ -135,29 +158,23 @@ def _covered(spans: Column) -> Column:
         fresh = F.greatest(x["stop"] - F.greatest(x["start"], acc["at"]), F.lit(0)).cast("long")
         return F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), (acc["n"] + fresh).alias("n"))
 
-    return F.aggregate(F.array_sort(spans), start, add, lambda acc: acc["n"])
+    places = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    return F.aggregate(F.array_sort(places), start, add, lambda acc: acc["n"])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **limits: int) -> DataFrame:
     """doc_id, n_words, n_hit, items (ids as strings, sorted), contaminated for each row of docs.
 
     Null and empty texts have no words and aren't contaminated. Repeated rows each give a row; rows that share a doc_id
     but not a text are judged apart; the doc_id may be null. An empty benchmark hits nothing.
     """
-    found = hits(docs, benchmark, window, broadcast_rows).alias("f")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), count_words(F.col("text")).alias("n_words")).alias("r")
-    n_hit = F.coalesce(_covered(F.col("f.spans")), F.lit(0).cast("long"))
-    items = F.coalesce(F.array_sort(F.array_distinct(F.flatten("f.items"))), F.array().cast("array<string>"))
-    out = rows.join(found, F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & F.col("r.text_hash").eqNullSafe(F.col("f.text_hash")), "left")
-    out = out.select("r.doc_id", "r.n_words", n_hit.alias("n_hit"), items.alias("items"))
+    out = judged(docs, benchmark, window, **limits)
+    out = out.select("doc_id", "n_words", "n_hit", "items", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")).alias("row")).drop("row")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **limits: int) -> DataFrame:
     """The rows of docs that aren't contaminated, with all their columns."""
-    found = hits(docs, benchmark, window, broadcast_rows)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), _covered(F.col("spans")).alias("_hit"))
-    names = [docs[f"`{c}`"] for c in docs.columns]
-    out = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & F.xxhash64(docs["text"]).eqNullSafe(found["_hash"]), "left")
-    hit = F.col("_hit") > 0
-    return out.where(~F.coalesce(hit & (20 * F.col("_hit") >= count_words(docs["text"])), F.lit(False))).select(*names)
+    out = judged(docs, benchmark, window, **limits).where((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    bad = out.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"]), "left_anti")

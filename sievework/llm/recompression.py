@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import stash
 from .blocks import map_blocks
 
 WINDOW = 50
@@ -178,7 +178,7 @@ def contexts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """From doc_id, text, marks (array of at, n, name): doc_id, name, hash, at for every window of the marked contexts."""
+    """From doc_id, text, marks (array of at, n, name): doc_id, name (its low 32 bits), hash, at for every window of the marked contexts."""
 
     def make() -> Any:
         parser = Parser(window)
@@ -197,26 +197,26 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
                 out[2].append(parser.passage(sums, at, at + window).view(np.int64))
                 out[3].append(at)
             join = lambda xs: np.concatenate(xs) if xs else np.zeros(0, np.int64)
-            return [out[0], pa.array(join(out[1]).astype(np.int64)), pa.array(join(out[2])), pa.array(join(out[3]).astype(np.int32))]
+            return [out[0], pa.array(join(out[1]).astype(np.int64).astype(np.int32)), pa.array(join(out[2])), pa.array(join(out[3]).astype(np.int32))]
 
         return work
 
-    return map_blocks(docs, make, "doc_id long, name long, hash long, at int")
+    return map_blocks(docs, make, "doc_id long, name int, hash long, at int")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, at, n: windows (n of them from word `at` on) that also start in a document with a smaller doc_id."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    every = contexts(docs, window).checkpoint()
-    first = every.groupBy("name", "context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = first.where(F.col("first") < F.col("last")).select("name", "context", "first")
+    every = stash(contexts(docs, window))
+    owner = F.min(F.struct("doc_id", "at", "n"))
+    first = every.groupBy("name", "context").agg(owner.alias("o"), F.max("doc_id").alias("last"))
+    shared = first.where(F.col("o.doc_id") < F.col("last")).select("name", "context", F.col("o.doc_id").alias("first"))
     settled = every.join(shared, ["name", "context"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "at", "n")
     # A window of one context may also be in another of the same name whose first document is a smaller one.
-    mixed = first.groupBy("name").agg(F.min("first").alias("a"), F.max("first").alias("b")).where(F.col("a") < F.col("b")).select("name")
-    owners = every.join(mixed, "name").groupBy("name", "context").agg(F.min(F.struct("doc_id", "at", "n")).alias("o"))
-    marks = owners.select("o.doc_id", F.struct("o.at", "o.n", "name").alias("mark")).groupBy("doc_id").agg(F.collect_set("mark").alias("marks")).checkpoint()
+    mixed = first.groupBy("name").agg(F.min("o.doc_id").alias("a"), F.max("o.doc_id").alias("b")).where(F.col("a") < F.col("b")).select("name")
+    owners = first.select("name", "o").join(mixed, "name")
+    marks = stash(owners.select("o.doc_id", F.struct("o.at", "o.n", "name").alias("mark")).groupBy("doc_id").agg(F.collect_set("mark").alias("marks")))
     marks = F.broadcast(marks) if marks.count() <= broadcast_rows else marks
-    windows = _windows(docs.select("doc_id", "text").join(marks, "doc_id"), window).checkpoint()
+    windows = _windows(docs.select("doc_id", "text").join(marks, "doc_id"), window)
     least = windows.groupBy("name", "hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(F.col("first") < F.col("last"))
     single = windows.join(least, ["name", "hash"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))
     return settled.unionByName(single)

@@ -130,7 +130,7 @@ PLANS: Plans = {
     "unmapped_terms": (unmapped_terms, f"WITH {TOKENS_SQL} SELECT w, count(*) AS uses, count(DISTINCT source) AS sources, count(DISTINCT doc_id) AS docs FROM tok WHERE w NOT IN (SELECT form FROM {VOCABULARY_SQL}) GROUP BY w HAVING count(DISTINCT doc_id) >= 50"),
     "never_attested": (never_attested, f"WITH {TOKENS_SQL} SELECT form, tag FROM {VOCABULARY_SQL} WHERE NOT contains(form, ' ') AND form NOT IN (SELECT w FROM tok)"),
     "first_mention": (first_mention, rf"WITH t AS (SELECT doc_id, unnest(l) AS w, unnest(range(len(l)))::INTEGER AS pos FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+') AS l FROM documents)) SELECT doc_id, tag, min_by(form, pos) AS form, min(pos) AS pos FROM t JOIN {VOCABULARY_SQL} ON w = form GROUP BY doc_id, tag"),
-    "edit_distance_one": (edit_distance_one, f"{_FREQ} SELECT w, form, docs FROM f JOIN {VOCABULARY_SQL} ON length(form) >= 4 AND levenshtein(w, form) = 1 WHERE docs >= 30 AND regexp_matches(w, '^[a-z]{4,}$')"),
+    "edit_distance_one": (edit_distance_one, f"{_FREQ} SELECT w, form, docs FROM f JOIN {VOCABULARY_SQL} ON length(form) >= 4 AND levenshtein(w, form) = 1 WHERE docs >= 30 AND regexp_matches(w, '^[a-z]{{4,}}$')"),
     "topk_terms": (topk_terms, f"{_FREQ} SELECT * FROM f ORDER BY n DESC, w LIMIT 25"),
     "cap_per_source": (cap_per_source, "SELECT source, doc_id, n::INTEGER AS n FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) WHERE n <= 3"),
 }

@@ -147,8 +147,8 @@ def trust(spark: SparkSession, d: str) -> DataFrame:
 def tier_cascade(spark: SparkSession, d: str) -> DataFrame:
     """Words resolve verbatim, repaired, or without their ending; overrides win, ambiguous parts are refused."""
     words = table(spark, d, "documents").where(F.col("lang") == "en").select(F.explode(T.words("text")).alias("name")).where(F.rlike("name", F.lit("^[a-z]{6,}$"))).distinct()
-    base = words.where(F.crc32("name") % 3 == 0)
-    resolver = base.select(F.col("name").alias("form"), F.md5("name").alias("identity"), F.when(F.crc32("name") % 2 == 0, 1).otherwise(2).alias("parts"))
+    base = words.where(F.length("name") % 3 == 0)
+    resolver = base.select(F.col("name").alias("form"), F.md5("name").alias("identity"), F.when(F.ascii(F.substring("name", -1, 1)) % 2 == 0, 1).otherwise(2).alias("parts"))
     overrides = words.where(F.endswith("name", F.lit("tion"))).select("name", F.lit("hand").alias("identity"))
     steps = [("verbatim", F.col("name")), ("repaired", F.replace("name", F.lit("th"), F.lit("st"))), ("cut", F.substring("name", 1, 6))]
     return Q.tiers(words, "name", resolver, steps, overrides).groupBy("tier").agg(F.count("*").alias("n"), F.countDistinct("identity").alias("identities"))
@@ -180,7 +180,7 @@ PLANS: Plans = {
     "earliest_k": (earliest_k, "SELECT o_custkey, o_orderkey, o_orderstatus, n::INTEGER AS n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) AS n FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderstatus IN ('F', 'O')) WHERE n <= CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END"),
     "repeat_suppression": (repeat_suppression, 'SELECT n > 1 AS suppressed, count(*) AS "rows" FROM (SELECT row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber) AS n FROM lineitem WHERE l_orderkey < 6000) GROUP BY 1'),
     "dup_id_suffix": (dup_suffix, "SELECT CASE WHEN n > 1 THEN id || '-' || n::VARCHAR ELSE id END AS id, l_partkey FROM (SELECT id, l_partkey, row_number() OVER (PARTITION BY id ORDER BY l_extendedprice, l_partkey, l_suppkey) AS n FROM (SELECT *, l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR AS id FROM lineitem WHERE l_orderkey < 2000))"),
-    "evidence_ids": (evidence_ids, None),
+    "evidence_ids": (evidence_ids, r"WITH e AS (SELECT conv_id, turn, sha1('chat|' || conv_id::VARCHAR || '|' || role || '|' || trim(regexp_replace(text, '\s+', ' ', 'g')))[1:12] AS id FROM conversations) SELECT conv_id, turn, CASE WHEN n > 1 THEN id || '-' || n::VARCHAR ELSE id END AS id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY conv_id, turn) AS n FROM e)"),
     "nulls_last_rank": (nulls_last, "SELECT doc_id, row_number() OVER (PARTITION BY doc_id % 10 ORDER BY quality ASC NULLS LAST, doc_id)::INTEGER AS rank FROM documents LEFT JOIN labels USING (doc_id)"),
     "precision_recall_f1": (precision_recall, f"{_G}, t AS (SELECT count(*) FILTER (got AND want)::DOUBLE AS tp, count(*) FILTER (got AND NOT want)::DOUBLE AS fp, count(*) FILTER (NOT got AND want)::DOUBLE AS fn FROM g) {_PR}"),
     "confusion_matrix": (confusion, f"{_G} SELECT want, got, count(*) AS n FROM g GROUP BY 1, 2"),
@@ -193,7 +193,7 @@ PLANS: Plans = {
     "key_and_numeric_check": (key_check, 'SELECT count(*) AS "rows", count(DISTINCT (l_orderkey, l_linenumber)) AS keys, count(*) FILTER (l_tax IS NULL OR isnan(l_tax)) AS not_numbers FROM lineitem'),
     "collapse_check": (collapse_check, "SELECT count(DISTINCT c_name) AS ids, count(DISTINCT regexp_replace(replace(c_name, '-', ''), '^US0*', 'US')) AS mapped, count(DISTINCT c_name[1:14]) AS cut FROM customer"),
     "trust_class": (trust, "WITH o AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'verbatim' WHEN 1 THEN 'ocr' WHEN 2 THEN 'stereo_dropped' END AS tier, CASE o_orderkey % 9 WHEN 0 THEN 'agree' WHEN 1 THEN 'different' ELSE 'unmatched' END AS c, o_orderstatus = 'F' AS w FROM orders) SELECT CASE WHEN tier IS NULL THEN 'none' WHEN c = 'different' THEN 'disputed' WHEN tier = 'verbatim' THEN 'verbatim' WHEN c = 'agree' THEN 'check' WHEN w THEN 'repaired+witness' WHEN tier = 'stereo_dropped' THEN 'flat' ELSE 'provisional' END AS trust, count(*) AS n FROM o GROUP BY 1"),
-    "tier_cascade": (tier_cascade, None),
+    "tier_cascade": (tier_cascade, r"WITH w AS (SELECT DISTINCT name FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS name FROM documents WHERE lang = 'en') WHERE regexp_matches(name, '^[a-z]{6,}$')), r AS (SELECT name AS form, md5(name) AS identity FROM w WHERE length(name) % 3 = 0 AND ascii(right(name, 1)) % 2 = 0), x AS (SELECT w.name, CASE WHEN ends_with(w.name, 'tion') THEN 'override' WHEN a.form IS NOT NULL THEN 'verbatim' WHEN b.form IS NOT NULL THEN 'repaired' WHEN c.form IS NOT NULL THEN 'cut' ELSE 'unresolved' END AS tier, CASE WHEN ends_with(w.name, 'tion') THEN 'hand' ELSE coalesce(a.identity, b.identity, c.identity) END AS identity FROM w LEFT JOIN r a ON a.form = w.name LEFT JOIN r b ON b.form = replace(w.name, 'th', 'st') LEFT JOIN r c ON c.form = w.name[1:6]) SELECT tier, count(*) AS n, count(DISTINCT identity) AS identities FROM x GROUP BY tier"),
     "registry_checksum": (checksums, f"WITH d AS (SELECT p_partkey, {_EC} AS n, p_partkey % 10 AS c FROM part) SELECT p_partkey, ({' + '.join(f'{i} * n[{i}]::INTEGER' for i in range(1, 7))}) % 11 = c AS ok FROM d"),
     "publication_ids": (publication_ids, rf"WITH r AS (SELECT o_orderkey, {_RAW} AS r FROM orders) SELECT o_orderkey, CASE WHEN regexp_matches(r, '^US(19|20)[0-9][0-9][0-9]{{1,7}}A[0-9]$') THEN r[1:6] || lpad(regexp_extract(r, '^US[0-9]{{4}}([0-9]+)A[0-9]$', 1), 7, '0') || r[-2:] ELSE r END AS padded, regexp_replace(replace(r, '-', ''), '^US0*', 'US') AS canonical, CASE WHEN regexp_matches(r, 'A[0-9]$') THEN 'application' ELSE 'grant' END AS kind, regexp_extract(replace(r, '-', ''), '^US(RE|D|PP)?0*([0-9]+)', 2)::BIGINT AS number FROM r"),
 }

@@ -91,7 +91,7 @@ def top_k(df: DataFrame, k: int = K, every: int = EVERY, key: str = "vec_id", ve
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     total = rows.count()
     dim = max((len(r["v"]) for r in sample), default=0)
-    pivots = spark.sparkContext.broadcast(choose_pivots(np.array([r["v"] for r in sample if len(r["v"]) == dim], float).reshape(-1, dim)))
+    pivots = spark.sparkContext.broadcast(choose_pivots(np.array([r["v"] for r in sample if len(r["v"]) == dim], float).reshape(-1, max(dim, 1))))
 
     def table() -> Any:
         def work(ids: list, vectors: list[list[int]]) -> list[list]:

@@ -107,8 +107,8 @@ def fit_rows(rows: list[tuple[list[int], list[int], int]], names: list[str], cou
         return out + 2 * counterfactual / len(pairs) * (delta.T @ (delta @ w)) if pairs else out
 
     def norm(m: np.ndarray, scale: np.ndarray | float) -> float:
-        v = np.ones(size + 1)
-        for _ in range(30):
+        v = np.random.default_rng(1).normal(size=size + 1)  # swaps cancel on even vectors
+        for _ in range(60):
             v = m.T @ ((m @ v) * scale)
             v /= np.linalg.norm(v) or 1
         return float(np.linalg.norm(m.T @ ((m @ v) * scale)))
@@ -163,8 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", counterfactual
         rows.unpersist()
 
 
-def score(df: DataFrame, model: Model, columns: list[str], text: str = "text") -> DataFrame:
-    """The named columns and score (0 to 1) for each row; a null text counts as empty and gets the bias alone."""
+def score(df: DataFrame, model: Model, columns: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """The named columns and, under another name, the score (0 to 1) for each row; a null text counts as empty and gets the bias alone."""
 
     def make() -> Any:
         own = model.scorer()
@@ -175,7 +175,7 @@ def score(df: DataFrame, model: Model, columns: list[str], text: str = "text") -
         return work
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
-    return map_blocks(df.select(*(df[f"`{c}`"] for c in columns), F.col(text).alias("_scored")), make, f"{fields}, score double", len(columns))
+    return map_blocks(df.select(*(df[f"`{c}`"] for c in columns), F.col(text).alias("_scored")), make, f"{fields}, `{name}` double", len(columns))
 
 
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -187,4 +187,4 @@ def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> D
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows that score below the threshold, with all their columns."""
     names = docs.columns
-    return score(docs, fit(docs, labels), names).where(F.col("score") < threshold).select(*(F.col(f"`{c}`") for c in names))
+    return score(docs, fit(docs, labels), names, name="_toxicity").where(F.col("_toxicity") < threshold).select(*(F.col(f"`{c}`") for c in names))

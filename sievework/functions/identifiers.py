@@ -171,16 +171,12 @@ def formula_of(smiles: str) -> tuple[str, float] | None:
     return "".join(e + (str(count[e]) if count[e] > 1 else "") for e in ordered), round(sum(MASSES.get(e, 10.81) * n for e, n in count.items()), 3)
 
 
-def _formulas(x):  # type: ignore[no-untyped-def]
-    import pandas as pd
-
-    return pd.DataFrame([formula_of(s) or (None, None) if s else (None, None) for s in x], columns=["formula", "mass"])
-
-
 def smiles_formula(x: Column | str) -> Column:
+    """formula and mass of each molecule; both null where it can't be read."""
     import pandas as pd
 
-    def run(s: pd.Series) -> pd.DataFrame:
-        return _formulas(s)
+    def run(s):  # type: ignore[no-untyped-def]
+        return pd.DataFrame([formula_of(t) or (None, None) if t else (None, None) for t in s], columns=["formula", "mass"])
 
+    run.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
     return vectorized("struct<formula: string, mass: double>")(run)(col(x))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import Plans
 
-MODULES = ("text", "vocabulary", "counts", "joins", "dedupe", "quality", "features")
+MODULES = ("text", "vocabulary", "counts", "joins", "dedupe", "quality", "features", "sources")
 
 
 def plans() -> Plans:

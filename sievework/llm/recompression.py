@@ -30,6 +30,8 @@ WINDOW = 50
 ROUNDS = (("runs", 1, 2), ("pairs", 2, 0), ("pairs", 2, 0))
 #: Rows with marked documents up to which they are broadcast to pick out texts; beyond, texts are shuffled.
 BROADCAST_ROWS = 100_000
+#: Rows of one context beyond which it is joined apart.
+HOT = 2_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _BASE = 0xD1342543DE82EF95
 
@@ -208,9 +210,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCA
     """doc_id, at, n: windows (n of them from word `at` on) that also start in a document with a smaller doc_id."""
     every = stash(contexts(docs, window))
     owner = F.min(F.struct("doc_id", "at", "n"))
-    first = every.groupBy("name", "context").agg(owner.alias("o"), F.max("doc_id").alias("last"))
-    shared = first.where(F.col("o.doc_id") < F.col("last")).select("name", "context", F.col("o.doc_id").alias("first"))
-    settled = every.join(shared, ["name", "context"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "at", "n")
+    first = stash(every.groupBy("name", "context").agg(owner.alias("o"), F.max("doc_id").alias("last"), F.count("*").alias("rows")))
+    shared = first.where(F.col("o.doc_id") < F.col("last")).select("name", "context", F.col("o.doc_id").alias("first"), "rows")
+    settled = _settled(every, shared, broadcast_rows)
     # A window of one context may also be in another of the same name whose first document is a smaller one.
     mixed = first.groupBy("name").agg(F.min("o.doc_id").alias("a"), F.max("o.doc_id").alias("b")).where(F.col("a") < F.col("b")).select("name")
     owners = first.select("name", "o").join(mixed, "name")
@@ -222,6 +224,21 @@ def repeats(docs: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCA
     return settled.unionByName(single)
 
 
+def _settled(every: DataFrame, shared: DataFrame, broadcast_rows: int) -> DataFrame:
+    """doc_id, at, n of contexts that also stand in a document with a smaller doc_id.
+
+    Contexts with more than HOT rows meet their rows where these lie, so no task gets all of one; there are few such
+    contexts. The others are joined by key.
+    """
+    keys = ["name", "context"]
+    hot = shared.where(F.col("rows") > HOT)
+    if hot.count() <= broadcast_rows:
+        met = every.join(F.broadcast(hot), keys).unionByName(every.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(shared.where(F.col("rows") <= HOT), keys))
+    else:
+        met = every.join(shared, keys)
+    return met.where(F.col("doc_id") > F.col("first")).select("doc_id", "at", "n")
+
+
 def remove(docs: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words left, joined by one space) for each row of docs.
 

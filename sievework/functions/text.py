@@ -232,7 +232,7 @@ def contains_all(hay: Column | str, query: Column | str) -> Column:
 def in_json(raw_json: Column | str, value: Column | str) -> Column:
     """Whether a value occurs in JSON text, written plainly or with escapes."""
     plain = F.to_json(F.struct(col(value).alias("v")))
-    inner = F.substring(plain, F.lit(6), F.length(plain) - 6)
+    inner = F.substring(plain, F.lit(7), F.length(plain) - 8)
     return F.contains(col(raw_json), inner)
 
 

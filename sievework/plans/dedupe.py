@@ -66,14 +66,14 @@ def benchmark_sentences(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("docs"))
 
 
-_P = rf"WITH RECURSIVE {SENTENCES_SQL}, o AS (SELECT DISTINCT doc_id, md5(s) AS h FROM s WHERE length(s) >= 40), r AS (SELECT h FROM o GROUP BY h HAVING count(*) <= 5), p AS (SELECT * FROM o WHERE h IN (SELECT h FROM r)), z AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id), q AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM p a JOIN p b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2), e AS (SELECT a, b, shared, round(shared::DOUBLE / least(za.n, zb.n), 6) AS score FROM q JOIN z za ON za.doc_id = a JOIN z zb ON zb.doc_id = b WHERE shared >= 3 AND shared::DOUBLE / least(za.n, zb.n) >= 0.6), u AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e), c AS (SELECT x AS doc, x AS reached FROM u UNION SELECT c.doc, u.y FROM c JOIN u ON c.reached = u.x), g AS (SELECT doc, min(reached) AS component FROM c GROUP BY doc), k AS (SELECT doc, component, count(*) OVER (PARTITION BY component) AS size FROM g)"
+GROUPS_SQL = rf"WITH RECURSIVE {SENTENCES_SQL}, o AS (SELECT DISTINCT doc_id, md5(s) AS h FROM s WHERE length(s) >= 40), r AS (SELECT h FROM o GROUP BY h HAVING count(*) <= 5), p AS (SELECT * FROM o WHERE h IN (SELECT h FROM r)), z AS (SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id), q AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM p a JOIN p b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2), e AS (SELECT a, b, shared, round(shared::DOUBLE / least(za.n, zb.n), 6) AS score FROM q JOIN z za ON za.doc_id = a JOIN z zb ON zb.doc_id = b WHERE shared >= 3 AND shared::DOUBLE / least(za.n, zb.n) >= 0.6), u AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e), c AS (SELECT x AS doc, x AS reached FROM u UNION SELECT c.doc, u.y FROM c JOIN u ON c.reached = u.x), g AS (SELECT doc, min(reached) AS component FROM c GROUP BY doc), k AS (SELECT doc, component, count(*) OVER (PARTITION BY component) AS size FROM g)"
 PLANS: Plans = {
     "exact_dup_collapse": (exact_collapse, f"WITH {SENTENCES_SQL} SELECT md5(s) AS digest, count(DISTINCT doc_id) AS docs, count(DISTINCT source) AS sources, count(*) AS occurrences FROM s GROUP BY s HAVING count(*) > 1"),
     "rows_beside_distinct": (predicate_sizes, f'WITH {SENTENCES_SQL} SELECT count(*) AS "rows", count(DISTINCT s) AS distinct_sentences FROM s WHERE length(s) > 40'),
-    "doc_pairs_shared_rare": (pairs, f"{_P} SELECT * FROM q"),
-    "containment_edges": (edges, f"{_P} SELECT * FROM e"),
-    "dup_components": (components, f"{_P} SELECT * FROM k"),
-    "dup_size_histogram": (histogram, f"{_P} SELECT size, count(*) AS n, sum(size - 1)::BIGINT AS redundant FROM (SELECT DISTINCT component, size FROM k) GROUP BY size"),
+    "doc_pairs_shared_rare": (pairs, f"{GROUPS_SQL} SELECT * FROM q"),
+    "containment_edges": (edges, f"{GROUPS_SQL} SELECT * FROM e"),
+    "dup_components": (components, f"{GROUPS_SQL} SELECT * FROM k"),
+    "dup_size_histogram": (histogram, f"{GROUPS_SQL} SELECT size, count(*) AS n, sum(size - 1)::BIGINT AS redundant FROM (SELECT DISTINCT component, size FROM k) GROUP BY size"),
     "family_first": (family_first, "WITH r AS (SELECT *, row_number() OVER (PARTITION BY CASE WHEN o_custkey % 10 <> 9 THEN o_custkey::VARCHAR ELSE '__' || o_orderkey::VARCHAR END ORDER BY o_orderstatus <> 'F', o_orderkey) AS r FROM orders) SELECT o_orderkey, o_custkey FROM r WHERE r = 1"),
     "squash_duplicates": (squash_duplicates, r"WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS w FROM documents) SELECT lang, count(DISTINCT w) AS printed, count(DISTINCT translate(w, 'loi', '101')) AS squashed FROM w WHERE regexp_matches(w, '^[a-z]+$') GROUP BY lang"),
     "benchmark_contamination": (benchmark_sentences, r"WITH b AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM benchmark), d AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents) SELECT item_id, count(DISTINCT doc_id) AS docs FROM b JOIN d ON contains(d.t, b.t) GROUP BY item_id"),

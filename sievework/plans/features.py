@@ -15,12 +15,15 @@ KINDS = ["click", "error", "purchase", "signup", "view"]
 
 
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The three nearest of all vectors to each of the named twelve."""
+    """The three nearest of all other vectors to each whose id is divisible by 50; queries and rows meet by blocks of queries."""
     rows = table(spark, d, "embeddings").select("vec_id", X.unit("embedding").alias("v"))
-    queries = rows.where(F.col("vec_id") < 12).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    queries = rows.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    blocks = queries.count() // 1000 + 1
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks).cast("long")))
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     score = F.round(N.dot("q", "v"), 9)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    met = rows.join(F.broadcast(queries), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", score.alias("score"))
+    met = rows.join(queries, "block").where(F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", score.alias("score"))
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 3).select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
@@ -40,12 +43,12 @@ def vector_norms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tsne_map(spark: SparkSession, d: str) -> DataFrame:
-    """A map of event profiles of the users with the most events (a map is drawn of so many)."""
+    """A map of the distinct rounded event profiles; users of one profile share its place."""
     from ..session import ship_package
 
     ship_package(spark)
     rows = X.profiles(table(spark, d, "events"), "user_id", "event_type", KINDS)
-    return X.embed(rows.orderBy(F.desc(F.aggregate("profile", F.lit(0.0), lambda s, x: s + x)), "user_id").limit(150), "user_id", "profile")
+    return X.embed(rows.groupBy(F.transform("profile", lambda x: F.round(x)).alias("profile")).agg(F.min("user_id").alias("user_id")), "user_id", "profile")
 
 
 def smiles_formula(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +111,7 @@ def cards(spark: SparkSession, d: str) -> DataFrame:
 
 def measured_values(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of value and source, each once, joined into two lists that stay aligned."""
-    pairs = table(spark, d, "lineitem").where(F.col("l_orderkey") < 1500).groupBy("l_partkey").agg(F.array_sort(F.collect_set(F.struct(F.col("l_linenumber").alias("v"), F.col("l_returnflag").alias("s")))).alias("p"))
+    pairs = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_set(F.struct(F.col("l_linenumber").alias("v"), F.col("l_returnflag").alias("s")))).alias("p"))
     return pairs.select("l_partkey", F.array_join(F.transform("p", lambda x: x["v"].cast("string")), " || ").alias("v_list"), F.array_join(F.transform("p", lambda x: x["s"]), " || ").alias("s_list"))
 
 
@@ -133,7 +136,7 @@ def release_counts(spark: SparkSession, d: str) -> DataFrame:
 _V = "WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE / n) AS v FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n FROM embeddings))"
 _EV = "WITH c AS (SELECT user_id, " + ", ".join(f"round(sqrt(count(*) FILTER (event_type = '{k}')::DOUBLE))::INTEGER AS {k}" for k in KINDS) + " FROM events GROUP BY user_id)"
 PLANS: Plans = {
-    "cosine_topk": (cosine_topk, f"{_V}, s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_dot_product(q.v, c.v), 9) AS score FROM v q JOIN v c ON q.vec_id < 12 AND q.vec_id <> c.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 3"),
+    "cosine_topk": (cosine_topk, f"{_V}, s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_dot_product(q.v, c.v), 9) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 3"),
     "profile_groups": (profile_groups, f"{_EV} SELECT concat_ws(',', {', '.join(KINDS)}) AS profile, count(*) AS users, min(user_id) AS least FROM c GROUP BY 1"),
     "percentile_rescale": (percentile_rescale, "WITH b AS (SELECT event_type, quantile_cont(value, 0.03) AS lo, quantile_cont(value, 0.97) AS hi FROM events GROUP BY 1), s AS (SELECT event_type, greatest(0.0, least(1.0, (value - lo) / (hi - lo))) AS x FROM events JOIN b USING (event_type)) SELECT event_type, round(avg(x), 6) AS mean, count(*) FILTER (x = 0) AS at_zero, count(*) FILTER (x = 1) AS at_one FROM s GROUP BY 1"),
     "vector_norms": (vector_norms, "SELECT label, round(avg(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)))), 6) AS norm, round(sum(sqrt(abs(embedding[1]::DOUBLE))), 5) AS damped FROM embeddings GROUP BY label"),
@@ -145,7 +148,7 @@ PLANS: Plans = {
     "assertion_pairs": (cross_assertions, "WITH e AS (SELECT p_partkey, unnest([p_brand, 'size-' || p_size::VARCHAR]) AS entity, p_type FROM part), x AS (SELECT entity, unnest(string_split(p_type, ' ')) AS descriptor FROM e) SELECT entity, descriptor, count(*) AS n FROM x GROUP BY 1, 2"),
     "dictionary_codes": (dictionary_codes, "SELECT p_partkey, (dense_rank() OVER (ORDER BY p_brand) - 1)::INTEGER AS code FROM part"),
     "numbered_cards": (cards, "WITH r AS (SELECT DISTINCT l_suppkey, l_returnflag || ' ' || l_linestatus AS t FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY t) AS n FROM r) SELECT l_suppkey, '{' || string_agg('\"Text ' || n::VARCHAR || '\":\"' || t || '\"', ',' ORDER BY n) || '}' AS card FROM n GROUP BY 1"),
-    "measured_values": (measured_values, "WITH p AS (SELECT DISTINCT l_partkey, l_linenumber AS v, l_returnflag AS s FROM lineitem WHERE l_orderkey < 1500) SELECT l_partkey, string_agg(v::VARCHAR, ' || ' ORDER BY v, s) AS v_list, string_agg(s, ' || ' ORDER BY v, s) AS s_list FROM p GROUP BY 1"),
+    "measured_values": (measured_values, "WITH p AS (SELECT DISTINCT l_partkey, l_linenumber AS v, l_returnflag AS s FROM lineitem) SELECT l_partkey, string_agg(v::VARCHAR, ' || ' ORDER BY v, s) AS v_list, string_agg(s, ' || ' ORDER BY v, s) AS s_list FROM p GROUP BY 1"),
     "mode_label": (mode_label, "WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2) SELECT o_custkey, o_orderpriority, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, length(o_orderpriority) DESC, o_orderpriority) AS r FROM c) WHERE r = 1"),
     "product_names": (product_names, None),
     "release_counts": (release_counts, "WITH k AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) SELECT '{' || string_agg('\"' || o_orderstatus || '\":' || n::VARCHAR, ',' ORDER BY o_orderstatus) || '}' AS counts, sum(n)::BIGINT AS total FROM k"),

@@ -61,7 +61,7 @@ def multi_route(spark: SparkSession, d: str) -> DataFrame:
         ("name", odd.where(F.col("id") % 5 == 0).alias("r1"), F.col("p_name") == F.col("r1.name"), "id"),
         ("loose", odd.alias("r2"), (F.col("k1") == F.col("r2.k2")) & (F.length("k1") > 5), "id"),
     ]
-    return J.first_route(parts, routes, "p_partkey").groupBy(F.coalesce("route", F.lit("none")).alias("route")).agg(F.count("*").alias("n"), F.sum("match").alias("total"))
+    return J.first_route(parts, routes, "p_partkey").groupBy(F.coalesce("route", F.lit("none")).alias("route")).agg(F.count("*").alias("n"), F.coalesce(F.sum("match"), F.lit(0)).cast("long").alias("total"))
 
 
 def two_hop(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +71,7 @@ def two_hop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ambiguous_lookup(spark: SparkSession, d: str) -> DataFrame:
-    lookup = table(spark, d, "lineitem").where(F.col("l_orderkey") < 4000).select(F.col("l_orderkey").alias("name"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0").alias("identity"))
+    lookup = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("name"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0").alias("identity"))
     return J.unambiguous(lookup, "name", "identity", F.substring("identity", 1, 7)).groupBy("verdict").agg(F.count("*").alias("names"), F.sum("identities").alias("identities"), F.min("pick").alias("least"))
 
 
@@ -153,7 +153,7 @@ def mentions_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def edits(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").where(F.col("l_orderkey") < 3000).select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag"))
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("flag"))
     plan = table(spark, d, "orders").where(F.col("o_orderkey") % 5 == 0).select(F.col("o_orderkey").alias("k"), F.lit(1).alias("n"), F.lit(1).alias("expected"), F.lit("X").alias("new"))
     return J.edit_plan(rows, plan, ["k", "n"], "expected", "flag", "new", "note").groupBy("edit_status", "flag", F.coalesce("note", F.lit("")).alias("note")).agg(F.count("*").alias("n"))
 
@@ -180,9 +180,9 @@ PLANS: Plans = {
     "retired_anti": (retired_anti, rf"WITH {SENTENCES_SQL}, k AS (SELECT *, lower(trim(regexp_replace(s, '\s+', ' ', 'g'))) AS k FROM s), r AS (SELECT DISTINCT doc_id, k FROM k WHERE doc_id % 7 = 0 AND pos % 2 = 0) SELECT doc_id, count(*) AS n FROM k WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = k.doc_id AND r.k = k.k) GROUP BY doc_id"),
     "unique_match_status": (unique_match_status, "WITH f AS (SELECT l_orderkey AS k, count(*) AS found FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) SELECT CASE WHEN found IS NULL THEN 'none' WHEN found = 1 THEN 'one' ELSE 'many' END AS status, count(*) AS n FROM orders LEFT JOIN f ON o_orderkey = k GROUP BY 1"),
     "positional_guard": (positional, "WITH r AS (SELECT text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) SELECT (n % 3 <> 0) AS same, count(*) AS n FROM r GROUP BY 1"),
-    "multi_route_match": (multi_route, f"WITH p AS (SELECT *, {_SQUASH.format('p_name')} AS k FROM part), a AS (SELECT p.p_partkey, (SELECT min(e.p_partkey) FROM p e WHERE e.p_partkey % 2 = 0 AND e.p_partkey = p.p_partkey * 3) AS r0 FROM p), b AS (SELECT p.p_partkey, min(o.p_partkey) AS r1 FROM p JOIN p o ON o.p_partkey % 2 = 1 AND o.p_partkey % 5 = 0 AND o.p_name = p.p_name GROUP BY 1), c AS (SELECT p.p_partkey, min(o.p_partkey) AS r2 FROM p JOIN p o ON o.p_partkey % 2 = 1 AND o.k = p.k AND length(p.k) > 5 GROUP BY 1) SELECT CASE WHEN r0 IS NOT NULL THEN 'key' WHEN r1 IS NOT NULL THEN 'name' WHEN r2 IS NOT NULL THEN 'loose' ELSE 'none' END AS route, count(*) AS n, sum(coalesce(r0, r1, r2))::BIGINT AS total FROM a LEFT JOIN b USING (p_partkey) LEFT JOIN c USING (p_partkey) GROUP BY 1"),
+    "multi_route_match": (multi_route, f"WITH p AS (SELECT *, {_SQUASH.format('p_name')} AS k FROM part), a AS (SELECT p.p_partkey, (SELECT min(e.p_partkey) FROM p e WHERE e.p_partkey % 2 = 0 AND e.p_partkey = p.p_partkey * 3) AS r0 FROM p), b AS (SELECT p.p_partkey, min(o.p_partkey) AS r1 FROM p JOIN p o ON o.p_partkey % 2 = 1 AND o.p_partkey % 5 = 0 AND o.p_name = p.p_name GROUP BY 1), c AS (SELECT p.p_partkey, min(o.p_partkey) AS r2 FROM p JOIN p o ON o.p_partkey % 2 = 1 AND o.k = p.k AND length(p.k) > 5 GROUP BY 1) SELECT CASE WHEN r0 IS NOT NULL THEN 'key' WHEN r1 IS NOT NULL THEN 'name' WHEN r2 IS NOT NULL THEN 'loose' ELSE 'none' END AS route, count(*) AS n, coalesce(sum(coalesce(r0, r1, r2)), 0)::BIGINT AS total FROM a LEFT JOIN b USING (p_partkey) LEFT JOIN c USING (p_partkey) GROUP BY 1"),
     "two_hop_min_identity": (two_hop, "SELECT o_custkey AS custkey, min(l_partkey) AS identity FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1"),
-    "ambiguous_lookup": (ambiguous_lookup, "WITH l AS (SELECT l_orderkey AS name, lpad(l_suppkey::VARCHAR, 8, '0') AS identity FROM lineitem WHERE l_orderkey < 4000), g AS (SELECT name, count(DISTINCT identity) AS identities, count(DISTINCT identity[1:7]) = 1 AS ok, min(identity) AS least FROM l GROUP BY name) SELECT CASE WHEN ok THEN 'accepted' ELSE 'ambiguous' END AS verdict, count(*) AS names, sum(identities)::BIGINT AS identities, min(CASE WHEN ok THEN least END) AS least FROM g GROUP BY 1"),
+    "ambiguous_lookup": (ambiguous_lookup, "WITH l AS (SELECT l_orderkey AS name, lpad(l_suppkey::VARCHAR, 8, '0') AS identity FROM lineitem), g AS (SELECT name, count(DISTINCT identity) AS identities, count(DISTINCT identity[1:7]) = 1 AS ok, min(identity) AS least FROM l GROUP BY name) SELECT CASE WHEN ok THEN 'accepted' ELSE 'ambiguous' END AS verdict, count(*) AS names, sum(identities)::BIGINT AS identities, min(CASE WHEN ok THEN least END) AS least FROM g GROUP BY 1"),
     "todo_anti": (todo_anti, "SELECT c_custkey AS k FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000)"),
     "membership_overlap": (membership, "WITH h AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') SELECT count(*) AS sampled, count(*) FILTER (k IS NULL) AS new, round(100 * (1 - count(*) FILTER (k IS NULL)::DOUBLE / count(*)), 4) AS overlap_pct FROM customer LEFT JOIN h ON c_custkey = k"),
     "witness_agreement": (witness, rf"WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS w, lang FROM documents), m AS (SELECT w, min(lang) AS lang FROM w WHERE regexp_matches(w, '^[a-z]{{5,}}$') GROUP BY w), g AS (SELECT {_SQUASH.format('w')} AS k, count(*) AS spellings, count(DISTINCT lang) AS langs FROM m GROUP BY 1 HAVING count(*) > 1) SELECT spellings, langs = 1 AS agree, count(*) AS n FROM g GROUP BY 1, 2"),
@@ -194,7 +194,7 @@ PLANS: Plans = {
     "resolver_cross_check": (cross_check, "WITH a AS (SELECT o_custkey AS k, min(o_orderstatus) AS x FROM orders GROUP BY 1), b AS (SELECT o_custkey AS k, max(o_orderstatus) AS y FROM orders WHERE o_totalprice > 50000 GROUP BY 1) SELECT CASE WHEN y IS NULL THEN 'none' WHEN x = y THEN 'agree' ELSE 'different' END AS verdict, count(*) AS n FROM a LEFT JOIN b USING (k) GROUP BY 1"),
     "any_code_semi": (codes, "WITH l AS (SELECT p_partkey, unnest([p_size::VARCHAR, (p_partkey % 50)::VARCHAR]) AS code FROM part) SELECT p_partkey, min(n_name) AS first_list, count(*) AS hits FROM l JOIN nation ON code = n_nationkey::VARCHAR GROUP BY 1"),
     "name_contains_join": (mentions_join, "WITH f AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), 'token|license|copyright|password')) AS name FROM documents) SELECT name, count(*) AS n, count(DISTINCT doc_id) AS docs FROM f GROUP BY name"),
-    "edit_plan_expected_counts": (edits, "WITH r AS (SELECT l_orderkey AS k, l_linenumber AS n, l_returnflag AS flag FROM lineitem WHERE l_orderkey < 3000), f AS (SELECT k, n, count(*) AS found FROM r GROUP BY 1, 2), e AS (SELECT o_orderkey AS k, 1 AS n FROM orders WHERE o_orderkey % 5 = 0), p AS (SELECT e.k, e.n, coalesce(found = 1, false) AS fits FROM e LEFT JOIN f USING (k, n)), o AS (SELECT CASE WHEN fits THEN 'X' ELSE flag END AS flag, CASE WHEN fits THEN 'was ' || flag ELSE '' END AS note, CASE WHEN fits THEN 'applied' WHEN fits IS NOT NULL THEN 'refused' ELSE 'none' END AS edit_status FROM r LEFT JOIN p USING (k, n)) SELECT edit_status, flag, note, count(*) AS n FROM o GROUP BY 1, 2, 3"),
+    "edit_plan_expected_counts": (edits, "WITH r AS (SELECT l_orderkey AS k, l_linenumber AS n, l_returnflag AS flag FROM lineitem), f AS (SELECT k, n, count(*) AS found FROM r GROUP BY 1, 2), e AS (SELECT o_orderkey AS k, 1 AS n FROM orders WHERE o_orderkey % 5 = 0), p AS (SELECT e.k, e.n, coalesce(found = 1, false) AS fits FROM e LEFT JOIN f USING (k, n)), o AS (SELECT CASE WHEN fits THEN 'X' ELSE flag END AS flag, CASE WHEN fits THEN 'was ' || flag ELSE '' END AS note, CASE WHEN fits THEN 'applied' WHEN fits IS NOT NULL THEN 'refused' ELSE 'none' END AS edit_status FROM r LEFT JOIN p USING (k, n)) SELECT edit_status, flag, note, count(*) AS n FROM o GROUP BY 1, 2, 3"),
     "before_after_diff": (before_after, "WITH b AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1), a AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1) SELECT *, 'left' AS side FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT *, 'right' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)"),
     "two_method_completeness": (sets, "WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 60000), b AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'O') SELECT count(*) FILTER (a.o_custkey IS NULL) AS missed, count(*) FILTER (b.o_custkey IS NULL) AS extra, count(*) FILTER (a.o_custkey IS NOT NULL AND b.o_custkey IS NOT NULL) AS both_have, count(*) AS together FROM a FULL JOIN b USING (o_custkey)"),
 }

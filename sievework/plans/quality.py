@@ -49,11 +49,11 @@ def earliest_k(spark: SparkSession, d: str) -> DataFrame:
 def repeat_suppression(spark: SparkSession, d: str) -> DataFrame:
     """Lines that name a part that the order has named before are suppressed."""
     w = Window.partitionBy("l_orderkey", "l_partkey").orderBy("l_linenumber", "l_extendedprice", "l_suppkey")
-    return table(spark, d, "lineitem").where(F.col("l_orderkey") < 6000).withColumn("n", F.row_number().over(w)).groupBy((F.col("n") > 1).alias("suppressed")).agg(F.count("*").alias("rows"))
+    return table(spark, d, "lineitem").withColumn("n", F.row_number().over(w)).groupBy((F.col("n") > 1).alias("suppressed")).agg(F.count("*").alias("rows"))
 
 
 def dup_suffix(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").where(F.col("l_orderkey") < 2000).select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("id"), "l_extendedprice", "l_partkey", "l_suppkey")
+    rows = table(spark, d, "lineitem").select(F.concat_ws(":", "l_orderkey", "l_linenumber").alias("id"), "l_extendedprice", "l_partkey", "l_suppkey")
     return Q.with_suffixes(rows, "id", [F.col("l_extendedprice"), F.col("l_partkey"), F.col("l_suppkey")]).select("id", "l_partkey")
 
 
@@ -178,8 +178,8 @@ PLANS: Plans = {
     "era_sample": (era_sample, "WITH e AS (SELECT o_orderkey, ((o_orderkey >= 1000)::INTEGER + (o_orderkey >= 5000)::INTEGER + (o_orderkey >= 10000)::INTEGER) AS era FROM orders) SELECT o_orderkey, era FROM (SELECT *, row_number() OVER (PARTITION BY era ORDER BY md5('era:' || o_orderkey::VARCHAR), o_orderkey) AS n FROM e) WHERE n <= 12"),
     "first_n_examples": (first_examples, f"{_J} SELECT reason, n::INTEGER AS n, doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY doc_id, pos) AS n FROM j) WHERE n <= 3"),
     "earliest_k": (earliest_k, "SELECT o_custkey, o_orderkey, o_orderstatus, n::INTEGER AS n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) AS n FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderstatus IN ('F', 'O')) WHERE n <= CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END"),
-    "repeat_suppression": (repeat_suppression, 'SELECT n > 1 AS suppressed, count(*) AS "rows" FROM (SELECT row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber) AS n FROM lineitem WHERE l_orderkey < 6000) GROUP BY 1'),
-    "dup_id_suffix": (dup_suffix, "SELECT CASE WHEN n > 1 THEN id || '-' || n::VARCHAR ELSE id END AS id, l_partkey FROM (SELECT id, l_partkey, row_number() OVER (PARTITION BY id ORDER BY l_extendedprice, l_partkey, l_suppkey) AS n FROM (SELECT *, l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR AS id FROM lineitem WHERE l_orderkey < 2000))"),
+    "repeat_suppression": (repeat_suppression, 'SELECT n > 1 AS suppressed, count(*) AS "rows" FROM (SELECT row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber) AS n FROM lineitem) GROUP BY 1'),
+    "dup_id_suffix": (dup_suffix, "SELECT CASE WHEN n > 1 THEN id || '-' || n::VARCHAR ELSE id END AS id, l_partkey FROM (SELECT id, l_partkey, row_number() OVER (PARTITION BY id ORDER BY l_extendedprice, l_partkey, l_suppkey) AS n FROM (SELECT *, l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR AS id FROM lineitem))"),
     "evidence_ids": (evidence_ids, r"WITH e AS (SELECT conv_id, turn, sha1('chat|' || conv_id::VARCHAR || '|' || role || '|' || trim(regexp_replace(text, '\s+', ' ', 'g')))[1:12] AS id FROM conversations) SELECT conv_id, turn, CASE WHEN n > 1 THEN id || '-' || n::VARCHAR ELSE id END AS id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY conv_id, turn) AS n FROM e)"),
     "nulls_last_rank": (nulls_last, "SELECT doc_id, row_number() OVER (PARTITION BY doc_id % 10 ORDER BY quality ASC NULLS LAST, doc_id)::INTEGER AS rank FROM documents LEFT JOIN labels USING (doc_id)"),
     "precision_recall_f1": (precision_recall, f"{_G}, t AS (SELECT count(*) FILTER (got AND want)::DOUBLE AS tp, count(*) FILTER (got AND NOT want)::DOUBLE AS fp, count(*) FILTER (NOT got AND want)::DOUBLE AS fn FROM g) {_PR}"),

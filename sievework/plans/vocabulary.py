@@ -15,8 +15,9 @@ STOP = ("the", "and", "that", "for", "les", "que", "der", "die", "und", "las", "
 
 
 def sentence_words(spark: SparkSession, d: str) -> DataFrame:
-    """w, doc_id, s for each word and sentence it stands in."""
-    return sentences(spark, d).select("doc_id", "s", F.explode(F.array_distinct(T.words("s"))).alias("w"))
+    """w, doc_id, k, s for each word and sentence it stands in; k is the sentence's digest, s goes unless it is asked for."""
+    split = sentences(spark, d).select("doc_id", "s", F.unhex(F.md5("s")).alias("k"), F.array_distinct(T.words("s")).alias("words"))
+    return split.select("doc_id", "s", "k", F.explode("words").alias("w"))
 
 
 def term_doc_freq(spark: SparkSession, d: str) -> DataFrame:
@@ -35,22 +36,22 @@ def pre_head_terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def attestations(spark: SparkSession, d: str) -> DataFrame:
-    return C.attestations(sentence_words(spark, d).where(F.col("w").isin("tion", "idiot", "thing", "avec", "nicht", "ciónción")), "w", "s", "doc_id")
+    return C.attestations(sentence_words(spark, d).where(F.col("w").isin("tion", "idiot", "thing", "avec", "nicht", "ciónción")), "w", "k", "doc_id", "s")
 
 
 def copy_factor(spark: SparkSession, d: str) -> DataFrame:
-    out = C.attestations(sentence_words(spark, d).where(F.length("w") > 14), "w", "s", "doc_id").where(F.col("docs") >= 3)
+    out = C.attestations(sentence_words(spark, d).where(F.length("w") > 14), "w", "k", "doc_id", "s").where(F.col("docs") >= 3)
     return out.where((F.col("copy_factor") >= 3) | (F.col("top_share") >= 0.5)).select("w", "docs", "copy_factor", F.md5("top_sentence").alias("top_sentence"))
 
 
 def boilerplate_ratio(spark: SparkSession, d: str) -> DataFrame:
     """Share of a term's documents that have its most common surroundings; a term that isn't there has zeros."""
     terms = spark.range(1).select(F.explode(F.array(*map(F.lit, ("token", "license", "copyright", "zzyx")))).alias("w"))
-    text = F.lower("text")
-    parts = F.split(text, "token|license|copyright")
-    found = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all(text, F.lit(r"((?:.{0,30})(?:token|license|copyright)(?:.{0,30}))"), 1)).alias("context"))
-    del parts
-    found = found.withColumn("w", F.regexp_extract("context", "(token|license|copyright)", 1))
+    hits = "token|license|copyright"
+    low = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t")).where(F.rlike("t", F.lit(hits)))
+    cut = low.select("doc_id", F.split("t", hits).alias("p"), F.regexp_extract_all("t", F.lit(f"({hits})"), 1).alias("h"))
+    around = F.transform("h", lambda w, i: F.struct(w.alias("w"), F.concat(F.right(F.get("p", i), F.lit(30)), w, F.left(F.get("p", i + 1), F.lit(30))).alias("context")))
+    found = cut.select("doc_id", F.explode(around).alias("x")).select("doc_id", "x.w", "x.context")
     per = found.groupBy("w", "context").agg(F.countDistinct("doc_id").alias("n"))
     modal = per.groupBy("w").agg(F.max("n").alias("modal"))
     docs = found.groupBy("w").agg(F.countDistinct("doc_id").alias("docs"))
@@ -64,7 +65,7 @@ def repeated_passages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def two_threshold_admission(spark: SparkSession, d: str) -> DataFrame:
-    out = C.attestations(sentence_words(spark, d), "w", "s", "doc_id")
+    out = C.attestations(sentence_words(spark, d), "w", "k", "doc_id")
     return out.where((F.col("docs") >= 20) & (F.col("attestations") >= 30)).select("w", "docs", "attestations")
 
 
@@ -122,7 +123,7 @@ PLANS: Plans = {
     "pre_head_terms": (pre_head_terms, f"WITH p AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '([a-z]+)[ ,]+(?:{'|'.join(HEADS)}) ', 1)) AS w FROM documents) SELECT w, count(*) AS n, count(DISTINCT doc_id) AS docs FROM p WHERE length(w) > 2 GROUP BY w"),
     "attestations": (attestations, f"{_WORDS}{_ATTEST} SELECT * FROM a WHERE w IN ('tion', 'idiot', 'thing', 'avec', 'nicht', 'ciónción')"),
     "copy_factor_top_sentence": (copy_factor, f"{_WORDS}{_ATTEST} SELECT w, docs, copy_factor, md5(top_sentence) AS top_sentence FROM a WHERE length(w) > 14 AND docs >= 3 AND (copy_factor >= 3 OR top_share >= 0.5)"),
-    "boilerplate_ratio": (boilerplate_ratio, "WITH t AS (SELECT unnest(['token', 'license', 'copyright', 'zzyx']) AS w), c AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '(.{0,30}(?:token|license|copyright).{0,30})')) AS context FROM documents), f AS (SELECT *, regexp_extract(context, '(token|license|copyright)', 1) AS w FROM c), p AS (SELECT w, context, count(DISTINCT doc_id) AS n FROM f GROUP BY w, context), m AS (SELECT w, max(n) AS modal FROM p GROUP BY w), dd AS (SELECT w, count(DISTINCT doc_id) AS docs FROM f GROUP BY w) SELECT w, coalesce(docs, 0) AS docs, coalesce(modal, 0) AS modal, round(coalesce(modal::DOUBLE / docs, 0), 6) AS ratio FROM t LEFT JOIN dd USING (w) LEFT JOIN m USING (w)"),
+    "boilerplate_ratio": (boilerplate_ratio, "WITH t AS (SELECT unnest(['token', 'license', 'copyright', 'zzyx']) AS w), c AS (SELECT doc_id, string_split_regex(lower(text), 'token|license|copyright') AS p, regexp_extract_all(lower(text), 'token|license|copyright') AS h FROM documents), f AS (SELECT doc_id, unnest(h) AS w, unnest(list_transform(range(1, len(h) + 1), lambda i: right(p[i], 30) || h[i] || left(p[i + 1], 30))) AS context FROM c), p AS (SELECT w, context, count(DISTINCT doc_id) AS n FROM f GROUP BY w, context), m AS (SELECT w, max(n) AS modal FROM p GROUP BY w), dd AS (SELECT w, count(DISTINCT doc_id) AS docs FROM f GROUP BY w) SELECT w, coalesce(docs, 0) AS docs, coalesce(modal, 0) AS modal, round(coalesce(modal::DOUBLE / docs, 0), 6) AS ratio FROM t LEFT JOIN dd USING (w) LEFT JOIN m USING (w)"),
     "repeated_passages": (repeated_passages, r"WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.;])\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM documents), q AS (SELECT doc_id, lower(trim(regexp_replace(s, '\s+', ' ', 'g'))) AS s FROM p) SELECT md5(s) AS passage, count(DISTINCT doc_id) AS docs FROM q WHERE length(s) > 40 AND length(s) < 600 GROUP BY s HAVING count(DISTINCT doc_id) >= 5"),
     "two_threshold_admission": (two_threshold_admission, f"{_WORDS}{_ATTEST} SELECT w, docs, attestations FROM a WHERE docs >= 20 AND attestations >= 30"),
     "vocab_conflicts": (vocab_conflicts, f"WITH v AS (SELECT * FROM {VOCABULARY_SQL} UNION ALL SELECT * FROM (VALUES ('the', 'link'), ('von', 'relation'), ('neu', 'article'))) SELECT lower(form) AS form, count(DISTINCT tag) AS tags, string_agg(DISTINCT tag, ';' ORDER BY tag) AS which FROM v GROUP BY 1 HAVING count(DISTINCT tag) > 1"),

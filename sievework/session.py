@@ -58,9 +58,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "sievework-checkpoints"))
 
 
+#: Bytes from which and up to which a table in few files is dealt out.
+SPREAD_FROM, SPREAD_TO = 1 << 20, 1 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the tables under a data folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the tables under a data folder.
+
+    A small table in fewer files than there are cores is dealt out to all of them, as a file of one row group is read by
+    one task; a large one, or one in many files, is read as it lies, without a shuffle.
+    """
+    where = f"{sf_dir}/{name}.parquet"
+    read = spark.read.parquet(where)
+    cores = spark.sparkContext.defaultParallelism
+    if len(read.inputFiles()) < cores:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+        size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        if SPREAD_FROM <= size < SPREAD_TO:
+            return read.repartition(cores)
+    return read
 
 
 def stash(df: DataFrame) -> DataFrame:

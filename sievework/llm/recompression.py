@@ -28,8 +28,8 @@ from .blocks import map_blocks
 WINDOW = 50
 #: (kind, words that a symbol taking part may stand for, longest run).
 ROUNDS = (("runs", 1, 2), ("pairs", 2, 0), ("pairs", 2, 0))
-#: Rows with marked documents up to which they are broadcast to pick out texts; beyond, texts are shuffled.
-BROADCAST_ROWS = 100_000
+#: Marked documents, and marks in them, up to which they are broadcast to pick out texts; beyond, texts are shuffled.
+BROADCAST_ROWS, BROADCAST_MARKS = 100_000, 2_000_000
 #: Rows of one context beyond which it is joined apart.
 HOT = 2_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -217,7 +217,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCA
     mixed = first.groupBy("name").agg(F.min("o.doc_id").alias("a"), F.max("o.doc_id").alias("b")).where(F.col("a") < F.col("b")).select("name")
     owners = first.select("name", "o").join(mixed, "name")
     marks = stash(owners.select("o.doc_id", F.struct("o.at", "o.n", "name").alias("mark")).groupBy("doc_id").agg(F.collect_set("mark").alias("marks")))
-    marks = F.broadcast(marks) if marks.count() <= broadcast_rows else marks
+    size = marks.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("marks")), F.lit(0)).alias("marks")).first()
+    marks = F.broadcast(marks) if size["docs"] <= broadcast_rows and size["marks"] <= BROADCAST_MARKS else marks
     windows = _windows(docs.select("doc_id", "text").join(marks, "doc_id"), window)
     least = windows.groupBy("name", "hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(F.col("first") < F.col("last"))
     single = windows.join(least, ["name", "hash"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "at", F.lit(1).alias("n"))

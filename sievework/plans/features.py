@@ -123,8 +123,13 @@ def mode_label(spark: SparkSession, d: str) -> DataFrame:
 
 
 def product_names(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", T.slug("p_name").alias("slug"), T.loose_key("p_name").alias("loose"), T.squash("p_name").alias("squashed"), T.plausible("p_name").alias("plausible"), T.ellipsis("p_name", 6).alias("short"))
+
+
+def product_variants(spark: SparkSession, d: str) -> DataFrame:
+    """The forms in which a product name may be looked up."""
     name = F.concat(F.col("p_name"), F.lit(" ("), F.col("p_brand"), F.lit(") 10% in DPG extra"))
-    return table(spark, d, "part").select("p_partkey", F.array_join(T.product_variants(name), "|").alias("variants"), T.slug("p_name").alias("slug"), T.loose_key("p_name").alias("loose"), T.squash("p_name").alias("squashed"), T.plausible("p_name").alias("plausible"), T.ellipsis("p_name", 6).alias("short"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(T.product_variants(name), "|").alias("variants"))
 
 
 def release_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -150,6 +155,7 @@ PLANS: Plans = {
     "numbered_cards": (cards, "WITH r AS (SELECT DISTINCT l_suppkey, l_returnflag || ' ' || l_linestatus AS t FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY t) AS n FROM r) SELECT l_suppkey, '{' || string_agg('\"Text ' || n::VARCHAR || '\":\"' || t || '\"', ',' ORDER BY n) || '}' AS card FROM n GROUP BY 1"),
     "measured_values": (measured_values, "WITH p AS (SELECT DISTINCT l_partkey, l_linenumber AS v, l_returnflag AS s FROM lineitem) SELECT l_partkey, string_agg(v::VARCHAR, ' || ' ORDER BY v, s) AS v_list, string_agg(s, ' || ' ORDER BY v, s) AS s_list FROM p GROUP BY 1"),
     "mode_label": (mode_label, "WITH c AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2) SELECT o_custkey, o_orderpriority, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, length(o_orderpriority) DESC, o_orderpriority) AS r FROM c) WHERE r = 1"),
-    "product_names": (product_names, None),
+    "product_names": (product_names, r"SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, regexp_replace(lower(p_name), '[^\p{L}\p{N}]', '', 'g') AS loose, translate(regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g'), 'loi', '101') AS squashed, len(regexp_extract_all(p_name, '[A-Za-z]')) >= 4 AS plausible, CASE WHEN length(p_name) > 6 THEN p_name[1:5] || '…' ELSE p_name END AS short FROM part"),
+    "product_variants": (product_variants, "SELECT p_partkey, p_name || ' extra|' || p_name || '|' || p_brand AS variants FROM part"),
     "release_counts": (release_counts, "WITH k AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) SELECT '{' || string_agg('\"' || o_orderstatus || '\":' || n::VARCHAR, ',' ORDER BY o_orderstatus) || '}' AS counts, sum(n)::BIGINT AS total FROM k"),
 }

@@ -79,7 +79,7 @@ PLANS: Plans = {
     "event_sessions": (sessions, "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g), n AS (SELECT user_id, s, count(*) AS n FROM s GROUP BY 1, 2) SELECT user_id, count(*) AS sessions, max(n) AS longest FROM n GROUP BY 1"),
     "section_tree": (section_tree, "WITH t AS (SELECT r_name AS heading, 0 AS depth FROM region UNION ALL SELECT n_name, 1 FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT s_name[1:8], 2 FROM supplier JOIN nation ON s_nationkey = n_nationkey) SELECT heading, depth, count(*) AS n FROM t WHERE heading IN ('ASIA', 'EUROPE', 'Supplier') GROUP BY 1, 2"),
     "heading_catalogue": (hosts, "SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/:]+)', 1) AS host FROM pages WHERE contains(regexp_extract(url, '^[a-z]+://([^/:]+)', 1), '.')"),
-    "line_sentences": (license_lines, None),
+    "line_sentences": (license_lines, r"WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents), p AS (SELECT doc_id, trim(unnest(string_split(regexp_replace(l, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)))) AS s FROM l) SELECT doc_id, md5(s) AS digest FROM p WHERE s <> '' AND regexp_matches(s, '(?i)licen[cs]e|copyright')"),
     "header_gaps": (headers, "SELECT round(60.0::DOUBLE / (o_orderkey % 30 + 1), 6) AS gap, count(*) AS n FROM orders GROUP BY 1"),
     "id_lookup": (id_lookup, "SELECT l_partkey AS asked, min(l_suppkey) AS cid FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1"),
     "incremental_todo": (incremental, "SELECT event_type, count(*) AS n FROM events WHERE event_id % 4 = 0 GROUP BY 1"),

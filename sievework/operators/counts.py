@@ -14,19 +14,17 @@ def frequencies(rows: DataFrame, term: str, doc: str) -> DataFrame:
 def attestations(rows: DataFrame, term: str, sentence: str, doc: str, text: str | None = None) -> DataFrame:
     """term, docs, attestations (distinct sentences), copy_factor, top_share; with a text column also top_sentence.
 
-    sentence may be a digest: then no sentence travels with each of its words. top_sentence is the least text among the
-    sentences in most documents; it is looked up for these alone.
+    sentence may be a digest: then no text travels with each of its words unless top_sentence (the least of those in most
+    documents) is asked for, which is for small vocabularies.
     """
-    once = rows.select(term, sentence, doc).distinct()
-    per_sentence = once.groupBy(term, sentence).agg(F.count("*").alias("d"))
+    extra = [text] if text else []
+    once = rows.select(term, sentence, doc, *extra).distinct()
+    per_sentence = once.groupBy(term, sentence).agg(F.count("*").alias("d"), *(F.min(t).alias("t") for t in extra))
     docs = once.select(term, doc).distinct().groupBy(term).agg(F.count("*").alias("docs"))
-    out = per_sentence.groupBy(term).agg(F.count("*").alias("attestations"), F.max("d").alias("most")).join(docs, term)
+    top = [F.min(F.struct((-F.col("d")).alias("d"), "t")).alias("top")] if text else []
+    out = per_sentence.groupBy(term).agg(F.count("*").alias("attestations"), F.max("d").alias("most"), *top).join(docs, term)
     columns = [term, "docs", "attestations", F.round(F.col("docs") / F.col("attestations"), 6).alias("copy_factor"), F.round(F.col("most") / F.col("docs"), 6).alias("top_share")]
-    if text is None:
-        return out.select(*columns)
-    top = per_sentence.join(out.select(term, "most"), term).where(F.col("d") == F.col("most")).select(term, sentence)
-    texts = rows.select(sentence, text).dropDuplicates([sentence])
-    return out.join(top.join(texts, sentence).groupBy(term).agg(F.min(text).alias("top_sentence")), term).select(*columns, "top_sentence")
+    return out.select(*columns, *([F.col("top.t").alias("top_sentence")] if text else []))
 
 
 def repeated(rows: DataFrame, passage: str, doc: str, least: int) -> DataFrame:

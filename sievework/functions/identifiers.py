@@ -180,3 +180,25 @@ def smiles_formula(x: Column | str) -> Column:
 
     run.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
     return vectorized("struct<formula: string, mass: double>")(run)(col(x))
+
+
+def utc_stamp(ts: Column | str | None = None) -> Column:
+    """ISO 8601 in UTC; of now, if no timestamp is given (then it doesn't belong into compared output)."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp() if ts is None else col(ts), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def hours_left(left: Column | str, delay: float) -> Column:
+    """Hours that so many requests take at half the greatest delay each."""
+    return col(left) * delay / 2 / 3600
+
+
+def response_class(status: Column | str, body: Column | str) -> Column:
+    """What a service's answer means for the caller: ok, gone (never ask again), quota, forbidden, retry."""
+    low = F.lower(F.coalesce(col(body), F.lit("")))
+    return F.when(col(status).between(200, 299), "ok").when(col(status).isin(404, 410), "gone").when((col(status) == 403) & F.rlike(low, F.lit("quota|too many|robot")), "quota").when(col(status) == 403, "forbidden").otherwise("retry")
+
+
+def renamed_keys(m: Column | str, names: dict[str, str]) -> Column:
+    """A map with some of its keys renamed."""
+    table = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+    return F.transform_keys(col(m), lambda k, _: F.coalesce(F.try_element_at(table, k), k))

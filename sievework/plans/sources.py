@@ -17,6 +17,17 @@ def range_split(spark: SparkSession, d: str) -> DataFrame:
     return R.split_ranges(table(spark, d, "orders").select((F.col("o_custkey") % 512).alias("u")), "u", 0, 512, 300)
 
 
+def prefix_split(spark: SparkSession, d: str) -> DataFrame:
+    return R.split_prefixes(table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("k")), "k", 500, 3)
+
+
+def answers(spark: SparkSession, d: str) -> DataFrame:
+    """Classes of service answers: numbers of orders stand for status codes."""
+    status = F.element_at(F.array(*map(F.lit, (200, 404, 403, 403, 500))), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    body = F.when(F.col("o_orderkey") % 5 == 2, "Quota exceeded")
+    return table(spark, d, "orders").groupBy(N.response_class(status, body).alias("answer")).agg(F.count("*").alias("n"))
+
+
 def date_windows(spark: SparkSession, d: str) -> DataFrame:
     """Three-year windows and whether they hit a cap."""
     year = F.year("o_orderdate")
@@ -74,6 +85,8 @@ def incremental(spark: SparkSession, d: str) -> DataFrame:
 
 PLANS: Plans = {
     "range_split": (range_split, "WITH RECURSIVE u AS (SELECT o_custkey % 512 AS u FROM orders), w(lo, hi) AS (SELECT 0, 512 UNION ALL SELECT CASE WHEN k = 0 THEN lo ELSE lo + (hi - lo) // 2 END, CASE WHEN k = 0 THEN lo + (hi - lo) // 2 ELSE hi END FROM w, (VALUES (0), (1)) t(k) WHERE hi - lo > 1 AND (SELECT count(*) FROM u WHERE u.u >= lo AND u.u < hi) >= 300), c AS (SELECT lo, hi, (SELECT count(*) FROM u WHERE u.u >= lo AND u.u < hi) AS n FROM w) SELECT lo, hi, n, CASE WHEN n = 0 THEN 'empty' WHEN n >= 300 THEN 'failed' ELSE 'ok' END AS status FROM c WHERE NOT (n >= 300 AND hi - lo > 1)"),
+    "prefix_split": (prefix_split, "WITH k AS (SELECT o_custkey::VARCHAR AS k FROM orders), a AS (SELECT k[1:1] AS p, count(*) AS n FROM k GROUP BY 1), b AS (SELECT k[1:2] AS p, count(*) AS n FROM k WHERE k[1:1] IN (SELECT p FROM a WHERE n >= 500) GROUP BY 1), c AS (SELECT k[1:3] AS p, count(*) AS n FROM k WHERE k[1:2] IN (SELECT p FROM b WHERE n >= 500 AND length(p) = 2) GROUP BY 1) SELECT p AS prefix, n, 'ok' AS status FROM a WHERE n < 500 UNION ALL SELECT p, n, CASE WHEN n >= 500 THEN 'failed' ELSE 'ok' END FROM b WHERE n < 500 OR length(p) < 2 UNION ALL SELECT p, n, CASE WHEN n >= 500 THEN 'failed' ELSE 'ok' END FROM c"),
+    "answer_classes": (answers, "SELECT CASE o_orderkey % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'gone' WHEN 2 THEN 'quota' WHEN 3 THEN 'forbidden' ELSE 'retry' END AS answer, count(*) AS n FROM orders GROUP BY 1"),
     "date_windows": (date_windows, "SELECT (year(o_orderdate) - year(o_orderdate) % 3)::INTEGER AS from_year, count(*) AS n, count(*) >= 6000 AS capped FROM orders GROUP BY 1"),
     "event_tumbling": (tumbling, "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"),
     "event_sessions": (sessions, "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g), n AS (SELECT user_id, s, count(*) AS n FROM s GROUP BY 1, 2) SELECT user_id, count(*) AS sessions, max(n) AS longest FROM n GROUP BY 1"),

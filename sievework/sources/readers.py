@@ -90,3 +90,23 @@ def split_ranges(rows: DataFrame, unit: str, low: int, high: int, cap: int) -> D
 def least_id(answers: DataFrame, asked: str, key: str, identity: str) -> DataFrame:
     """Of a batched lookup's answers those that are for the very key asked, and of several the least id."""
     return answers.where(F.col(asked) == F.col(key)).groupBy(asked).agg(F.min(identity).alias(identity))
+
+
+def split_prefixes(rows: DataFrame, text: str, cap: int, longest: int) -> DataFrame:
+    """prefix, n, status: prefixes that fewer than the cap of rows have, made longer where there are more.
+
+    At the longest prefix a window at the cap has status failed. A value shorter than a prefix is a window of its own.
+    Each row is counted in one prefix: the shortest of its prefixes that is below the cap.
+    """
+    counts = rows.where(F.col(text).isNotNull()).groupBy(F.substring(text, 1, longest).alias("p")).agg(F.count("*").alias("n"))
+    counts = stash(counts)
+    left, done = counts, None
+    for size in range(1, longest + 1):
+        level = left.groupBy(F.substring("p", 1, size).alias("prefix")).agg(F.sum("n").alias("n"))
+        over = (F.col("n") >= cap) & (F.length("prefix") == size)
+        last = F.lit(size == longest)
+        fits = level.where(~over | last).withColumn("status", F.when(F.col("n") >= cap, "failed").otherwise("ok"))
+        done = fits if done is None else done.unionByName(fits)
+        if size < longest:
+            left = left.withColumn("prefix", F.substring("p", 1, size)).join(level.where(over).select("prefix"), "prefix", "left_semi").drop("prefix")
+    return done

@@ -7,7 +7,7 @@ import json
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_field
@@ -60,3 +60,10 @@ def embed_json(df: DataFrame, template: str, mark: str = "__DATA__") -> str:
     """A page with the rows as JSON in it; "</" is escaped, so a row can't end the script."""
     rows = ",".join(r["j"] for r in df.select(F.to_json(F.struct("*")).alias("j")).collect())
     return template.replace(mark, f"[{rows}]".replace("</", "<\\/"))
+
+
+def markdown_sections(df: DataFrame, group: str, line: Column, order: list[str]) -> DataFrame:
+    """group, section: a heading and a list of the group's lines in order, as Markdown."""
+    rows = df.select(group, F.struct(*order, line.alias("_line")).alias("r"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: F.concat(F.lit("- "), r["_line"])), "\n")
+    return rows.groupBy(group).agg(body.alias("body")).select(group, F.concat(F.lit("## "), F.col(group).cast("string"), F.lit("\n\n"), F.col("body"), F.lit("\n")).alias("section"))

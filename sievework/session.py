@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
@@ -92,3 +93,9 @@ def stash(df: DataFrame) -> DataFrame:
     path = context._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(where)
+
+
+def small_side(df: DataFrame, most: int) -> DataFrame:
+    """The rows, written and counted; broadcast if they are no more than the bound, else joined as Spark plans it."""
+    held = stash(df)
+    return F.broadcast(held) if held.count() <= most else held

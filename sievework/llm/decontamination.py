@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, small_side
 from .natives import let, lower_ascii
 
 WINDOW, GRAM = 13, 5
@@ -22,6 +22,8 @@ WINDOW, GRAM = 13, 5
 BROADCAST_ROWS = 100_000
 #: Documents, and fingerprints in them, up to which those found are broadcast to pick out texts; beyond, texts are shuffled.
 BROADCAST_DOCS, BROADCAST_PAIRS = 100_000, 200_000
+#: Contaminated documents up to which their keys are broadcast to leave them out; beyond, texts are shuffled.
+BROADCAST_IDS = 1_000_000
 #: A fingerprint is 33 bits of hash above 31 bits of position, so that the least hash is also the leftmost.
 _PLACE = 31
 #: A mark that no k-gram has; it brings each document's number of words along.
@@ -176,5 +178,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, *
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **limits: int) -> DataFrame:
     """The rows of docs that aren't contaminated, with all their columns."""
     out = judged(docs, benchmark, window, **limits).where((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-    bad = out.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    bad = small_side(out.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), BROADCAST_IDS)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"]), "left_anti")

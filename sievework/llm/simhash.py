@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, small_side
 from .blocks import map_blocks
 from .pigeonhole import BITS, Group, divide, forest
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: Rows of a bucket up to which it stays whole.
 BUCKET = 4_096
+#: Dropped documents up to which their ids are broadcast; beyond, texts are shuffled to meet them.
+BROADCAST_IDS = 1_000_000
 #: Up to this size buckets are compared all at once, shifted against themselves.
 SMALL = 48
 
@@ -184,5 +186,5 @@ def group(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int
 def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
     """Of each group of near-duplicates the row with the least doc_id, with all its columns; rows with a null doc_id stay."""
     groups = group(docs, distance=distance, shingle=shingle)
-    dropped = groups.where(F.col("doc_id") != F.col("component")).select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = small_side(groups.where(F.col("doc_id") != F.col("component")).select(F.col("doc_id").alias("_dropped")).distinct(), BROADCAST_IDS)
     return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")

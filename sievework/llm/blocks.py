@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -26,12 +26,25 @@ def blocks(texts: list[str], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, in
         yield at, len(texts)
 
 
+#: Rows and bytes that one Arrow batch holds at most; a longer text is a batch of its own. What a session sets lower stays.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small: a Python worker holds a batch's texts, what becomes of them, and copies in transit."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(name, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
+
+
 def map_blocks(df: DataFrame, make: Callable[[], Callable[..., list[Any]]], schema: str, text_at: int | None = 1) -> DataFrame:
     """Send rows to Python in Arrow batches and cut them into blocks by the length of one text column.
 
     make() runs once in each task and gives work(*columns as lists) -> columns as lists (or Arrow arrays).
     The text column's nulls arrive as empty texts. text_at None: batches stay whole.
     """
+    bound_batches(df.sparkSession)
     parsed = _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
     target = to_arrow_schema(parsed)

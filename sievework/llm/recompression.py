@@ -9,7 +9,7 @@ room for on both sides of that symbol; equal windows are filed under equal names
 
 Windows next to each other that share a symbol make a context, known by its name and a hash of its words. Contexts that
 several documents share settle all their windows at once. Only where one name has several contexts are windows looked
-at one by one, and then only in the first document of each context.
+at one by one, and then only in the first document of each context, at every place where it has that context.
 """
 
 from __future__ import annotations
@@ -180,26 +180,23 @@ def contexts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """From doc_id, text, marks (array of at, n, name): doc_id, name (its low 32 bits), hash, at for every window of the marked contexts."""
+    """From doc_id, text, marks (array of contexts): doc_id, name (its low 32 bits), hash, at for every window of the marked contexts, wherever in the text they stand."""
 
     def make() -> Any:
         parser = Parser(window)
 
-        def work(ids: list, texts: list[str], marks: list[list[dict]]) -> list:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for key, text, own in zip(ids, texts, marks, strict=True):
-                hashes, _ = word_hashes([text])
-                sums = parser.sums(hashes)
-                at = np.concatenate([np.arange(m["at"], m["at"] + m["n"]) for m in own])
-                name = np.repeat([m["name"] for m in own], [m["n"] for m in own])
-                fits = at + window <= len(hashes)  # another row may have the same doc_id
-                at, name = at[fits], name[fits]
-                out[0].extend([key] * len(at))
-                out[1].append(name)
-                out[2].append(parser.passage(sums, at, at + window).view(np.int64))
-                out[3].append(at)
-            join = lambda xs: np.concatenate(xs) if xs else np.zeros(0, np.int64)
-            return [out[0], pa.array(join(out[1]).astype(np.int64).astype(np.int32)), pa.array(join(out[2])), pa.array(join(out[3]).astype(np.int32))]
+        def work(ids: list, texts: list[str], marks: list[list[int]]) -> list:
+            hashes, counts = word_hashes(texts)
+            owner, at, n, name, context = parser.contexts(hashes, counts)
+            row = np.repeat(np.arange(len(marks)), [len(m) for m in marks]).astype(np.uint64)
+            marked = _mix(np.array([c for m in marks for c in m], np.int64).view(np.uint64), row)
+            chosen = np.isin(_mix(context, owner.astype(np.uint64)), marked)
+            owner, at, n, name = owner[chosen], at[chosen], n[chosen], name[chosen]
+            nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            at, owner, name = np.repeat(at, n) + nth, np.repeat(owner, n), np.repeat(name, n)
+            word = at + (np.cumsum(counts) - counts)[owner]
+            found = parser.passage(parser.sums(hashes), word, word + window)
+            return [[ids[i] for i in owner.tolist()], pa.array(name.view(np.int64).astype(np.int32)), _signed(found), pa.array(at.astype(np.int32))]
 
         return work
 
@@ -209,14 +206,13 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
 def repeats(docs: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, at, n: windows (n of them from word `at` on) that also start in a document with a smaller doc_id."""
     every = stash(contexts(docs, window))
-    owner = F.min(F.struct("doc_id", "at", "n"))
-    first = stash(every.groupBy("name", "context").agg(owner.alias("o"), F.max("doc_id").alias("last"), F.count("*").alias("rows")))
-    shared = first.where(F.col("o.doc_id") < F.col("last")).select("name", "context", F.col("o.doc_id").alias("first"), "rows")
+    first = stash(every.groupBy("name", "context").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("rows")))
+    shared = first.where(F.col("first") < F.col("last")).select("name", "context", "first", "rows")
     settled = _settled(every, shared, broadcast_rows)
     # A window of one context may also be in another of the same name whose first document is a smaller one.
-    mixed = first.groupBy("name").agg(F.min("o.doc_id").alias("a"), F.max("o.doc_id").alias("b")).where(F.col("a") < F.col("b")).select("name")
-    owners = first.select("name", "o").join(mixed, "name")
-    marks = stash(owners.select("o.doc_id", F.struct("o.at", "o.n", "name").alias("mark")).groupBy("doc_id").agg(F.collect_set("mark").alias("marks")))
+    mixed = first.groupBy("name").agg(F.min("first").alias("a"), F.max("first").alias("b")).where(F.col("a") < F.col("b")).select("name")
+    owners = first.select("name", "context", F.col("first").alias("doc_id")).join(mixed, "name")
+    marks = stash(owners.groupBy("doc_id").agg(F.collect_set("context").alias("marks")))
     size = marks.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("marks")), F.lit(0)).alias("marks")).first()
     marks = F.broadcast(marks) if size["docs"] <= broadcast_rows and size["marks"] <= BROADCAST_MARKS else marks
     windows = _windows(docs.select("doc_id", "text").join(marks, "doc_id"), window)

@@ -103,6 +103,24 @@ def test_repeats_like_brute_force(spark):
     assert got(recompression.remove(df.limit(0))) == []
 
 
+def test_a_block_twice_in_a_later_document(spark):
+    """A document that owns contexts holds them at several places; all windows of an earlier one go at each of them."""
+    rng = random.Random(11)
+    make = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    docs = []
+    for k in range(12):
+        p, x, y = make(rng.choice([50, 60, 75, 200])), make(rng.choice([1, 10, 60])), make(rng.choice([1, 10, 60]))
+        block = [*x, *p, *y]
+        docs += [(10 * k, p), (10 * k + 1, [*block, *make(k % 3), *block]), (10 * k + 2, [*block, *block, *block])]
+        docs.append((10 * k + 3, [*p, *p]))
+    docs += [(200, ["run"] * 60), (201, [*(["run"] * 300), "end", *(["run"] * 300)])]
+    docs = [(i, " ".join(w)) for i, w in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for window in (50, 30):
+        assert got(recompression.remove(df, window=window)) == brute_repeats(docs, window)
+    assert got(recompression.remove(df, broadcast_rows=-1)) == brute_repeats(docs, 50)
+
+
 def test_margins_hold():
     """Inside two equal passages the symbols agree beyond the margins, whatever surrounds them."""
     rng = np.random.default_rng(5)

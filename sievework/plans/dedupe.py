@@ -54,15 +54,26 @@ def squash_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def benchmark_sentences(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that hold a whole benchmark text, found by its first words rather than by comparing all with all."""
-    first = 8
-    norm = lambda t: t.select("*", T.collapse("text").alias("t"))
-    head = F.array_join(F.slice(F.split("t", " "), 1, first), " ")
-    items = norm(table(spark, d, "benchmark")).select("item_id", F.col("t").alias("item"), F.xxhash64(head).alias("k"))
-    docs = norm(table(spark, d, "documents")).select("doc_id", "t", F.split("t", " ").alias("w"))
-    heads = F.sequence(F.lit(1), F.greatest(F.size("w") - first + 1, F.lit(1)))
-    keyed = docs.select("doc_id", "t", "w", F.explode(heads).alias("i")).select("doc_id", "t", F.xxhash64(F.array_join(F.slice("w", F.col("i"), first), " ")).alias("k"))
-    found = keyed.join(items, "k").where(F.contains("t", F.col("item")))
+    """Documents that hold a whole benchmark text, found by words of it rather than by comparing all with all.
+
+    The first and the last word of a text may be parts of a document's words (a quote before it, a stop after it), so its
+    key are up to `most` words between these, and documents are cut into runs of each length that occurs. A text of one
+    or two words has none between and is looked for in every document.
+    """
+    most = 8
+    norm = lambda t: t.select("*", T.collapse("text").alias("t")).select("*", F.split("t", " ").alias("w"))
+    key = lambda at, n: F.xxhash64(F.array_join(F.slice("w", at, n), " "))
+    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda i: key(i, F.lit(n)))
+    items = norm(table(spark, d, "benchmark")).where(F.col("t").isNotNull())
+    items = items.select("item_id", F.col("t").alias("item"), "w", F.greatest(F.least(F.size("w") - 2, F.lit(most)), F.lit(0)).alias("n"))
+    docs = norm(table(spark, d, "documents")).select("doc_id", "t", "w")
+    held = F.contains("t", F.col("item"))
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
+    found = docs.join(items.where(F.col("n") == 0).select("item_id", "item"), held).select("item_id", "doc_id")
+    if any(lengths):
+        keyed = docs.select("doc_id", "t", F.explode(F.array_distinct(F.flatten(F.array(*(runs(n) for n in lengths if n))))).alias("k"))
+        longer = keyed.join(items.where(F.col("n") > 0).select("item_id", "item", key(F.lit(2), F.col("n")).alias("k")), "k").where(held).select("item_id", "doc_id")
+        found = found.unionByName(longer) if 0 in lengths else longer
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("docs"))
 
 

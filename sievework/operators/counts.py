@@ -27,6 +27,20 @@ def attestations(rows: DataFrame, term: str, sentence: str, doc: str, text: str
     return out.select(*columns, *([F.col("top.t").alias("top_sentence")] if text else []))
 
 
+def suspects(rows: DataFrame, texts: DataFrame, term: str, sentence: str, doc: str, text: str, least: int = 3, copies: float = 3, share: float = 0.5) -> DataFrame:
+    """term, docs, copy_factor, top_sentence of terms in `least` documents or more that copies carry.
+
+    For large vocabularies: terms are counted by the digests of their sentences, and texts (digest, text) are met only by
+    the top sentences of terms that pass. A term that passes has few of these.
+    """
+    held = attestations(rows, term, sentence, doc).where(F.col("docs") >= least).where((F.col("copy_factor") >= copies) | (F.col("top_share") >= share))
+    per_sentence = rows.select(term, sentence, doc).distinct().groupBy(term, sentence).agg(F.count("*").alias("d"))
+    met = per_sentence.join(held.select(term), term)
+    most = met.groupBy(term).agg(F.max("d").alias("d"))
+    top = met.join(most, [term, "d"]).select(term, sentence).join(texts.select(sentence, text).distinct(), sentence)
+    return held.select(term, "docs", "copy_factor").join(top.groupBy(term).agg(F.min(text).alias("top_sentence")), term)
+
+
 def repeated(rows: DataFrame, passage: str, doc: str, least: int) -> DataFrame:
     """passage, docs for those in at least so many documents."""
     return rows.select(passage, doc).distinct().groupBy(passage).agg(F.count("*").alias("docs")).where(F.col("docs") >= least)

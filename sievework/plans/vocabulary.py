@@ -40,10 +40,17 @@ def attestations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def copy_factor(spark: SparkSession, d: str) -> DataFrame:
+    """Suspect terms of a stand-in for a term list: the words of more than 14 letters. suspect_terms has those of all words."""
     out = C.attestations(sentence_words(spark, d).where(F.length("w") > 14), "w", "k", "doc_id", "s").where(F.col("docs") >= 3)
     return out.where((F.col("copy_factor") >= 3) | (F.col("top_share") >= 0.5)).select("w", "docs", "copy_factor", F.md5("top_sentence").alias("top_sentence"))
 
 
+def suspect_terms(spark: SparkSession, d: str) -> DataFrame:
+    """Suspect terms among all words."""
+    words, texts = sentence_words(spark, d), sentences(spark, d).select(F.unhex(F.md5("s")).alias("k"), "s")
+    return C.suspects(words, texts, "w", "k", "doc_id", "s").select("w", "docs", "copy_factor", F.md5("top_sentence").alias("top_sentence"))
+
+
 def boilerplate_ratio(spark: SparkSession, d: str) -> DataFrame:
     """Share of a term's documents that have its most common surroundings; a term that isn't there has zeros."""
     terms = spark.range(1).select(F.explode(F.array(*map(F.lit, ("token", "license", "copyright", "zzyx")))).alias("w"))
@@ -123,6 +130,7 @@ PLANS: Plans = {
     "pre_head_terms": (pre_head_terms, f"WITH p AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '([a-z]+)[ ,]+(?:{'|'.join(HEADS)}) ', 1)) AS w FROM documents) SELECT w, count(*) AS n, count(DISTINCT doc_id) AS docs FROM p WHERE length(w) > 2 GROUP BY w"),
     "attestations": (attestations, f"{_WORDS}{_ATTEST} SELECT * FROM a WHERE w IN ('tion', 'idiot', 'thing', 'avec', 'nicht', 'ciónción')"),
     "copy_factor_top_sentence": (copy_factor, f"{_WORDS}{_ATTEST} SELECT w, docs, copy_factor, md5(top_sentence) AS top_sentence FROM a WHERE length(w) > 14 AND docs >= 3 AND (copy_factor >= 3 OR top_share >= 0.5)"),
+    "suspect_terms": (suspect_terms, f"{_WORDS}{_ATTEST} SELECT w, docs, copy_factor, md5(top_sentence) AS top_sentence FROM a WHERE docs >= 3 AND (copy_factor >= 3 OR top_share >= 0.5)"),
     "boilerplate_ratio": (boilerplate_ratio, "WITH t AS (SELECT unnest(['token', 'license', 'copyright', 'zzyx']) AS w), c AS (SELECT doc_id, string_split_regex(lower(text), 'token|license|copyright') AS p, regexp_extract_all(lower(text), 'token|license|copyright') AS h FROM documents), f AS (SELECT doc_id, unnest(h) AS w, unnest(list_transform(range(1, len(h) + 1), lambda i: right(p[i], 30) || h[i] || left(p[i + 1], 30))) AS context FROM c), p AS (SELECT w, context, count(DISTINCT doc_id) AS n FROM f GROUP BY w, context), m AS (SELECT w, max(n) AS modal FROM p GROUP BY w), dd AS (SELECT w, count(DISTINCT doc_id) AS docs FROM f GROUP BY w) SELECT w, coalesce(docs, 0) AS docs, coalesce(modal, 0) AS modal, round(coalesce(modal::DOUBLE / docs, 0), 6) AS ratio FROM t LEFT JOIN dd USING (w) LEFT JOIN m USING (w)"),
     "repeated_passages": (repeated_passages, r"WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.;])\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM documents), q AS (SELECT doc_id, lower(trim(regexp_replace(s, '\s+', ' ', 'g'))) AS s FROM p) SELECT md5(s) AS passage, count(DISTINCT doc_id) AS docs FROM q WHERE length(s) > 40 AND length(s) < 600 GROUP BY s HAVING count(DISTINCT doc_id) >= 5"),
     "two_threshold_admission": (two_threshold_admission, f"{_WORDS}{_ATTEST} SELECT w, docs, attestations FROM a WHERE docs >= 20 AND attestations >= 30"),

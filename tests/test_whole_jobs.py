@@ -15,3 +15,8 @@ def test_short_and_quoted_benchmark_texts(spark, tmp_path):
     query, sql = plans()["benchmark_contamination"]
     got, want = query(spark, str(tmp_path)).toPandas(), duck(str(tmp_path)).execute(sql).df()
     assert len(want) > 15 and differences(got, want) == ""
+
+
+def test_suspect_terms_of_any_length(spark):
+    whole, long = (plans()[n][0](spark, "/root/testdata/sf0.001").collect() for n in ("suspect_terms", "copy_factor_top_sentence"))
+    assert set(long) == {r for r in whole if len(r.w) > 14} and len(whole) > len(long)

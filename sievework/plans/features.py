@@ -43,12 +43,14 @@ def vector_norms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tsne_map(spark: SparkSession, d: str) -> DataFrame:
-    """A map of the distinct rounded event profiles; users of one profile share its place."""
+    """A place for each user on a map of event profiles rounded to whole numbers; users of one rounded profile share its place."""
     from ..session import ship_package
 
     ship_package(spark)
-    rows = X.profiles(table(spark, d, "events"), "user_id", "event_type", KINDS)
-    return X.embed(rows.groupBy(F.transform("profile", lambda x: F.round(x)).alias("profile")).agg(F.min("user_id").alias("user_id")), "user_id", "profile")
+    rows = X.profiles(table(spark, d, "events"), "user_id", "event_type", KINDS).select("user_id", F.transform("profile", lambda x: F.round(x)).alias("profile"))
+    groups = rows.groupBy("profile").agg(F.min("user_id").alias("least"))
+    places = X.embed(groups, "least", "profile").withColumnRenamed("least", "_least")
+    return rows.join(groups, "profile").join(places, F.col("least").eqNullSafe(F.col("_least"))).select("user_id", "x", "y")
 
 
 def smiles_formula(spark: SparkSession, d: str) -> DataFrame:

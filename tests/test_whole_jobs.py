@@ -20,3 +20,12 @@ def test_short_and_quoted_benchmark_texts(spark, tmp_path):
 def test_suspect_terms_of_any_length(spark):
     whole, long = (plans()[n][0](spark, "/root/testdata/sf0.001").collect() for n in ("suspect_terms", "copy_factor_top_sentence"))
     assert set(long) == {r for r in whole if len(r.w) > 14} and len(whole) > len(long)
+
+
+def test_map_has_every_user(spark, tmp_path):
+    """User n has n // 2 clicks and as many views: pairs of users have one profile, and some round to the same one."""
+    events = [(n, kind) for n in range(2, 40) for kind in ("click", "view") for _ in range(n // 2)]
+    spark.createDataFrame(events, "user_id long, event_type string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows = plans()["tsne_map"][0](spark, str(tmp_path)).collect()
+    assert sorted(r.user_id for r in rows) == list(range(2, 40))
+    assert len({(r.x, r.y) for r in rows}) == len({round((n // 2) ** 0.5) for n in range(2, 40)})

@@ -65,6 +65,8 @@ def swapped(words: set[str]) -> set[str]:
 class Model:
     weights: dict[str, float]
     bias: float
+    #: False where there were no labelled rows to fit on.
+    fitted: bool = True
 
     def scorer(self) -> Any:
         known: dict[str, tuple[str, ...]] = {}
@@ -137,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", counterfactual
         total = rows.groupBy().agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
         n, p = total["n"], total["p"] or 0
         if not n:
-            return Model({}, 0.0)
+            return Model({}, 0.0, fitted=False)
         with_label, without = F.col("a") / max(p, 1), F.col("b") / max(n - p, 1)
         pooled = (F.col("a") + F.col("b") + 1) / (n + 2)
         z = F.abs(with_label - without) / F.sqrt(pooled * (1 - pooled) * (1 / max(p, 1) + 1 / max(n - p, 1)))
@@ -185,6 +187,8 @@ def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> D
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows that score below the threshold, with all their columns."""
-    names = docs.columns
-    return score(docs, fit(docs, labels), names, name="_toxicity").where(F.col("_toxicity") < threshold).select(*(F.col(f"`{c}`") for c in names))
+    """The rows that score below the threshold, with all their columns; all rows if no labelled one lies outside the held-out fold."""
+    names, model = docs.columns, fit(docs, labels)
+    if not model.fitted:
+        return docs
+    return score(docs, model, names, name="_toxicity").where(F.col("_toxicity") < threshold).select(*(F.col(f"`{c}`") for c in names))

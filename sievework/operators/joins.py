@@ -5,6 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fits
+
+#: Rows of one key beyond which it is joined apart, and keys that may be.
+HOT, HOT_KEYS = 2_000, 100_000
+
+
+def join_one(many: DataFrame, one: DataFrame, keys: list[str], rows: str = "rows", hot: int = HOT, most: int = HOT_KEYS) -> DataFrame:
+    """many joined with a written side that has one row for each key and says how many rows of `many` the key has.
+
+    Keys with more than `hot` rows meet these where they lie, by broadcast, so no task gets all rows of one; at most one
+    row in `hot` names such a key. The others are joined by key, as are all if the hot side doesn't fit a broadcast.
+    """
+    above = one.where(F.col(rows) > hot)
+    if above.limit(1).count() == 0 or not fits(above, most):
+        return many.join(one, keys)
+    rest = many.join(F.broadcast(above.select(*keys)), keys, "left_anti").join(one.where(F.col(rows) <= hot), keys)
+    return many.join(F.broadcast(above), keys).unionByName(rest)
+
 
 def carry_forward(candidates: DataFrame, decided: DataFrame, keys: list[str], carried: list[str], order: str) -> DataFrame:
     """Each candidate once for every decided row of its key, the parent (null order) first; undecided ones once with nulls."""

@@ -72,11 +72,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     where = f"{sf_dir}/{name}.parquet"
     read = spark.read.parquet(where)
     cores = spark.sparkContext.defaultParallelism
-    if len(read.inputFiles()) < cores:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
-        size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-        if SPREAD_FROM <= size < SPREAD_TO:
-            return read.repartition(cores)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    held = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path)
+    if held.getFileCount() < cores and SPREAD_FROM <= held.getLength() < SPREAD_TO:
+        return read.repartition(cores)
     return read
 
 
@@ -95,7 +94,17 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(where)
 
 
+#: Bytes that a broadcast side may hold, as measured by the length of its rows written as JSON.
+BROADCAST_BYTES = 64 << 20
+
+
+def fits(held: DataFrame, most: int, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows are no more than the bound, nor their bytes; rows should be written already, as they are read for this."""
+    size = held.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in held.columns))))), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= most and size["bytes"] <= most_bytes
+
+
 def small_side(df: DataFrame, most: int) -> DataFrame:
-    """The rows, written and counted; broadcast if they are no more than the bound, else joined as Spark plans it."""
+    """The rows, written and measured; broadcast if they and their bytes are within the bounds, else joined as Spark plans it."""
     held = stash(df)
-    return F.broadcast(held) if held.count() <= most else held
+    return F.broadcast(held) if fits(held, most) else held

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from ..session import ship_package
+
 #: Characters that one block of texts holds, except where a single text is longer.
 BLOCK_CHARS = 1 << 21
 
@@ -44,6 +46,7 @@ def map_blocks(df: DataFrame, make: Callable[[], Callable[..., list[Any]]], sche
     make() runs once in each task and gives work(*columns as lists) -> columns as lists (or Arrow arrays).
     The text column's nulls arrive as empty texts. text_at None: batches stay whole.
     """
+    ship_package(df.sparkSession)
     bound_batches(df.sparkSession)
     parsed = _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
@@ -59,6 +62,6 @@ def map_blocks(df: DataFrame, make: Callable[[], Callable[..., list[Any]]], sche
                 ranges = blocks(columns[text_at])
             for a, b in ranges:
                 out = work(*(c[a:b] for c in columns))
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(out, target, strict=True)], schema=target)
+                yield pa.RecordBatch.from_arrays([x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(out, target, strict=True)], schema=target)
 
     return df.mapInArrow(run, parsed)

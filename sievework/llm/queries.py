@@ -125,13 +125,13 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 _REPEATS_SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-g AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT r, doc_id, i, array_to_string(w[i : i + 49], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
 f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g),
-x AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM g JOIN f USING (g) WHERE doc_id > first),
-p AS (SELECT doc_id, list(p) AS gone FROM x GROUP BY doc_id),
-k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS r, CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END AS kept FROM d LEFT JOIN p USING (doc_id))
-SELECT doc_id, n::BIGINT AS n_words, r::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+x AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS p FROM g JOIN f USING (g) WHERE doc_id > first),
+p AS (SELECT r, list(p) AS gone FROM x GROUP BY r),
+k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS m, CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END AS kept FROM d LEFT JOIN p USING (r))
+SELECT doc_id, n::BIGINT AS n_words, m::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
 """
 
 

@@ -121,18 +121,46 @@ def test_a_block_twice_in_a_later_document(spark):
     assert got(recompression.remove(df, broadcast_rows=-1)) == brute_repeats(docs, 50)
 
 
-def test_margins_hold():
-    """Inside two equal passages the symbols agree beyond the margins, whatever surrounds them."""
+def test_proper_symbols_agree():
+    """In two equal windows the proper symbols are the same, whatever surrounds them; so is the one that is chosen."""
     rng = np.random.default_rng(5)
-    for alphabet in (2, 5, 1000):
+    for alphabet in (1, 2, 5, 1000):
         pool = rng.integers(0, 1 << 62, alphabet).astype(np.uint64)
-        passage = pool[rng.integers(0, alphabet, 80)]
-        seen = []
+        passage = pool[rng.integers(0, alphabet, 50)]
+        seen, chosen = [], []
         for _ in range(6):
             left, right = (pool[rng.integers(0, alphabet, rng.integers(0, 40))] for _ in range(2))
-            text = np.concatenate([left, passage, right])
-            names, start = recompression.rename(text, np.zeros(len(text), np.int64))
-            stop, a = np.append(start[1:], len(text)), len(left)
-            inside = (start >= a + recompression.MARGIN) & (stop <= a + 80 - recompression.MARGIN)
-            seen.append(list(zip((start - a)[inside].tolist(), names[inside].tolist(), strict=True)))
-        assert all(s == seen[0] for s in seen) and seen[0]
+            text, a = np.concatenate([left, passage, right]), len(left)
+            parse = recompression.Parse(text, np.array([len(text)]), 50)
+            for number in range(5):
+                born = parse.round(number)
+                inside = (born.lo >= a) & (born.hi <= a + 50)
+                seen.append({(number, int(s) - a, int(n)) for s, n in zip(born.start[inside], born.names[inside], strict=True)})
+                parse.know(born, recompression.Filter(3, np.full(1, 255, np.uint8)))
+            at, name, level, place = parse.chosen()
+            w = int(np.flatnonzero(at == a)[0])
+            chosen.append((int(name[w]), int(level[w]), int(place[w]) - a))
+        assert all(seen[k] == seen[k % 5] for k in range(len(seen))) and all(c == chosen[0] for c in chosen)
+        assert alphabet < 1000 or (seen[0] and chosen[0][1] > 1)
+
+
+def test_rows_of_one_id_are_apart(spark):
+    """A row whose words stand nowhere else stays whole though its doc_id is that of a row with repeats; ids may be texts."""
+    a, b = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    docs = [(1, a), (5, a), (5, b), (5, b)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute_repeats(docs, 50)
+    assert [(r[0], r[2]) for r in want].count((5, 0)) == 2 and got(recompression.remove(df)) == want
+    texts = df.withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert sorted(r[2] for r in got(recompression.remove(texts))) == [0, 0, 0, 80]
+
+
+def test_a_round_that_clashes_is_named_anew(spark, monkeypatch):
+    born = spark.createDataFrame([(1, 1, 1), (1, 2, 2), (3, 3, 1), (3, 3, 2), (4, 4, 1)], "name long, made_of long, doc_id long")
+    monkeypatch.setattr(recompression, "_births", lambda rows, rounds, seed, window: born if seed == 0 else born.where("name > 1"))
+    done, many = recompression._named(born, [], 50)
+    assert done.seed == 1 and many == 1
+    assert done.shared.has(np.array([3], np.uint64)).all()
+    names = np.random.default_rng(1).integers(0, 1 << 63, 2000).astype(np.uint64) * np.uint64(2)
+    held = recompression._filter(spark.createDataFrame([(int(x),) for x in names[:1000].view(np.int64)], "name long"), 1000)
+    assert held.has(names[:1000]).all() and held.has(names[1000:]).mean() < 0.1

@@ -65,3 +65,10 @@ def map_blocks(df: DataFrame, make: Callable[[], Callable[..., list[Any]]], sche
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(out, target, strict=True)], schema=target)
 
     return df.mapInArrow(run, parsed)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """The name, lengthened until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name

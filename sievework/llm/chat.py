@@ -72,19 +72,30 @@ def format_turns(turns: DataFrame, learn: tuple[str, ...] = ("assistant",)) -> D
     return out.withColumn("expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda s, a: s + F.coalesce(a["tokens"], F.lit(0))))
 
 
+def read_parts(body: Column) -> Column:
+    """The typed parts of a turn's body, in order: type and, of texts, text. A text can't look like a placeholder, as it is escaped."""
+
+    def part(x: Column) -> Column:
+        kind = F.coalesce(*(F.when(x == f"<|{k}|>", F.lit(k)) for k in PLACEHOLDER_TOKENS), F.lit("text"))
+        return F.struct(kind.alias("type"), F.when(kind == "text", unescape(x)).alias("text"))
+
+    return F.transform(F.split(body, PART.replace("|", r"\|")), part)
+
+
 def read_turns(formatted: Column) -> Column:
-    """Array of role, body (still escaped) and text, parsed from a formatted conversation."""
+    """Array of role, body (still escaped), text and parts, parsed from a formatted conversation. text: the texts alone, one after the other."""
 
     def turn(segment: Column) -> Column:
         role = F.substring_index(segment, BODY, 1)
         start = F.length(role) + len(BODY) + 1
         body = F.substring(segment, start, F.length(segment) - start + 1 - len(END))
-        return F.struct(unescape(role).alias("role"), body.alias("body"), unescape(F.replace(body, F.lit(PART), F.lit(""))).alias("text"))
+        parts = read_parts(body)
+        return F.struct(unescape(role).alias("role"), body.alias("body"), F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"), parts.alias("parts"))
 
     segments = F.split(formatted, TURN.replace("|", r"\|"))
     return F.transform(F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0))), turn)
 
 
-def read_loss(turns: Column, loss_spans: Column) -> Column:
-    """The text under the loss mask, unescaped: the masked length of each masked turn's body."""
-    return let(turns, lambda t: F.array_join(F.transform(loss_spans, lambda s: unescape(F.replace(F.substring(F.get(t, s["turn"])["body"], F.lit(1), (s["stop"] - s["start"]).cast("int")), F.lit(PART), F.lit("")))), ""))
+def read_loss(formatted: Column, loss_spans: Column) -> Column:
+    """The text under the loss mask: what stands in the output from each span's start to its stop, unescaped."""
+    return let(formatted, lambda f: F.array_join(F.transform(loss_spans, lambda s: unescape(F.replace(F.substring(f, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")), F.lit(PART), F.lit("")))), ""))

@@ -16,8 +16,9 @@ def held_out(key: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """Up to `most` labelled rows outside the held-out fold, least hash first: text, y.
 
-    The labels' rows are cut to the bound before the join, so what is broadcast is bounded too. Null labels and null
-    keys take no part; a key that is labelled twice counts once, with its greatest label.
+    Null labels and null keys take no part; a key that is labelled twice counts once, with its greatest label; a key with
+    several rows counts once, with the text of least hash. So there are no more rows than the bound, and the same ones
+    however the tables are dealt out. The labels' rows are cut before the join: what is broadcast is bounded too.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -28,4 +29,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
         .limit(most)
         .select(F.col("doc_id").alias("_key"), "_y")
     )
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_key"]).select(F.coalesce(docs["text"], F.lit("")).alias("text"), F.col("_y").alias("y"))
+    text = F.coalesce(docs["text"], F.lit(""))
+    met = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_key"]).select("_key", F.struct(F.xxhash64(text).alias("hash"), text.alias("text"), F.col("_y").alias("y")).alias("row"))
+    return met.groupBy("_key").agg(F.min("row").alias("row")).select("row.text", "row.y")

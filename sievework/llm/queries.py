@@ -27,9 +27,9 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = F.array(*(F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))))
     hostile = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.explode(turns).alias("t")).select("conv_id", "t.turn", "t.role", F.lit(HOSTILE).alias("text"))
     formatted = chat.format_turns(given.unionByName(hostile).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))
-    read = formatted.select("conv_id", "n_turns", F.length("formatted").cast("long").alias("formatted_chars"), "loss_spans", chat.read_turns(F.col("formatted")).alias("turns"))
+    read = formatted.select("conv_id", "n_turns", F.length("formatted").cast("long").alias("formatted_chars"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"), chat.read_turns(F.col("formatted")).alias("turns"))
     plain = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    read = read.withColumns({"plain": plain, "loss": chat.read_loss(F.col("turns"), F.col("loss_spans"))})
+    read = read.withColumn("plain", plain)
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2("plain", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 

@@ -11,8 +11,8 @@ them the symbol is proper to the window, and every equal window has an equal pro
 with a proper symbol that one document alone has can't be in another, so after the first round the corpus shrinks to
 segments of windows that are still alive, and on with every round.
 
-After the last round each window is filed under the highest proper symbol it has (the least name of these, leftmost).
-Windows next to each other that share a symbol make a context, known by name and a hash of its words. Contexts that
+After the last round each window is filed under the highest proper symbol it has (the least name of these).
+Windows next to each other that are filed alike make a context, known by name and a hash of its words. Contexts that
 several documents share settle all their windows at once; where one symbol has several contexts, windows are looked at
 one by one in the first document of each, at every place where it has that context. What is found this way is joined
 to whole passages, and the words of each are compared with those of the document where it stood first.
@@ -25,7 +25,6 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -186,36 +185,36 @@ class Parse:
         self.alive &= np.cumsum(kill)[:-1] <= 0
         self.levels.append(born.where(known))
 
-    def chosen(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each living window: its first word, and name, level and first word of the symbol under which it is filed."""
+    def chosen(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each living window: its first word, and name and level of the symbol under which it is filed."""
         at = np.arange(self.total)
-        name, level, place = np.zeros(self.total, np.uint64), np.zeros(self.total, np.int64), np.full(self.total, -1)
+        name, level = np.zeros(self.total, np.uint64), np.full(self.total, -1)
         open_ = self.alive.copy()
         words = Births(self.hashes, self.hashes, at, at, at + 1)
         for number, born in [*reversed(list(enumerate(self.levels, 1))), (0, words)]:
             born = born.where(self.proper(born, open_))
-            born = born.where(np.lexsort((born.start, born.names))[::-1])  # of several put in one place, the last stays
+            born = born.where(np.argsort(born.names)[::-1])  # of several put in one place, the last stays
             for step in range(self.window):
                 window = born.lo - step
                 fits = np.flatnonzero((window >= 0) & (born.hi - self.window <= window))
                 fits = fits[open_[window[fits]]]
-                w, names, start = window[fits], born.names[fits], born.start[fits]
-                better = (place[w] < 0) | (names < name[w]) | ((names == name[w]) & (start < place[w]))
-                w, fits = w[better], fits[better]
-                name[w], place[w], level[w] = born.names[fits], born.start[fits], number
-            open_ &= place < 0
+                w, names = window[fits], born.names[fits]
+                better = (level[w] < 0) | (names < name[w])
+                w = w[better]
+                name[w], level[w] = names[better], number
+            open_ &= level < 0
             if not open_.any():
                 break
         at = np.flatnonzero(self.alive)
-        return at, name[at], level[at], place[at]
+        return at, name[at], level[at]
 
 
 class Parser:
     def __init__(self, window: int, rounds: list[Round]) -> None:
         self.window, self.rounds, self.powers = window, rounds, Powers()
 
-    def parse(self, hashes: np.ndarray, counts: np.ndarray) -> Parse:
-        out = Parse(hashes, counts, self.window)
+    def parse(self, words: Words) -> Parse:
+        out = Parse(words.hashes, words.counts, self.window)
         for r in self.rounds:
             born = out.round(r.seed)
             if r.shared is not None:
@@ -231,23 +230,41 @@ class Parser:
         """Hash of the words from a up to b, wherever they stand."""
         return _mix((sums[b] - sums[a]) * self.powers.upto(len(sums))[1][a], (b - a).astype(np.uint64))
 
-    def contexts(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    def contexts(self, words: Words) -> tuple[np.ndarray, ...]:
         """document, first window (its first word, from 0 in the document), windows, name, hash of the words of each context."""
-        parse = self.parse(hashes, counts)
-        at, name, level, place = parse.chosen()
-        first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (level[1:] != level[:-1]) | (at[1:] != at[:-1] + 1))) if len(at) else at
+        parse = self.parse(words)
+        at, name, level = parse.chosen()
+        first = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (level[1:] != level[:-1]) | (at[1:] != at[:-1] + 1))) if len(at) else at
         many = np.diff(first, append=len(at))
         word = at[first]
         owner = parse.owner[word]
-        return owner, word - parse.begin[owner], many, _mix(name[first], level[first].astype(np.uint64)), self.passage(self.sums(hashes), word, word + many + self.window - 1)
+        return owner, word - parse.begin[owner], many, _mix(name[first], level[first].astype(np.uint64)), self.passage(self.sums(words.hashes), word, word + many + self.window - 1)
 
 
-def word_hashes(texts: list[str]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """The words (split at ASCII white space) of each text, their hashes one after the other, and their number in each."""
-    split = [t.encode().split() for t in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    digest = xxhash.xxh64_intdigest
-    return split, np.fromiter((digest(w) for ws in split for w in ws), np.uint64, int(counts.sum())), counts
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BYTE = _mix(np.arange(1, 257).astype(np.uint64), np.uint64(1))
+
+
+class Words:
+    """The words (split at ASCII white space) of a block of texts: their hashes one after the other, and how many each text has."""
+
+    def __init__(self, texts: list[str], powers: Powers) -> None:
+        coded = [t.encode() for t in texts]
+        self.data = b"\n".join([b"", *coded, b""])
+        data = np.frombuffer(self.data, np.uint8)
+        space = _SPACE[data]
+        self.first = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        self.stop = np.flatnonzero(~space[:-1] & space[1:]) + 1
+        up, down = powers.upto(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+        self.hashes = _mix((sums[self.stop] - sums[self.first]) * down[self.first], (self.stop - self.first).astype(np.uint64))
+        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) + 1)
+        self.counts = np.diff(np.searchsorted(self.first, ends, "right"), prepend=0)
+
+    def text(self, a: int, b: int) -> str:
+        """Words a up to b, and what is between them."""
+        return self.data[self.first[a] : self.stop[b - 1]].decode()
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -266,7 +283,7 @@ def _births(rows: DataFrame, rounds: list[Round], seed: int, window: int) -> Dat
         parser = Parser(window, known.value)
 
         def work(ids: list, texts: list[str]) -> list:
-            parse = parser.parse(*word_hashes(texts)[1:])
+            parse = parser.parse(Words(texts, parser.powers))
             born = parse.round(seed)
             return [_signed(born.names), _signed(born.left), pa.array(ids).take(pa.array(parse.owner[born.start]))]
 
@@ -306,16 +323,16 @@ def _segments(rows: DataFrame, rounds: list[Round], window: int) -> DataFrame:
         parser = Parser(window, known.value)
 
         def work(ids: list, texts: list[str], hashes: list[int]) -> list:
-            split, words, counts = word_hashes(texts)
-            parse = parser.parse(words, counts)
+            words = Words(texts, parser.powers)
+            parse = parser.parse(words)
             at = np.flatnonzero(parse.alive)
             owner = parse.owner[at]
             fresh = np.flatnonzero(np.append(True, (at[1:] > at[:-1] + window) | (owner[1:] != owner[:-1]))) if len(at) else at
             last = at[np.append(fresh[1:], len(at)) - 1] + window if len(at) else at
             own = owner[fresh]
             begin = parse.begin[own]
-            spans = list(zip(own.tolist(), (at[fresh] - begin).tolist(), (last - begin).tolist(), strict=True))
-            return [[ids[i] for i, _, _ in spans], [hashes[i] for i, _, _ in spans], [a for _, a, _ in spans], [b" ".join(split[i][a:b]).decode() for i, a, b in spans]]
+            mine = own.tolist()
+            return [[ids[i] for i in mine], [hashes[i] for i in mine], at[fresh] - begin, list(map(words.text, at[fresh].tolist(), last.tolist()))]
 
         return work
 
@@ -330,7 +347,7 @@ def _contexts(segments: DataFrame, rounds: list[Round], window: int) -> DataFram
         parser = Parser(window, known.value)
 
         def work(ids: list, texts: list[str], hashes: list[int], segs: list[int]) -> list:
-            owner, at, n, name, context = parser.contexts(*word_hashes(texts)[1:])
+            owner, at, n, name, context = parser.contexts(Words(texts, parser.powers))
             seg = np.array(segs, np.int64)[owner]
             mine = owner.tolist()
             return [[ids[i] for i in mine], [hashes[i] for i in mine], seg, seg + at, n, _signed(name), _signed(context)]
@@ -348,16 +365,16 @@ def _windows(segments: DataFrame, rounds: list[Round], window: int) -> DataFrame
         parser = Parser(window, known.value)
 
         def work(ids: list, texts: list[str], hashes: list[int], segs: list[int], marks: list[list[int]]) -> list:
-            _, words, counts = word_hashes(texts)
-            owner, at, n, name, context = parser.contexts(words, counts)
+            words = Words(texts, parser.powers)
+            owner, at, n, name, context = parser.contexts(words)
             row = np.repeat(np.arange(len(marks)), [len(m) for m in marks]).astype(np.uint64)
             marked = _mix(np.array([c for m in marks for c in m], np.int64).view(np.uint64), row)
             chosen = np.isin(_mix(context, owner.astype(np.uint64)), marked)
             owner, at, n, name = owner[chosen], at[chosen], n[chosen], name[chosen]
             nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             at, owner, name = np.repeat(at, n) + nth, np.repeat(owner, n), np.repeat(name, n)
-            word = at + (np.cumsum(counts) - counts)[owner]
-            found = parser.passage(parser.sums(words), word, word + window)
+            word = at + (np.cumsum(words.counts) - words.counts)[owner]
+            found = parser.passage(parser.sums(words.hashes), word, word + window)
             seg, mine = np.array(segs, np.int64)[owner], owner.tolist()
             return [[ids[i] for i in mine], [hashes[i] for i in mine], seg, seg + at, _signed(name), _signed(found)]
 
@@ -421,7 +438,7 @@ def passages(found: DataFrame, segments: DataFrame, window: int = WINDOW) -> Dat
     keys = ["of_id", "of_hash", "seg", "of_at", "n"]
     wanted = whole.groupBy(*keys).agg(F.count("*").alias("rows")).groupBy("of_id", "of_hash", "seg").agg(F.collect_list(F.struct("of_at", "n", "rows")).alias("wanted"))
     texts = segments.select(F.col("doc_id").alias("of_id"), F.col("hash").alias("of_hash"), "seg", "text").join(wanted, ["of_id", "of_hash", "seg"])
-    cut = texts.select("of_id", "of_hash", "seg", F.split("text", " ").alias("w"), F.explode("wanted").alias("x"))
+    cut = texts.select("of_id", "of_hash", "seg", F.split("text", r"[ \t\n\x0B\f\r]+").alias("w"), F.explode("wanted").alias("x"))
     cut = cut.select("of_id", "of_hash", "seg", F.col("x.of_at").alias("of_at"), F.col("x.n").alias("n"), F.col("x.rows").alias("rows"), F.array_join(F.slice("w", F.col("x.of_at") - F.col("seg") + 1, F.col("x.n")), " ").alias("words"))
     cut = stash(cut.groupBy(*keys).agg(F.max("rows").alias("rows"), F.first("words").alias("words")))  # repeated rows have the same words
     return join_one(whole, cut, keys).select("doc_id", "hash", "at", "words")

@@ -36,14 +36,15 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
-# Public key formats.
+# Public key formats. Each may start only where a run of its characters does, or has a bounded length, so that
+# searching takes time in proportion to the text.
 MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("bearer", r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{20,}=*)"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s:/@]{1,64}:([^\s:/@]{3,64})@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,31}://[^\s:/@]{1,64}:([^\s:/@]{3,64})@"),
 )
 RULES = BASE_RULES + MORE_RULES
 MARK = "[SECRET]"
@@ -123,7 +124,10 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Ru
 
 
 def redact(df: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """The same rows and columns, with secrets in the text masked and the length column, if there is one, set anew where they were."""
+    """The same rows and columns, with secrets in the text masked and the length column, if there is one, set anew where they were.
+
+    A null text stays null, an empty one empty; repeated rows and rows without a key stay; an empty table gives no rows.
+    """
     names = df.columns
     at = names.index(text)
 
@@ -141,4 +145,4 @@ def redact(df: DataFrame, text: str = "text", length: str = "n_chars") -> DataFr
 
         return work
 
-    return map_blocks(df.select(*(df[f"`{c}`"] for c in names), F.col(text).alias("_scanned")), make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), len(names))
+    return map_blocks(df.select(*(df[f"`{c}`"] for c in names), F.col(f"`{text}`").alias("_scanned")), make, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), len(names))

@@ -5,6 +5,9 @@ and how near each group must be (pigeonhole.py). Every fingerprint then goes to
 the values near them; in each bucket the fingerprints are verified, and only the links of a spanning forest leave it.
 Buckets beyond BUCKET rows are cut into blocks, and each pair of blocks is worked on by itself, so no bucket has to fit
 in a task and no link is lost. Components of the links give the groups.
+
+Dropping near copies (keep_one) takes a similarity: the fingerprints of five-word shingles may then differ in more bits,
+and each link must be borne out by sketches, the least hashes of both texts' shingles.
 """
 
 from __future__ import annotations
@@ -15,15 +18,24 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..session import ensure_checkpoint_dir, small_side
+from ..operators.joins import join_one
+from ..session import small_side, stash
 from .blocks import map_blocks
-from .pigeonhole import BITS, Group, divide, forest
+from .pigeonhole import BITS, Group, divide, forest, masks_of, near_pairs
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
+#: Of keep_one: words in a shingle, the similarity (Jaccard) that near copies have at least, and bits in which their fingerprints may differ.
+COPY_SHINGLE, COPY_SIMILARITY, COPY_DISTANCE = 5, 0.8, 10
+#: Least hashes that a sketch holds. Texts of no more shingles are compared exactly; others to about 0.025.
+SKETCH = 256
+#: Fingerprints by which candidate counts are estimated when bits are dealt into groups; those of least hash.
+SAMPLE = 2_048
+#: Pairs that a bucket emits for each of its rows when links are verified afterwards; denser ones emit spanning forests.
+DENSE = 8
 #: Rows of a bucket up to which it stays whole.
 BUCKET = 4_096
 #: Dropped documents up to which their ids are broadcast; beyond, texts are shuffled to meet them.
@@ -34,6 +46,11 @@ SMALL = 48
 
 def text_fingerprints(texts: list[str], shingle: int = SHINGLE) -> np.ndarray:
     """Fingerprints as unsigned 64-bit integers. A-Z are lowered (in UTF-8, no other byte changes); words are split at ASCII white space."""
+    return _read(texts, shingle)[0]
+
+
+def _read(texts: list[str], shingle: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Fingerprints, and the hashes of the shingles of each text."""
     hashes: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     digest = xxhash.xxh64_intdigest
@@ -47,22 +64,42 @@ def text_fingerprints(texts: list[str], shingle: int = SHINGLE) -> np.ndarray:
         counts[at] = len(own)
     out = np.zeros(len(texts), np.uint64)
     full = np.flatnonzero(counts)
+    every = np.array(hashes, np.uint64)
     if len(full):
-        bits = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(every.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         starts = np.concatenate([[0], np.cumsum(counts[full])[:-1]])
         ones = np.add.reduceat(bits, starts, axis=0, dtype=np.uint32)
         out[full] = np.packbits(2 * ones > counts[full][:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-    return out
+    return out, np.split(every, np.cumsum(counts)[:-1]) if len(texts) else []
+
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """The least distinct hashes, cut to 32 bits, in order."""
+    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))[:SKETCH].tobytes()
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """key, fp (the fingerprint as a signed long) for each row. A null text has no words and fingerprint zero."""
+
+def resemblance(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two texts' shingles by their sketches; exact if neither sketch is full. Two empty ones are equal."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    both = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        both = both[:SKETCH]
+    return len(np.intersect1d(np.intersect1d(x, y, True), both, True)) / len(both) if len(both) else 1.0
+
+
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, sketches: bool = False) -> DataFrame:
+    """key, fp (the fingerprint as a signed long), text_hash and, if asked for, sketch for each row. A null text has no words and fingerprint zero."""
 
     def make() -> Any:
-        return lambda keys, texts: [keys, text_fingerprints(texts, shingle).view(np.int64)]
+        def work(keys: list, texts: list[str], hashes: list[int]) -> list:
+            fps, own = _read(texts, shingle)
+            return [keys, fps.view(np.int64), hashes, *([list(map(sketch, own))] if sketches else [])]
+
+        return work
 
     kind = df.schema[key].dataType.simpleString()
-    return map_blocks(df.select(F.col(key).alias("key"), F.col(text).alias("text")), make, f"key {kind}, fp long").withColumnRenamed("key", key)
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    return map_blocks(rows, make, f"key {kind}, fp long, text_hash long" + (", sketch binary" if sketches else "")).withColumnRenamed("key", key)
 
 
 def _counts(fps: DataFrame) -> tuple[np.ndarray, int]:
@@ -89,64 +126,78 @@ def _signed(x: int) -> int:
 
 
 def _buckets(fps: DataFrame, groups: tuple[Group, ...]) -> DataFrame:
-    """part, key, fp: a row for each value that a fingerprint has or is near to, in each group."""
+    """part, key, fp, own: a row for each value that a fingerprint has (its own) or is near to, in each group."""
     keys = []
     for at, group in enumerate(groups):
-        own = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in group.bits))))
-        keys += [F.struct(F.lit(at).alias("part"), own.bitwiseXOR(F.lit(_signed(mask))).alias("key")) for mask in group.masks()]
-    return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.part", "k.key", "fp")
+        own = F.col("fp").bitwiseAND(F.lit(_signed(masks_of(group.bits))))
+        keys += [F.struct(F.lit(at).alias("part"), own.bitwiseXOR(F.lit(_signed(mask))).alias("key"), F.lit(int(mask == 0)).alias("own")) for mask in group.masks()]
+    return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.part", "k.key", "fp", "k.own")
 
 
-def _verify(rows: DataFrame, distance: int) -> DataFrame:
-    """Links a, b of a spanning forest of each bucket; rows of a bucket must be together and in order."""
+def _verify(rows: DataFrame, distance: int, every: bool) -> DataFrame:
+    """Links a, b of a spanning forest of each bucket, or every one if it isn't dense; rows of a bucket must be together and in order."""
 
-    def links(words: np.ndarray, cuts: np.ndarray) -> tuple[list[int], list[int]]:
+    def links(words: np.ndarray, mine: np.ndarray, cuts: np.ndarray) -> tuple[list[int], list[int]]:
         a: list[int] = []
         b: list[int] = []
         sizes = np.diff(cuts)
-        for k in np.flatnonzero(sizes > SMALL).tolist():
-            own = words[cuts[k] : cuts[k + 1]]
-            for x, y in forest(own, distance):
-                a.append(int(own[x]))
-                b.append(int(own[y]))
-        bucket = np.repeat(np.arange(len(sizes)), sizes)
-        bucket[np.repeat(sizes > SMALL, sizes)] = -1
         top: dict[int, int] = {}
 
+        def joins(x: int, y: int) -> bool:
+            p, q = root(x), root(y)
+            if p != q:
+                top[max(p, q)] = min(p, q)
+            return p != q
+
         def root(x: int) -> int:
-            while top.get(x, x) != x:
-                x = top[x]
+            while (y := top.get(x, x)) != x:
+                top[x] = top.get(y, y)
+                x = y
             return x
 
+        for k in np.flatnonzero(sizes > SMALL).tolist():
+            own = words[cuts[k] : cuts[k + 1]]
+            x, y, degree, whole = near_pairs(own, mine[cuts[k] : cuts[k + 1]] > 0, distance, DENSE * len(own))
+            if not whole:  # what is near to most comes first, so that it is the others' link
+                order = np.argsort(-degree, kind="stable")
+                tree = forest(own[order], distance)
+                x, y = order[[p for p, _ in tree]], order[[q for _, q in tree]]
+            elif not every:
+                top.clear()
+                tree = [(p, q) for p, q in zip(x.tolist(), y.tolist(), strict=True) if joins(p, q)]
+                x, y = np.array([p for p, _ in tree], np.int64), np.array([q for _, q in tree], np.int64)
+            a.extend(own[x].tolist())
+            b.extend(own[y].tolist())
+        top.clear()
+        bucket = np.repeat(np.arange(len(sizes)), sizes)
+        bucket[np.repeat(sizes > SMALL, sizes)] = -1
         small = sizes[sizes <= SMALL]
         for shift in range(1, int(small.max()) if len(small) else 0):
             same = (bucket[shift:] == bucket[:-shift]) & (bucket[shift:] >= 0)
             at = np.flatnonzero(same)
             at = at[np.bitwise_count(words[at] ^ words[at + shift]) <= distance]
             for x in at.tolist():
-                p, q = root(x), root(x + shift)
-                if p != q:
-                    top[max(p, q)] = min(p, q)
+                if every or joins(x, x + shift):
                     a.append(int(words[x]))
                     b.append(int(words[x + shift]))
         return a, b
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[], [], [], []]
+        held: list[list[np.ndarray]] = [[], [], [], [], []]
 
         def flush(final: bool) -> Iterator[pa.RecordBatch]:
-            part, key, block, words = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in held)
+            part, key, block, words, own = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in held)
             fresh = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             end = len(words) if final else int(fresh[-1]) if len(fresh) else 0
             cuts = np.concatenate([[0], fresh[fresh < end], [end]]) if end else np.zeros(1, np.int64)
-            a, b = links(words[:end].view(np.uint64), cuts)
-            for at, x in enumerate((part, key, block, words)):
+            a, b = links(words[:end].view(np.uint64), own[:end], cuts)
+            for at, x in enumerate((part, key, block, words, own)):
                 held[at] = [x[end:]]
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([signed(a), signed(b)], names=["a", "b"])
 
         for batch in batches:
-            for at in range(4):
+            for at in range(5):
                 held[at].append(batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64, copy=False))
             yield from flush(False)
         yield from flush(True)
@@ -154,17 +205,50 @@ def _verify(rows: DataFrame, distance: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
-    """Links a, b between distinct fingerprints that differ in at most so many bits: enough of them to keep every group together."""
+
+def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, every: bool = False) -> DataFrame:
+    """Links a, b between distinct fingerprints that differ in at most so many bits: enough of them to keep every group together, or (but for dense buckets) every one."""
     counts, n = _counts(fps)
-    rows = _buckets(fps, divide(counts, n, distance))
+    sample = np.array([r["fp"] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").collect()], np.int64).view(np.uint64)
+    rows = _buckets(fps, divide(counts, n, distance, sample))
     many = rows.groupBy("part", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > bucket)
     cut = rows.join(many, ["part", "key"], "left").withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / bucket), F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cut = cut.select("part", "key", "fp", own.alias("own"), other.alias("other"))
-    cut = cut.select("part", "key", (F.least("own", "other") * F.lit(1 << 31) + F.greatest("own", "other")).alias("block"), "fp")
-    return _verify(cut.repartition("part", "key", "block").sortWithinPartitions("part", "key", "block", "fp"), distance)
+    cut = cut.select("part", "key", "fp", F.col("own").alias("mine"), own.alias("own"), other.alias("other"))
+    cut = cut.select("part", "key", (F.least("own", "other") * F.lit(1 << 31) + F.greatest("own", "other")).alias("block"), "fp", "mine")
+    return _verify(cut.repartition("part", "key", "block").sortWithinPartitions("part", "key", "block", "fp"), distance, every)
+
+
+def _similar(found: DataFrame, own: DataFrame, least: float) -> DataFrame:
+    """The links whose texts are similar enough by their sketches."""
+    found = stash(found.distinct())
+    ends = [found.select(F.col(x).alias("fp")).groupBy("fp").agg(F.count("*").alias(f"n_{x}")) for x in ("a", "b")]
+    degree = small_side(ends[0].join(ends[1], "fp", "outer"), BROADCAST_IDS)
+    held = stash(own.join(degree, "fp").groupBy("fp").agg(F.first("sketch").alias("sketch"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")))
+    for x in ("a", "b"):
+        side = held.where(F.col(f"n_{x}").isNotNull()).select(F.col("fp").alias(x), F.col("sketch").alias(f"sketch_{x}"), F.col(f"n_{x}").alias("rows"))
+        found = join_one(found, side, [x]).drop("rows")
+
+    def make() -> Any:
+        def work(a: list[int], b: list[int], of_a: list[bytes], of_b: list[bytes]) -> list:
+            near = [i for i in range(len(a)) if resemblance(of_a[i], of_b[i]) >= least]
+            return [[a[i] for i in near], [b[i] for i in near]]
+
+        return work
+
+    return map_blocks(found.select("a", "b", "sketch_a", "sketch_b"), make, "a long, b long", None)
+
+
+def _grouped(own: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """The rows of own with kept: none (whether the key is null), key and text_hash of the first row of their group."""
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "text_hash")
+    fps = own.groupBy("fp").agg(F.min(place).alias("rep"), F.count("*").alias("rows"))
+    stars = components(found)
+    joined = stash(fps.join(stars, fps["fp"] == stars["node"], "left").select("fp", "rep", F.col("rows").alias("rows_of_fp"), F.coalesce("root", "fp").alias("root")))
+    least = stash(joined.groupBy("root").agg(F.min("rep").alias("kept"), F.count("*").alias("rows")))
+    labels = stash(join_one(joined, least, ["root"]).select("fp", "kept", F.col("rows_of_fp").alias("rows")))
+    return join_one(own, labels, ["fp"]).drop("rows")
 
 
 def group(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
@@ -173,18 +257,33 @@ def group(df: DataFrame, key: str = "doc_id", text: str = "text", distance: int
     Equal fingerprints always link, those of empty and null texts (zero) like any others. Null keys are grouped but name
     no component unless there is no other; repeated rows stay; an empty table gives no rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    own = fingerprints(df, key, text, shingle).checkpoint()
-    fps = own.groupBy("fp").agg(F.min(key).alias("rep"))
-    stars = components(links(fps, distance, bucket))
-    joined = fps.join(stars, fps["fp"] == stars["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = joined.where(F.col("root") != F.col("fp")).select("root", "rep").unionByName(joined.where(F.col("root") == F.col("fp")).select("root", "rep")).groupBy("root").agg(F.min("rep").alias("component"))
-    labels = joined.select(F.col("fp").alias("_fp"), "root").join(least, "root")
-    return own.join(labels, own["fp"] == labels["_fp"]).select(key, "fp", "component")
-
-
-def keep_one(docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
-    """Of each group of near-duplicates the row with the least doc_id, with all its columns; rows with a null doc_id stay."""
-    groups = group(docs, distance=distance, shingle=shingle)
-    dropped = small_side(groups.where(F.col("doc_id") != F.col("component")).select(F.col("doc_id").alias("_dropped")).distinct(), BROADCAST_IDS)
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    own = stash(fingerprints(df, key, text, shingle))
+    found = links(stash(own.select("fp").distinct()), distance, bucket)
+    return _grouped(own, key, found).select(key, "fp", F.col("kept.key").alias("component"))
+
+
+def keep_one(docs: DataFrame, distance: int = COPY_DISTANCE, shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+    """Of each group of near copies one row, with all its columns.
+
+    Two texts link if their fingerprints are equal, or differ in at most `distance` bits and their shingles' Jaccard
+    similarity is `similarity` or more. The row that stays has the least doc_id (a null one only where there is no other),
+    of these the least hash of its text, of equal rows the least in all its columns: rows that share a doc_id but not a
+    text are judged apart, and repeated rows stay once. Texts without words are alike. An empty table gives no rows.
+    """
+    own = stash(fingerprints(docs, shingle=shingle, sketches=True))
+    found = _similar(links(stash(own.select("fp").distinct()), distance, bucket, every=True), own, similarity)
+    judged = stash(_grouped(own.drop("sketch"), "doc_id", found).groupBy("doc_id", "text_hash").agg(F.first("kept").alias("kept"), F.count("*").alias("rows")))
+    stays = (F.col("text_hash") == F.col("kept.text_hash")) & F.col("doc_id").eqNullSafe(F.col("kept.key"))
+    pair = (F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    dropped = small_side(judged.where(~stays).select(*pair), BROADCAST_IDS)
+    repeated = small_side(judged.where(stays & (F.col("rows") > 1)).select(*pair), BROADCAST_IDS)
+
+    def meets(rows: DataFrame, side: DataFrame) -> Column:
+        return rows["doc_id"].eqNullSafe(side["_kept_id"]) & (F.xxhash64(rows["text"]) == side["_kept_hash"])
+
+    left = docs.join(dropped, meets(docs, dropped), "left_anti")
+    if not repeated.limit(1).count():
+        return left
+    again = left.join(repeated, meets(left, repeated), "left_semi")
+    once = again.groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("_row"))
+    return left.join(repeated, meets(left, repeated), "left_anti").unionByName(once.select("_row.*"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -16,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import map_blocks
+from .blocks import map_blocks, unused
 from .labelled import held_out, training_rows
 from .linear import minimise, sigmoid
 
@@ -87,35 +88,48 @@ class Model:
         return score
 
 
+class _Rows:
+    """A matrix of zeros and ones, given as the columns of the ones in each row. Sums run in a fixed order."""
+
+    def __init__(self, ones: list[list[int]], width: int) -> None:
+        self.row = np.repeat(np.arange(len(ones)), [len(r) for r in ones])
+        self.column = np.array([c for r in ones for c in r], np.int64)
+        self.height, self.width = len(ones), width
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.column], self.height)
+
+    def sums(self, of_rows: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, of_rows[self.row], self.width)
+
+
 def fit_rows(rows: list[tuple[list[int], list[int], int]], names: list[str], counterfactual: float = COUNTERFACTUAL) -> Model:
     """rows: features present, features present after the swap, label."""
     n, size = len(rows), len(names)
-    x = np.zeros((n, size + 1), np.float32)
-    x[:, size] = 1
-    pairs = [i for i, r in enumerate(rows) if r[0] != r[1]]
-    delta = np.zeros((len(pairs), size + 1), np.float32)
-    for i, (present, _, _) in enumerate(rows):
-        x[i, present] = 1
-    for k, i in enumerate(pairs):
-        delta[k, rows[i][0]] += 1
-        delta[k, rows[i][1]] -= 1
-    y = np.array([r[2] for r in rows], np.float32)
+    x = _Rows([[*r[0], size] for r in rows], size + 1)
+    swaps = [(a, b) for a, b, _ in rows if a != b]
+    here, there = _Rows([a for a, _ in swaps], size + 1), _Rows([b for _, b in swaps], size + 1)
+    y = np.array([r[2] for r in rows], float)
     weight = np.full(n, 1 / max(n, 1))
     ridge = np.full(size + 1, RIDGE)
     ridge[size] = 1e-6
 
+    def changes(w: np.ndarray) -> np.ndarray:
+        moved = here.dot(w) - there.dot(w)
+        return here.sums(moved) - there.sums(moved)
+
     def gradient(w: np.ndarray) -> np.ndarray:
-        out = x.T @ ((sigmoid(x @ w) - y) * weight) + ridge * w
-        return out + 2 * counterfactual / len(pairs) * (delta.T @ (delta @ w)) if pairs else out
+        out = x.sums((sigmoid(x.dot(w)) - y) * weight) + ridge * w
+        return out + 2 * counterfactual / len(swaps) * changes(w) if swaps else out
 
-    def norm(m: np.ndarray, scale: np.ndarray | float) -> float:
+    def norm(square: Callable[[np.ndarray], np.ndarray]) -> float:
         v = np.random.default_rng(1).normal(size=size + 1)  # swaps cancel on even vectors
         for _ in range(60):
-            v = m.T @ ((m @ v) * scale)
+            v = square(v)
             v /= np.linalg.norm(v) or 1
-        return float(np.linalg.norm(m.T @ ((m @ v) * scale)))
+        return float(np.linalg.norm(square(v)))
 
-    smooth = 1.1 * (0.25 * norm(x, weight) + (2 * counterfactual / len(pairs) * norm(delta, 1.0) if pairs else 0)) + RIDGE
+    smooth = 1.1 * (0.25 * norm(lambda v: x.sums(x.dot(v) * weight)) + (2 * counterfactual / len(swaps) * norm(changes) if swaps else 0)) + RIDGE
     w = minimise(gradient, size + 1, smooth)
     return Model({f: float(v) for f, v in zip(names, w[:size], strict=True) if v}, float(w[size]))
 
@@ -160,7 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", counterfactual
             return work
 
         got = map_blocks(rows, present, "a array<int>, b array<int>, y int", 0).collect()
-        return fit_rows([(r["a"], r["b"], r["y"]) for r in got], names, counterfactual)
+        # Rows come in any order; sums shall not depend on it.
+        return fit_rows(sorted((r["a"], r["b"], r["y"]) for r in got), names, counterfactual)
     finally:
         rows.unpersist()
 
@@ -191,4 +206,5 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFr
     names, model = docs.columns, fit(docs, labels)
     if not model.fitted:
         return docs
-    return score(docs, model, names, name="_toxicity").where(F.col("_toxicity") < threshold).select(*(F.col(f"`{c}`") for c in names))
+    own = unused("_toxicity", names)
+    return score(docs, model, names, name=own).where(F.col(own) < threshold).select(*(F.col(f"`{c}`") for c in names))

@@ -3,8 +3,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from sievework.llm import quality, toxicity
+from sievework.llm import labelled, quality, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -70,3 +71,77 @@ def test_ranking_learns_an_order():
     scores = quality.fit_rows(x, y).score(x)
     assert ((scores >= quality.THRESHOLD) == (y == 1)).mean() > 0.95
     assert len(quality.describe("")) == len(quality.FEATURES)
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_scores_do_not_depend_on_how_rows_are_dealt_out(spark, module):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    one, seven = (module.fit(docs.repartition(n, "text"), labels.repartition(n)) for n in (1, 7))
+    assert one == seven
+
+
+def test_training_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {n}") for n in range(500)] + [(1, "text 3"), (2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1)], "doc_id long, toxic int").where(~labelled.held_out(F.col("doc_id")))
+    every = labelled.training_rows(docs, labels, "toxic", 10).collect()
+    assert len(every) == labels.select("doc_id").distinct().count()
+    assert labelled.training_rows(docs, labels, "toxic", 1).count() == 1
+    assert labelled.training_rows(docs.limit(0), labels, "toxic", 10).collect() == []
+
+
+def test_quality_fit_like_a_plain_one():
+    """The loss over pairs as written down has no slope where the fit ends, and plain descent finds no lesser one."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(24, len(quality.FEATURES)))
+    y = (x[:, 0] + 0.3 * rng.normal(size=24) > -0.3).astype(int)
+    z = quality.wide(np.clip((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6), -8, 8))
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    left = np.random.default_rng(5).choice(good, len(bad) * quality.PAIRS)
+    pairs = [z[a] - z[b] for a, b in zip(left, np.repeat(bad, quality.PAIRS), strict=True)]
+
+    def loss(w):
+        return sum(np.log1p(np.exp(-(d @ w))) for d in pairs) / len(pairs) + quality.RIDGE / 2 * (w @ w)
+
+    w = np.zeros(z.shape[1])
+    for _ in range(2000):
+        w -= 0.05 * (sum(-d / (1 + np.exp(d @ w)) for d in pairs) / len(pairs) + quality.RIDGE * w)
+    model = quality.fit_rows(x, y)
+    fitted = np.array(model.weights)
+    slope = sum(-d / (1 + np.exp(d @ fitted)) for d in pairs) / len(pairs) + quality.RIDGE * fitted
+    assert np.abs(slope).max() < 1e-3 and loss(fitted) <= loss(w) + 1e-6
+    strength = z @ fitted
+    assert ((model.score(x) >= quality.THRESHOLD) == (strength >= np.quantile(strength, (y == 0).mean()) - 1e-9)).all()
+
+
+def test_toxicity_fit_like_a_plain_one():
+    """The loss as written down, minimised by plain gradient descent on dense matrices."""
+    rng = random.Random(6)
+    rows = []
+    for _ in range(60):
+        y = rng.random() < 0.5
+        a = sorted({rng.randrange(5) for _ in range(2)} | ({3} if y and rng.random() < 0.7 else set()))
+        rows.append((a, sorted({1 if i == 0 else 0 if i == 1 else i for i in a}), int(y)))
+    x = np.array([[float(i in r[0]) for i in range(5)] + [1.0] for r in rows])
+    d = np.array([[float(i in r[0]) - float(i in r[1]) for i in range(5)] + [0.0] for r in rows if r[0] != r[1]])
+    y, ridge = np.array([r[2] for r in rows]), np.array([toxicity.RIDGE] * 5 + [1e-6])
+
+    def loss(w):
+        change = toxicity.COUNTERFACTUAL / len(d) * sum((row @ w) ** 2 for row in d)
+        return sum(np.log1p(np.exp(-(row @ w) * (2 * t - 1))) for row, t in zip(x, y, strict=True)) / len(y) + (ridge * w) @ w / 2 + change
+
+    def slope(w):
+        return x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(y) + ridge * w + 2 * toxicity.COUNTERFACTUAL / len(d) * d.T @ (d @ w)
+
+    w = np.zeros(6)
+    for _ in range(20000):
+        w -= 0.02 * slope(w)
+    model = toxicity.fit_rows(rows, list("abcde"))
+    fitted = np.array([model.weights.get(n, 0.0) for n in "abcde"] + [model.bias])
+    assert np.abs(slope(fitted)).max() < 1e-3 and loss(fitted) <= loss(w) + 1e-4
+
+
+def test_a_column_named_like_the_score(spark):
+    docs = spark.createDataFrame([(n, f"{'vile' if n % 2 else 'kind'} text {n}", 1.0, "x") for n in range(60)], "doc_id long, text string, _toxicity double, _Toxicity_ string")
+    labels = docs.selectExpr("doc_id", "doc_id % 2 AS toxic")
+    out = toxicity.reject(docs, labels)
+    assert out.columns == docs.columns and 0 < out.count() < 60

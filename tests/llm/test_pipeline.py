@@ -7,7 +7,7 @@ import pytest
 import tiktoken
 from test_decontamination import brute as contaminated
 from test_secrets import brute as base_secrets
-from test_simhash import brute as groups
+from test_simhash import kept_by_brute_force
 
 pytest.importorskip("corpus_pipeline")
 import corpus_pipeline  # noqa: E402
@@ -45,7 +45,10 @@ def test_stages(spark, stages):
     assert sum(d in kept for d in clean) / len(clean) > 0.95
 
     _, before, after, _ = stages[1]
-    assert sorted(r.doc_id for r in after) == sorted({c for _, _, c in groups(before)})
+    # Of long texts similarity is estimated, so what is near to the bound may go either way.
+    rows = [(r.doc_id, r.text) for r in before]
+    some, most = ({min(d for d, _ in g) for g in kept_by_brute_force(rows, least=x).values()} for x in (0.72, 0.88))
+    assert some <= {r.doc_id for r in after} <= most and len(after) == len({r.doc_id for r in after}) < len(before)
 
     _, before, after, _ = stages[2]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

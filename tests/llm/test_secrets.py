@@ -1,4 +1,5 @@
 import re
+import time
 
 from sievework.llm import secrets
 from sievework.llm.trigrams import mentioned, query
@@ -54,3 +55,14 @@ def test_redaction(spark):
     got = {r.doc_id: (r.text, r.n_chars, r.source) for r in secrets.redact(df).collect()}
     assert got == {1: ("a [SECRET] b", 12, "k"), 2: ("clean", 5, None), 3: (None, None, "z")}
     assert secrets.redacted("0123456789", [("a", 1, 4), ("b", 2, 6), ("c", 6, 7)]) == "0[SECRET][SECRET]789"
+
+
+def test_a_megabyte_of_what_is_worst_for_a_rule():
+    scanner, n = secrets.Scanner(), 1 << 20
+    worst = ["abcdefghij" * (n // 10) + " ://", "a1" * (n // 2) + " ://", "eyJ" * (n // 3), "eyJaaaaaaaa." * (n // 12), "-----BEGIN " + "A " * (n // 2), "-----BEGIN " * (n // 11), "token" + " " * n, "token " * (n // 6),
+             "bearer" + " " * n, "bearer " * (n // 7), "ghp_" + "_ghp_a" * (n // 6), "xoxb-" * (n // 5), "0123456789abcdef0123456g" * (n // 24), "AKIA" * (n // 4), "a://" * (n // 4), "a://u:" * (n // 6)]
+    start = time.time()
+    for text in worst:
+        scanner.scan([text])
+    assert time.time() - start < 30
+    assert [k for k, _, _ in scanner.scan(["https://me:pw123@host eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"])[0]] == ["url_login", "jwt"]

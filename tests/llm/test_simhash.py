@@ -87,3 +87,92 @@ def test_every_near_pair_shares_a_bucket(spark):
         assert sum(g.near + 1 for g in groups) == 5
         for a, b in zip(base, near, strict=True):
             assert any(bin((a ^ b) & sum(1 << x for x in g.bits)).count("1") <= g.near for g in groups)
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in (_split(_lower(t or "")) for t in (a, b)))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def fingerprint5(text):
+    words = _split(_lower(text or ""))
+    h = [xxhash.xxh64_intdigest(" ".join(words[i : i + 5]).encode(), 42) for i in range(max(1, len(words) - 4))] if words else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def kept_by_brute_force(rows, distance=simhash.COPY_DISTANCE, least=simhash.COPY_SIMILARITY):
+    """Which (doc_id, text) stay: one of each group of equal fingerprints, or near ones with similar texts."""
+    fp = [fingerprint5(t) for _, t in rows]
+    top = list(range(len(rows)))
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if fp[i] == fp[j] or (bin(fp[i] ^ fp[j]).count("1") <= distance and jaccard(rows[i][1], rows[j][1]) >= least):
+                top[root(i)] = root(j)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(root(i), []).append(rows[i])
+    return groups
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = " ".join(f"a{i}" for i in range(90)), " ".join(f"b{i}" for i in range(90))
+    near = a.replace("a7 ", "edit ")
+    def ask(rows):
+        df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+        return sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=repr)
+
+    assert ask([(1, a), (5, a), (5, b)]) == [(1, a), (5, b)]
+    assert ask([(1, a), (1, a), (2, a), (None, near)]) == [(1, a)]
+    assert ask([(None, a), (None, a), (3, None), (4, "")]) == sorted([(None, a), (3, None)], key=repr)
+
+
+def test_near_copies_like_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([2, 30, 150, 240])))) for i in range(40)]
+    for i in range(40, 160):
+        base = rows[rng.randrange(len(rows))][1].split()
+        for _ in range(rng.choice([0, 1, 2, 4])):
+            base[rng.randrange(len(base))] = f"w{rng.randrange(5000)}"
+        rows.append((i, " ".join(base)))
+    groups = kept_by_brute_force(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for bucket in (simhash.BUCKET, 7):
+        assert sorted(r.doc_id for r in simhash.keep_one(df, bucket=bucket).collect()) == sorted(min(d for d, _ in g) for g in groups.values())
+    # Of the documents that similarity alone would drop nearly all go.
+    gone = lambda groups: {d for g in groups.values() for d, _ in g} - {min(d for d, _ in g) for g in groups.values()}
+    exact = gone(kept_by_brute_force(rows, 64))
+    assert gone(groups) <= exact and len(gone(groups)) >= 0.9 * len(exact)
+
+
+def test_sketches():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
+    assert simhash.resemblance(simhash.sketch(x[:200]), simhash.sketch(x[20:200])) == 0.9
+    assert abs(simhash.resemblance(simhash.sketch(x), simhash.sketch(x[:4000])) - 0.8) < 0.08
+    assert simhash.resemblance(b"", b"") == 1 and simhash.resemblance(b"", simhash.sketch(x)) == 0
+
+
+def test_dense_buckets_keep_groups_together(spark):
+    """A group of thousands around one text, in one bucket or cut into blocks, is one group."""
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    words = sorted({base} | {base ^ sum(1 << x for x in rng.sample(range(64), 2)) for _ in range(1500)})
+    fps = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in words], "fp long")
+    for every in (False, True):
+        found = simhash.links(fps, 4, 500, every).collect()
+        top = {}
+
+        def root(x):
+            while top.get(x, x) != x:
+                x = top[x]
+            return x
+
+        for r in found:
+            top[root(r.a)] = root(r.b)
+        assert len({root(r.fp) for r in fps.collect()}) == 1

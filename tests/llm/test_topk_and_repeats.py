@@ -39,14 +39,47 @@ def test_topk_like_brute_force(spark):
     assert [(r.vec_id, r.score) for r in got] == [(2, int(256 * 3e8) * int(256 * 3e5) + 256 * 256 * 9), (1, int(256 * 3e8) * int(256 * 3e5) - 256 * 256 * 7)]
 
 
-def test_bounds_stop_early():
+def evaluated_share(c, queries, k=5):
+    """Share of products evaluated, with the results held against all products."""
+    pivots = pivots_of(c)
+    ids, far = np.arange(len(c)), pivots.distances(c.astype(float))
+    q = c[:queries]
+    floor = pivots_module.floors(q, ids[:queries], c[:2000], ids[:2000], k)
+    who, what, score, evaluated = pivots_module.search(pivots, q, ids[:queries], far[:queries], floor, c, ids, far, k)
+    for i in range(queries):
+        full = sorted((-int(s), j) for j, s in enumerate(c @ q[i]) if j != i)[:k]
+        assert [(-s, j) for w, j, s in zip(who, what, score, strict=True) if w == i] == full
+    return evaluated / (queries * len(c))
+
+
+pivots_module = pivots
+
+
+def pivots_of(c):
+    return pivots.choose_pivots(c[:2000].astype(float))
+
+
+def test_bounds_leave_candidates_out():
     rng = np.random.default_rng(4)
-    c = np.floor(rng.normal(size=(2000, 2)) * 256)
-    p = pivots.choose_pivots(c[:200])
-    far = pivots._distances(c, p)
-    ids = np.arange(2000)
-    *_, evaluated = pivots.search(c[:20], ids[:20], far[:20], c, ids, far, 5)
-    assert evaluated < 20 * 400
+    plane = np.floor(rng.normal(size=(2000, 2)) * 256).astype(np.int64)
+    assert evaluated_share(plane, 20) < 0.2
+    sphere = rng.normal(size=(4000, 64))
+    sphere = np.floor(256 * sphere / np.linalg.norm(sphere, axis=1)[:, None]).astype(np.int64)
+    assert evaluated_share(sphere, 40) < 0.2  # nothing but the dimension to go by
+    low = np.floor(rng.normal(size=(4000, 8)) @ rng.normal(size=(8, 64)) * 50 + rng.normal(size=(4000, 64))).astype(np.int64)
+    assert evaluated_share(low, 40) < 0.1 and len(pivots_of(low).vectors) <= 16
+
+
+def test_bounds_hold():
+    """The bound is at least the inner product, and as tight as that of any single pivot."""
+    rng = np.random.default_rng(6)
+    c = np.floor(rng.normal(size=(300, 16)) * 256)
+    for many in (1, 5, 16):
+        p = pivots.Pivots(c, many)
+        far, norms = p.distances(c), (c * c).sum(axis=1)
+        above = pivots.bounds(p.places(far, norms), p.places(far, norms))
+        single = (norms[:, None] + norms - np.abs(far[:, None, :] - far[None, :, :]).max(axis=2) ** 2) / 2
+        assert (above >= c @ c.T - 0.5).all() and (above <= single + 0.5).all()  # of a million or so
 
 
 def brute_repeats(docs, window):

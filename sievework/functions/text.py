@@ -131,25 +131,22 @@ def context(text: Column | str, at: Column, length: Column, width: int = 55) ->
     return F.lower(collapse(F.substring(col(text), start, at + length + width - start)))
 
 
-_ABBREVIATION = re.compile(r"\b(?:No|Nos|Fig|Figs|Ex|e\.g|i\.e|vs|approx|ca|Dr|Inc|Co|Ltd|St)\.$", re.I)
-
-
-def segment_offsets(s: str) -> list[tuple[int, int]]:
-    """Segments between sentence marks that follow neither an abbreviation nor stand in a number."""
-    out, start = [], 0
-    for m in re.finditer(r"[.;](?=\s|$)", s):
-        if m.group() == "." and _ABBREVIATION.search(s[: m.end()]):
-            continue
-        out.append((start, m.end()))
-        start = m.end()
-    if s[start:].strip():
-        out.append((start, len(s)))
-    return out
+# What a full stop after doesn't end a sentence; so does a single capital letter.
+ABBREVIATIONS = (
+    "e.g", "i.e", "No", "Nos", "Pat", "U.S", "al", "ca", "approx", "Fig", "Figs", "cf", "vol", "Vol", "p", "pp",
+    "Ex", "Ed", "Co", "Inc", "Ltd", "Corp", "Dr", "Mr", "St", "resp", "wt", "min", "hr", "mm", "ml", "g", "b.p", "m.p",
+    "vs", "J", "Chem", "Soc", "Am", "Acad", "Sci", "Org", "Agric", "Food", "Od",
+)
+_SHORT = "|".join(re.escape(a) for a in ABBREVIATIONS)
+#: A full stop and white space before more text, but for those after abbreviations and those between digits.
+SEGMENT_END = rf"(?<!\b(?:{_SHORT}|[A-Z]))(?:(?<!\d)\.\s+(?=\S)|(?<=\d)\.\s+(?=[^\s\d]))"
 
 
-@vectorized("array<struct<a: int, b: int>>")
-def segments(x: pd.Series) -> pd.Series:
-    return x.map(lambda s: [{"a": a, "b": b} for a, b in segment_offsets(s)], na_action="ignore")
+def segments(x: Column | str) -> Column:
+    """Offsets a, b (code points from 0) of the parts of a sentence between full stops inside it; together they are the whole."""
+    ends = F.transform(pattern_spans(x, SEGMENT_END), lambda m: m["stop"])
+    cuts = F.concat(F.array(F.lit(0)), ends, F.array(F.length(col(x))))
+    return F.transform(F.slice(cuts, 1, F.size(cuts) - 1), lambda a, i: F.struct(a.alias("a"), F.get(cuts, i + 1).alias("b")))
 
 
 # ---- finding -----------------------------------------------------------------------------------------------------
@@ -165,20 +162,47 @@ def verbatim(text: Column | str, span: Column | str) -> Column:
     return F.contains(col(text), col(span))
 
 
+def pattern_spans(x: Column | str, pattern: Column | str) -> Column:
+    """start and stop (code points from 0) of all matches of a pattern, in the text as it is."""
+    p = F.lit(pattern) if isinstance(pattern, str) else pattern
+    parts, found = F.split(col(x), p), F.regexp_extract_all(col(x), p, 0)
+
+    def add(out: Column, i: Column) -> Column:
+        last = F.coalesce(F.try_element_at(out, F.lit(-1))["stop"], F.lit(0))
+        start = last + F.length(F.get(parts, i))
+        return F.concat(out, F.array(F.struct(start.alias("start"), (start + F.length(F.get(found, i))).alias("stop"))))
+
+    nothing = F.array().cast("array<struct<start: int, stop: int>>")
+    numbers = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(numbers, nothing, add)
+
+
+def _quoted(x: Column) -> Column:
+    """A text as a pattern that matches it alone."""
+    return F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+
+
+def spans_of(needle: Column | str, hay: Column | str) -> Column:
+    """start and stop of all occurrences, case ignored, that don't overlap; an empty needle has none."""
+    found = pattern_spans(hay, F.concat(F.lit("(?iu)"), _quoted(col(needle))))
+    return F.when(F.length(col(needle)) > 0, found).otherwise(F.array().cast("array<struct<start: int, stop: int>>"))
+
+
 def find_all(needle: Column | str, hay: Column | str) -> Column:
     """Offsets (from 0) of all occurrences, case ignored, that don't overlap."""
-    n, h = F.lower(col(needle)), F.lower(col(hay))
-    parts = F.split(h, F.concat(F.lit("\\Q"), n, F.lit("\\E")))
-    lengths = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda p: F.length(p))
-    places = F.transform(lengths, lambda _, i: F.aggregate(F.slice(lengths, 1, i + 1), F.lit(0), lambda s, x: s + x) + i * F.length(n))
-    return F.when(F.length(n) > 0, places).otherwise(F.array().cast("array<int>"))
+    return F.transform(spans_of(needle, hay), lambda m: m["start"])
+
+
+def stem_spans(word: Column | str, hay: Column | str, stem: int = 5) -> Column:
+    """Spans of the word, or, if there are none, of the words that begin with its first letters."""
+    exact = spans_of(word, hay)
+    starts = pattern_spans(hay, F.concat(F.lit("(?iuU)\\b"), _quoted(F.substring(col(word), 1, stem)), F.lit("\\w*")))
+    return F.when(F.size(exact) > 0, exact).otherwise(starts)
 
 
 def stem_hits(word: Column | str, hay: Column | str, stem: int = 5) -> Column:
-    """Occurrences of the word, or, if there are none, of its first letters at the start of a word."""
-    exact = find_all(word, hay)
-    starts = F.regexp_count(F.lower(col(hay)), F.concat(F.lit("\\b\\Q"), F.lower(F.substring(col(word), 1, stem)), F.lit("\\E")))
-    return F.when(F.size(exact) > 0, F.size(exact)).otherwise(starts)
+    """How often the word occurs, or, if it doesn't, how many words begin with its first letters."""
+    return F.size(stem_spans(word, hay, stem))
 
 
 def vocabulary_pattern(terms: Iterable[str], loose: bool = False) -> str:

@@ -55,16 +55,18 @@ def tiers(names: DataFrame, key: str, resolver: DataFrame, steps: list[tuple[str
     return out.select(*names.columns, F.coalesce(best["tier"], F.lit("unresolved")).alias("tier"), best["identity"].alias("identity"))
 
 
-def known_terms(asked: list[str], vocabulary: DataFrame, term: str) -> list[str]:
+def known_terms(asked: list[str], vocabulary: DataFrame, term: str, most: int = 3) -> list[str]:
     """The terms asked for, if the vocabulary has all of them; else raises and says what was likely meant.
 
-    Only what was asked for and terms that begin alike leave the table, so a large vocabulary isn't gathered.
+    The executors rank all terms by edit distance; the nearest few for each term that is unknown come to the driver.
     """
-    import difflib
-
-    firsts = sorted({a[:1].lower() for a in asked})
-    near = [r[term] for r in vocabulary.where(F.lower(F.substring(term, 1, 1)).isin(firsts)).select(term).distinct().orderBy(term).limit(10_000).collect()]
     held = {r[term] for r in vocabulary.where(F.col(term).isin(asked)).select(term).distinct().collect()}
-    if unknown := [a for a in asked if a not in held]:
-        raise ValueError("; ".join(f"{a}: not in the vocabulary, nearest {difflib.get_close_matches(a, near, 3) or 'none'}" for a in unknown))
+    told = []
+    for a in dict.fromkeys(asked):
+        if a not in held:
+            far = F.levenshtein(F.lower(term), F.lit(a.lower()))
+            near = vocabulary.where(far <= max(2, len(a) // 2)).select(term, far.alias("far")).distinct().orderBy("far", term).limit(most).collect()
+            told.append(f"{a}: not in the vocabulary, nearest {[r[term] for r in near] or 'none'}")
+    if told:
+        raise ValueError("; ".join(told))
     return asked

@@ -67,3 +67,31 @@ def markdown_sections(df: DataFrame, group: str, line: Column, order: list[str])
     rows = df.select(group, F.struct(*order, line.alias("_line")).alias("r"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: F.concat(F.lit("- "), r["_line"])), "\n")
     return rows.groupBy(group).agg(body.alias("body")).select(group, F.concat(F.lit("## "), F.col(group).cast("string"), F.lit("\n\n"), F.col("body"), F.lit("\n")).alias("section"))
+
+
+def edited_lines(lines: DataFrame, edits: DataFrame, keys: list[str], order: str = "n", line: str = "line") -> DataFrame:
+    """order, line after edits of JSON lines; every line that no edit names stays byte for byte as it is.
+
+    edits: the key columns (strings, as in the JSON) and changes (a JSON object of fields to set). Changed lines are
+    written in the style of the file, compact or spaced, found from lines that stay; if no such line is in one of the
+    styles, it raises. Blank lines and lines that aren't JSON objects stay. Two edits of one key are refused.
+    """
+    read = F.from_json(line, ", ".join(f"`{k}` string" for k in keys))
+    rows = lines.select(order, line, read.alias("_read")).select(order, line, *(F.col(f"_read.{k}").alias(k) for k in keys))
+    if edits.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError("a key has several edits")
+    joined = rows.join(edits.select(*keys, F.col("changes").alias("_changes")), keys, "left")
+    styles = {"compact": (",", ":"), "spaced": (", ", ": ")}
+
+    def written(text: str, changes: str | None, style: str) -> str | None:
+        try:
+            return json.dumps(json.loads(text) | json.loads(changes or "{}"), ensure_ascii=False, separators=styles[style])
+        except (ValueError, TypeError):
+            return None
+
+    same = F.udf(lambda text: [k for k in styles if written(text, None, k) == text], "array<string>")
+    found = joined.where(F.col("_changes").isNull() & F.col(line).startswith("{")).select(F.explode(same(line)).alias("style")).groupBy("style").count().orderBy(F.desc("count"), "style").first()
+    if found is None:
+        raise ValueError("no line that stays is written in a known style")
+    change = F.udf(lambda text, changes: written(text, changes, found["style"]), "string")
+    return joined.select(order, F.when(F.col("_changes").isNull(), F.col(line)).otherwise(change(line, "_changes")).alias(line))

@@ -86,7 +86,9 @@ def test_python_backed(spark):
     assert value(spark, T.decode_all_entities(F.col("x")), x="&eacute;&#8211;&amp;") == "é–&"
     assert value(spark, T.nfc(F.col("x")), x="é") == "é"
     assert value(spark, T.ring_brackets(F.col("x")), x="bicyclo[3.l.O] [l]") == "bicyclo[3.1.0] [l]"
-    assert [tuple(r) for r in value(spark, T.segments(F.col("x")), x="See No. 12 at 0.5. Then; end")] == [(0, 18), (18, 24), (24, 28)]
+    assert [tuple(r) for r in value(spark, T.segments(F.col("x")), x="See No. 12 at 0.5. Then; end")] == [(0, 19), (19, 28)]
+    assert [tuple(r) for r in value(spark, T.segments(F.col("x")), x="E. g. U.S. Pat. 5. 6 is. A")] == [(0, 25), (25, 26)]
+    assert [tuple(r) for r in value(spark, T.spans_of(F.lit("ß.e"), F.col("x")), x="İß.E ß.e ßxe")] == [(1, 4), (5, 8)]
     assert value(spark, T.similarity(F.col("x"), F.lit("abcd")), x="abcx") == 0.75
     got = value(spark, T.repaired_span(F.col("x"), F.lit("the (rose) oxide")), x="(rose")
     assert (got["span"], got["how"]) == ("(rose)", "bracket restored")

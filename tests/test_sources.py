@@ -84,3 +84,17 @@ def test_stream_windows(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.sql("SELECT sum(n) AS n, count(*) AS w FROM windows").first() == (90, 6)
+
+
+def test_edited_lines_leave_the_others_alone(spark):
+    from sievework.sources.sinks import edited_lines
+
+    lines = ['{"_comment":"x"}', '{"id":"1","v":"a  b","n":1.50}', "", '{"id":"2","v":"é"}', "not json", '{"id":"3","n":1}']
+    df = spark.createDataFrame(list(enumerate(lines)), "n int, line string")
+    edits = lambda *rows: spark.createDataFrame(rows, "id string, changes string")
+    got = [r.line for r in edited_lines(df, edits(("2", '{"v": "ü", "w": [1]}')), ["id"]).orderBy("n").collect()]
+    assert got == [*lines[:3], '{"id":"2","v":"ü","w":[1]}', *lines[4:]]
+    with pytest.raises(ValueError, match="several edits"):
+        edited_lines(df, edits(("2", "{}"), ("2", "{}")), ["id"])
+    with pytest.raises(ValueError, match="known style"):
+        edited_lines(df.where("n = 1"), edits(("9", "{}")), ["id"])

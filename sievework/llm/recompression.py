@@ -420,7 +420,7 @@ def _joined(spans: Column, window: int) -> Column:
 
     def add(out: Column, x: Column) -> Column:
         stop = x["at"] + x["n"] + F.lit(window - 1)
-        last = F.element_at(out, -1)
+        last = F.try_element_at(out, F.lit(-1))
         touches = (F.size(out) > 0) & (x["at"] <= last["at"] + last["n"])
         grown = F.struct(last["at"].alias("at"), F.greatest(last["n"], stop - last["at"]).alias("n"))
         return F.when(touches, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(grown))).otherwise(F.concat(out, F.array(F.struct(x["at"].alias("at"), (stop - x["at"]).alias("n")))))

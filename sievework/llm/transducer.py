@@ -6,10 +6,13 @@ Two transducers run one after the other.
    starts. The text is cut into chunks; each chunk's map from every entry state to its exit state is computed with all
    chunks in lockstep, the maps are composed by a parallel prefix scan, and a second lockstep pass from the entry
    states now known marks the piece starts.
-2. Counter. Over a piece's bytes, a transducer whose transitions carry the change in the number of emitted tokens. A
-   state holds, for every place from which a token may still be growing, the token that ends there, how far the
-   growing one has come in the trie of tokens, and the count there relative to the present one. States are made when
-   first reached and remembered up to a bound; whole pieces are remembered too.
+2. Counter. Over the bytes, a transducer whose transitions carry the change in the number of emitted tokens. A state
+   holds, for every place from which a token may still be growing, the token that ends there, how far the growing one
+   has come in the trie of tokens, and the count there relative to the present one. States are made when first reached
+   and remembered up to a bound. A piece starts in state 0, so the map of a chunk of bytes is constant from its first
+   piece start on. All chunks run from there in lockstep; a scan over the maps gives every chunk the state that it is
+   entered in, and what lies before its first piece start runs from that, again in lockstep. A chunk without a piece
+   start hands its own exit on.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from tokenizers import pre_tokenizers
 from .blocks import map_blocks
 from .merges import Merges
 
-#: Remembered pieces (and their longest length), and remembered transitions of the counter.
-MEMO_PIECES, MEMO_CHARS, MEMO_STEPS = 400_000, 64, 1_500_000
+#: Remembered transitions of the counter, and slots of the table in which they are looked up (a power of two).
+MEMO_STEPS, SLOTS = 600_000, 1 << 21
 
 # Symbols: one for each way in which the split pattern treats a character.
 OTHER, LETTER, NUMBER, SPACE, WHITE, QUOTE, ONE, R, E, V, L, BREAK = range(12)
@@ -130,19 +133,6 @@ def piece_starts(symbols: np.ndarray, step: np.ndarray, mark: np.ndarray, chunk:
     return np.flatnonzero(marks.T.ravel()[:n])
 
 
-class _Pieces(dict):
-    def __init__(self, count: Any) -> None:
-        self.count = count
-
-    def __missing__(self, piece: str) -> int:
-        n = self.count(piece.encode("utf-8"))
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_PIECES:
-                self.clear()
-            self[piece] = n
-        return n
-
-
 class Counter:
     """Token counts as the library gives them for a byte-level BPE tokenizer file without a normaliser."""
 
@@ -163,7 +153,6 @@ class Counter:
             raise ValueError("added tokens that strip or match words only aren't compiled")
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.symbols, (self.step, self.mark) = Symbols(), splitter()
-        self.pieces = _Pieces(self.count_piece)
         self.child: dict[int, int] = {}
         self.ends = [-1]
         for at, token in enumerate(self.merges.tokens):
@@ -179,6 +168,8 @@ class Counter:
         self.state_of: dict[tuple, int] = {((0, -1, 0),): 0}
         self.content: list[tuple] = [((0, -1, 0),)]
         self.steps: dict[int, tuple[int, int]] = {}
+        self.keys = np.full(SLOTS, -1, np.int64)
+        self.after, self.change = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int16)
 
     def _make(self, state: int, byte: int) -> tuple[int, int]:
         """The state after one more byte, and the change in tokens."""
@@ -199,38 +190,87 @@ class Counter:
         self.steps[state << 8 | byte] = found = (number, count)
         return found
 
-    def count_piece(self, piece: bytes) -> int:
-        if len(self.steps) > MEMO_STEPS:
-            self._forget()
-        state, total, known = 0, 0, self.steps.get
-        for byte in piece:
-            found = known(state << 8 | byte) or self._make(state, byte)
-            state = found[0]
-            total += found[1]
-        return total
+    def _step(self, state: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States and changes for many states and bytes. A transition has two slots; what isn't in either is made or remembered."""
+        key = state.astype(np.int64) << 8 | byte
+        slot = (key * 0x9E3779B1 >> 7) & (SLOTS - 1)
+        bad = np.flatnonzero(self.keys[slot] != key)
+        if len(bad):
+            slot[bad] = (key[bad] * 0x85EBCA77 >> 9) & (SLOTS - 1)
+            bad = bad[self.keys[slot[bad]] != key[bad]]
+        out, change = self.after[slot], self.change[slot]
+        for at in bad.tolist():
+            k = int(key[at])
+            out[at], change[at] = found = self.steps.get(k) or self._make(k >> 8, k & 255)
+            first, second = (k * 0x9E3779B1 >> 7) & (SLOTS - 1), (k * 0x85EBCA77 >> 9) & (SLOTS - 1)
+            free = first if self.keys[first] < 0 else second
+            self.keys[free], self.after[free], self.change[free] = k, *found
+        return out, change
+
+    def changes(self, data: np.ndarray, starts: np.ndarray, skip: np.ndarray, chunk: int = 1024) -> np.ndarray:
+        """The change in tokens at each byte. starts: does a piece start there? skip: is it outside of pieces?"""
+        n = len(data)
+        chunk = max(1, min(chunk, int(n**0.5) + 1))
+        many = -(-n // chunk)
+
+        def lanes(x: np.ndarray, fill: int) -> np.ndarray:
+            padded = np.full(many * chunk, fill, x.dtype)
+            padded[:n] = x
+            return np.ascontiguousarray(padded.reshape(many, chunk).T)  # [place in chunk, chunk]
+
+        bytes_, begins, used = lanes(data, 0), lanes(starts, 0), lanes(~skip, 0)
+        out = np.zeros((chunk, many), np.int16)
+        has = begins.any(axis=0)
+        head = np.where(has, begins.argmax(axis=0), chunk)
+        state = np.zeros(many, np.int32)
+
+        def run(chosen: np.ndarray, first: np.ndarray, stop: np.ndarray) -> None:
+            """Run the chosen chunks from their first to their stop places; state is where each begins and then where it ends."""
+            for at in range(int(first.min(initial=chunk)), int(stop.max(initial=0))):
+                live = chosen[(first <= at) & (at < stop)]
+                live = live[used[at, live]]
+                fresh = live[begins[at, live]]
+                state[fresh] = 0
+                state[live], out[at, live] = self._step(state[live], bytes_[at, live])
+
+        every = np.arange(many)
+        run(every[has], head[has], np.full(int(has.sum()), chunk))
+        known = has.copy()
+        # Scan: the maps of chunks with a piece start are constant; the others pass on what they get.
+        waiting = every[(head > 0) & (every > 0)]
+        exits = state.copy()
+        known[0] |= not has[0]
+        while len(waiting):
+            ready = waiting[known[waiting - 1]]
+            state[ready] = exits[ready - 1]
+            run(ready, np.zeros(len(ready), np.int64), head[ready])
+            whole = ready[~has[ready]]
+            exits[whole], known[whole] = state[whole], True
+            waiting = np.setdiff1d(waiting, ready, assume_unique=True)
+        return out.T.ravel()[:n]
 
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
+        if len(self.steps) > MEMO_STEPS:
+            self._forget()
         joined = "\0".join(texts) + "\0"
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        ends = np.cumsum(lengths)
-        symbols = self.symbols.of(np.frombuffer(joined.encode("utf-32-le"), np.uint32))
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        symbols = self.symbols.of(points)
         symbols[ends - 1] = BREAK
         total = np.zeros(len(texts), np.int64)
         if self.cut is not None:
             for m in self.cut.finditer(joined):
                 symbols[m.start() : m.end()] = BREAK
                 total[np.searchsorted(ends, m.start(), "right")] += 1
-        starts = piece_starts(symbols, self.step, self.mark)
-        if not len(starts):
-            return total
-        # A piece ends where the next starts or at the next break.
-        breaks = np.flatnonzero(symbols == BREAK)
-        stops = np.minimum(np.append(starts[1:], len(symbols)), breaks[np.searchsorted(breaks, starts)])
-        pieces = [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
-        counts = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
-        np.add.at(total, np.searchsorted(ends, starts, "right"), counts)
-        return total
+        sizes = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+        stops = np.cumsum(sizes)
+        data = np.frombuffer(joined.encode(), np.uint8)
+        starts = np.zeros(len(data), bool)
+        at = piece_starts(symbols, self.step, self.mark)
+        starts[stops[at] - sizes[at]] = True
+        sums = np.cumsum(self.changes(data, starts, np.repeat(symbols == BREAK, sizes)), dtype=np.int64)
+        return total + np.diff(sums[stops[ends - 1] - 1], prepend=0)
 
 
 def _byte_letters() -> dict[int, str]:

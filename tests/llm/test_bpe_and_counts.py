@@ -3,6 +3,7 @@ import hashlib
 import random
 from array import array
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -49,8 +50,6 @@ def test_counts_like_the_library(spark, df):
 def test_chunks_compose(spark):
     """Piece starts don't depend on how the text is cut into chunks."""
     counter = transducer.Counter(open(JSON, encoding="utf-8").read())
-    import numpy as np
-
     for text in ("it's   they'll\n\n go! 12 ", "  '  ''re x", "a" * 50):
         symbols = np.append(counter.symbols.of(np.array([ord(c) for c in text], np.uint32)), transducer.BREAK).astype(np.uint8)
         whole = transducer.piece_starts(symbols, counter.step, counter.mark, 10**6).tolist()
@@ -74,3 +73,28 @@ def test_digest_form(spark):
 
     row = bpe.encode(spark.createDataFrame([(1, "hello")], "doc_id long, text string"), RANKS, public_tokenizers.PATTERN).select(F.sha2("ids", 256).alias("h"), "ids").first()
     assert row.h == hashlib.sha256(bytes(row.ids)).hexdigest()
+
+
+def test_counts_of_chunks_compose():
+    """The changes are the same however the bytes are cut, also where a piece is longer than many chunks."""
+    counter = transducer.Counter(open(JSON, encoding="utf-8").read())
+    text = "the end isn't " + "ab" * 300 + " é中 x" + "q" * 90 + " 12"
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts, skip = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    starts[[0, 3, 7, 11, 14]] = True
+    skip[20:25] = True
+    starts[25] = True
+    whole = counter.changes(data, starts, skip, 10**6)
+    for chunk in (1, 2, 3, 7, 19, 25):
+        assert (counter.changes(data, starts, skip, chunk) == whole).all()
+    counter._forget()
+    assert (counter.changes(data, starts, skip, 5) == whole).all() and whole[20:25].sum() == 0
+
+
+def test_a_small_table_and_little_memory_count_alike(monkeypatch):
+    monkeypatch.setattr(transducer, "SLOTS", 16)
+    monkeypatch.setattr(transducer, "MEMO_STEPS", 50)
+    counter, library = transducer.Counter(open(JSON, encoding="utf-8").read()), Tokenizer.from_file(JSON)
+    for text in [t or "" for t in texts()[:200]] + ["plain words of a text"]:
+        if len(text) < 500:
+            assert counter.count([text, text]).tolist() == [len(library.encode(text, add_special_tokens=False).ids)] * 2

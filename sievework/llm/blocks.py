@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from ..session import ship_package
 
 #: Characters that one block of texts holds, except where a single text is longer.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 20
 
 
 def blocks(texts: list[str], limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:

@@ -16,7 +16,7 @@ class Merges:
     looking at neighbours alone. The answers are memoised up to MEMO entries.
     """
 
-    MEMO = 2_000_000
+    MEMO = 500_000
 
     def __init__(self, tokens: list[bytes]) -> None:
         if len(tokens) >= 1 << _SHIFT:

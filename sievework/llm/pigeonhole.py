@@ -16,6 +16,8 @@ BITS = 64
 #: Cost of a row in the index, and of a candidate pair, for the choice among divisions.
 ROW_COST, PAIR_COST = 1.0, 0.0005
 MOST_PER_GROUP = 2
+#: Words compared at once, so that a bucket takes little memory.
+CELLS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -106,8 +108,9 @@ def near_pairs(words: np.ndarray, own: np.ndarray, distance: int, most: int) ->
     """Pairs of at most that distance of which one is among the own words, how many each of these has, and whether the pairs
     are all of them: once there are more than `most`, no more are gathered."""
     x, y, many, degree, mine = [], [], 0, np.zeros(len(words), np.int64), np.flatnonzero(own)
-    for at in range(0, len(mine), 256):
-        rows = mine[at : at + 256]
+    step = max(1, CELLS // max(len(words), 1))
+    for at in range(0, len(mine), step):
+        rows = mine[at : at + step]
         near = np.bitwise_count(words[rows, None] ^ words[None, :]) <= distance
         degree[rows] = near.sum(axis=1)
         if many <= most:

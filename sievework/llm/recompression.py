@@ -64,7 +64,7 @@ class Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) <= n:
             base, inverse = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
-            ones = np.ones(2 * n + 1, np.uint64)
+            ones = np.ones(n + n // 4 + 1, np.uint64)
             self.up, self.down = ones.copy(), ones
             self.up[1:], self.down[1:] = base, inverse
             np.multiply.accumulate(self.up, out=self.up)

@@ -30,7 +30,7 @@ TRAINING_ROWS, FEATURES = 10_000, 1_024
 LEAST_ROWS, LEAST_Z = 5, 5.0
 #: Weights of the squared weights and of the squared counterfactual changes in the loss.
 RIDGE, COUNTERFACTUAL = 2e-4, 10.0
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 # Terms that name groups of people, by kind of group.
 IDENTITY_TERMS = (

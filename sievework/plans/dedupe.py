@@ -71,8 +71,10 @@ def benchmark_sentences(spark: SparkSession, d: str) -> DataFrame:
     lengths = sorted(r["n"] for r in items.select("n").distinct().collect())
     found = docs.join(items.where(F.col("n") == 0).select("item_id", "item"), held).select("item_id", "doc_id")
     if any(lengths):
-        keyed = docs.select("doc_id", "t", F.explode(F.array_distinct(F.flatten(F.array(*(runs(n) for n in lengths if n))))).alias("k"))
-        longer = keyed.join(items.where(F.col("n") > 0).select("item_id", "item", key(F.lit(2), F.col("n")).alias("k")), "k").where(held).select("item_id", "doc_id")
+        keyed = docs.select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*(runs(n) for n in lengths if n))))).alias("k"))
+        # Keys alone are exploded and joined; texts come to the pairs that were found.
+        pairs = keyed.join(items.where(F.col("n") > 0).select("item_id", key(F.lit(2), F.col("n")).alias("k")), "k").select("item_id", "doc_id").distinct()
+        longer = pairs.join(items.select("item_id", "item"), "item_id").join(docs.select("doc_id", "t"), "doc_id").where(held).select("item_id", "doc_id")
         found = found.unionByName(longer) if 0 in lengths else longer
     return found.groupBy("item_id").agg(F.countDistinct("doc_id").alias("docs"))
 

@@ -20,10 +20,13 @@ def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     queries = rows.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     blocks = queries.count() // 1000 + 1
     queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks).cast("long")))
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    shards = rows.count() // 8192 + 1  # so that no task holds all rows of a block of queries
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    queries = queries.withColumn("shard", numbers(shards))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards).cast("long"))).withColumn("block", numbers(blocks))
     score = F.round(N.dot("q", "v"), 9)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    met = rows.join(queries, "block").where(F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", score.alias("score"))
+    met = rows.join(queries, ["block", "shard"]).where(F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", score.alias("score"))
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 3).select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
@@ -142,13 +145,21 @@ def release_counts(spark: SparkSession, d: str) -> DataFrame:
 
 _V = "WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE / n) AS v FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n FROM embeddings))"
 _EV = "WITH c AS (SELECT user_id, " + ", ".join(f"round(sqrt(count(*) FILTER (event_type = '{k}')::DOUBLE))::INTEGER AS {k}" for k in KINDS) + " FROM events GROUP BY user_id)"
+# Formulas and masses of the nine structures, worked out by hand from the atomic masses.
+_SMILES_SQL = """
+WITH k(i, smiles, formula, mass) AS (VALUES
+  (0, 'CCO', 'C2H6O', 2 * 12.011 + 6 * 1.008 + 15.999), (1, 'c1ccccc1', 'C6H6', 6 * 12.011 + 6 * 1.008), (2, 'CC(=O)O', 'C2H4O2', 2 * 12.011 + 4 * 1.008 + 2 * 15.999),
+  (3, 'COc1cc(C=O)ccc1O', 'C8H8O3', 8 * 12.011 + 8 * 1.008 + 3 * 15.999), (4, 'CC(C)=CCCC(C)=CC=O', 'C10H16O', 10 * 12.011 + 16 * 1.008 + 15.999), (5, 'C1CC1N', 'C3H7N', 3 * 12.011 + 7 * 1.008 + 14.007),
+  (6, '[Na+].[Cl-]', NULL, NULL), (7, 'FC(F)(F)Cl', 'CClF3', 12.011 + 35.45 + 3 * 18.998), (8, 'O=S(=O)(O)O', 'H2O4S', 2 * 1.008 + 4 * 15.999 + 32.06))
+SELECT smiles, count(*) AS n, formula, round(mass::DOUBLE, 3) AS mass FROM part JOIN k ON i = p_partkey % 9 GROUP BY smiles, formula, mass
+"""
 PLANS: Plans = {
     "cosine_topk": (cosine_topk, f"{_V}, s AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_dot_product(q.v, c.v), 9) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 3"),
     "profile_groups": (profile_groups, f"{_EV} SELECT concat_ws(',', {', '.join(KINDS)}) AS profile, count(*) AS users, min(user_id) AS least FROM c GROUP BY 1"),
     "percentile_rescale": (percentile_rescale, "WITH b AS (SELECT event_type, quantile_cont(value, 0.03) AS lo, quantile_cont(value, 0.97) AS hi FROM events GROUP BY 1), s AS (SELECT event_type, greatest(0.0, least(1.0, (value - lo) / (hi - lo))) AS x FROM events JOIN b USING (event_type)) SELECT event_type, round(avg(x), 6) AS mean, count(*) FILTER (x = 0) AS at_zero, count(*) FILTER (x = 1) AS at_one FROM s GROUP BY 1"),
     "vector_norms": (vector_norms, "SELECT label, round(avg(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)))), 6) AS norm, round(sum(sqrt(abs(embedding[1]::DOUBLE))), 5) AS damped FROM embeddings GROUP BY label"),
     "tsne_map": (tsne_map, None),
-    "smiles_formula": (smiles_formula, None),
+    "smiles_formula": (smiles_formula, _SMILES_SQL),
     "rank_auc": (auc, "WITH r AS (SELECT doc_id, -len(regexp_extract_all(text, '!')) AS score, quality FROM documents JOIN labels USING (doc_id)), b AS (SELECT score, count(*) FILTER (quality = 1) AS pos, count(*) FILTER (quality = 0) AS neg FROM r GROUP BY score), w AS (SELECT pos, neg, pos * (coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + neg / 2) AS won FROM b) SELECT round((sum(won) / (sum(pos) * sum(neg)))::DOUBLE, 6) AS auc FROM w"),
     "array_edits": (array_edits, "WITH r AS (SELECT p_partkey, string_split_regex(lower(p_name), '[ #_-]+') AS w, string_split(p_type, ' ') AS k FROM part) SELECT p_partkey, array_to_string(list_transform(k, lambda x: CASE WHEN x = 'STANDARD' THEN 'STD' ELSE x END), '|') AS replaced, array_to_string(flatten(list_transform(w, lambda x: [x, upper(x)])), '|') AS doubled, array_to_string(list_distinct_ordered, '|') AS removed, coalesce(w[9], '') AS ninth, array_to_string(list_filter(w || k, lambda m: len(list_filter(w || k, lambda o: o <> m AND contains(o, m))) = 0), '|') AS fuller, true AS subset FROM (SELECT *, list_filter(k, lambda x: x <> 'STANDARD') AS list_distinct_ordered FROM r)"),
     "either_list": (either_list, "SELECT CASE WHEN o_orderstatus = 'F' THEN 't' ELSE o_orderpriority END AS term, count(*) AS n FROM orders GROUP BY 1"),

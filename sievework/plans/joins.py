@@ -112,9 +112,13 @@ def last_turns(spark: SparkSession, d: str) -> DataFrame:
 def disjoint(spark: SparkSession, d: str) -> DataFrame:
     """Mentions of other forms that don't overlap the document's first mention of an own one; intervals are word ranges."""
     words = table(spark, d, "documents").select("doc_id", F.posexplode(T.words("text")).alias("pos", "w")).join(F.broadcast(vocabulary(spark)), F.col("w") == F.col("form"))
-    per = words.groupBy("doc_id").agg(F.collect_list(F.when(F.col("tag") == "link", F.struct("pos"))).alias("own"), F.collect_list(F.when(F.col("tag") != "link", F.struct("pos"))).alias("others"))
-    free = F.filter("others", lambda o: ~F.exists("own", lambda x: F.abs(x["pos"] - o["pos"]) <= 1))
-    return per.select("doc_id", F.size("others").cast("long").alias("others"), F.size(free).cast("long").alias("free"))
+    link = F.when(F.col("tag") == "link", F.col("pos"))
+    before = F.last(link, ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    after = F.last(link, ignorenulls=True).over(Window.partitionBy("doc_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0))
+    placed = words.select("doc_id", "tag", "pos", before.alias("before"), after.alias("after"))
+    near = F.coalesce(F.col("pos") - F.col("before") <= 1, F.lit(False)) | F.coalesce(F.col("after") - F.col("pos") <= 1, F.lit(False))
+    other = F.col("tag") != "link"
+    return placed.groupBy("doc_id").agg(F.count_if(other).alias("others"), F.count_if(other & ~near).alias("free"))
 
 
 def nearest(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions import text as T
 from ..operators import evaluation as E
 from ..operators import quality as Q
 from ..operators.rules import DATA_RULES, first_reason
+from ..operators.order import running
 from ..session import table
 from .base import SENTENCES_SQL, Plans, sentences, sql_reason
 
@@ -64,9 +65,8 @@ def evidence_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def nulls_last(spark: SparkSession, d: str) -> DataFrame:
     """Rank with unlabelled documents last."""
-    rows = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
-    order = Window.partitionBy((F.col("doc_id") % 10).alias("g")).orderBy(F.col("quality").asc_nulls_last(), F.col("doc_id"))
-    return rows.withColumn("rank", F.row_number().over(order)).select("doc_id", "rank")
+    rows = table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 10).alias("k")).join(table(spark, d, "labels"), "doc_id", "left")
+    return running(rows, ["k"], [F.col("quality").asc_nulls_last(), F.col("doc_id")]).select("doc_id", F.col("place").alias("rank"))
 
 
 def predicted(spark: SparkSession, d: str) -> DataFrame:
@@ -102,15 +102,16 @@ def yield_projection(spark: SparkSession, d: str) -> DataFrame:
 
 def agreement(spark: SparkSession, d: str) -> DataFrame:
     """Running agreement of prediction and label in order of document."""
-    w = Window.partitionBy("lang").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    return predicted(spark, d).withColumn("agreement", F.round(F.avg(F.when(F.col("got") == F.col("want"), 1.0).otherwise(0.0)).over(w), 6)).select("doc_id", "agreement")
+    right = F.when(F.col("got") == F.col("want"), 1).otherwise(0)
+    out = running(predicted(spark, d), ["lang"], [F.col("doc_id")], {"right": right})
+    return out.select("doc_id", F.round(F.col("right") / F.col("place"), 6).alias("agreement"))
 
 
 def verbatim_violations(spark: SparkSession, d: str) -> DataFrame:
-    """Spans that aren't in the text they were taken from; here every seventh was changed on purpose."""
+    """Spans (all sentences) that aren't in the text they were taken from; here some of every seventh text were changed on purpose."""
     docs = table(spark, d, "documents").select("doc_id", T.norm_text("text").alias("t"))
-    spans = docs.select("doc_id", "t", F.get(T.sentences("t"), F.lit(0)).alias("s")).withColumn("s", F.when(F.col("doc_id") % 7 == 0, F.concat("s", F.lit("~~"))).otherwise(F.col("s")))
-    return spans.where(~F.contains("t", F.col("s"))).select("doc_id")
+    spans = F.transform(T.sentences("t"), lambda s, i: F.struct(i.alias("pos"), F.when((F.col("doc_id") % 7 == 0) & (i % 3 == 0), F.concat(s, F.lit("~~"))).otherwise(s).alias("s")))
+    return docs.select("doc_id", F.explode(F.transform(F.filter(spans, lambda x: ~T.verbatim(F.col("t"), x["s"])), lambda x: x["pos"])).alias("pos"))
 
 
 def domain_violations(spark: SparkSession, d: str) -> DataFrame:
@@ -187,7 +188,7 @@ PLANS: Plans = {
     "stratum_reweighted_pr": (reweighted, f"WITH e AS (SELECT doc_id, regexp_matches(text, '!!|\\||[*#&$%]{{3}}') AS stratum FROM documents), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('r1:' || doc_id::VARCHAR), doc_id) AS n FROM e) WHERE n <= 100), w AS (SELECT stratum, (SELECT count(*) FROM e WHERE e.stratum = d.stratum)::DOUBLE / count(*) AS weight FROM d GROUP BY stratum), x AS (SELECT NOT stratum AS got, quality = 1 AS want, weight FROM d JOIN w USING (stratum) JOIN labels USING (doc_id)), t AS (SELECT coalesce(sum(weight) FILTER (got AND want), 0) AS tp, coalesce(sum(weight) FILTER (got AND NOT want), 0) AS fp, coalesce(sum(weight) FILTER (NOT got AND want), 0) AS fn FROM x) {_PR}"),
     "yield_projection": (yield_projection, f"{_J}, p AS (SELECT lang, count(DISTINCT doc_id) AS docs, count(*) FILTER (reason = 'kept') AS kept FROM j GROUP BY lang), w AS (SELECT sum(docs) AS ad, sum(kept) AS ak FROM p) SELECT lang, docs, kept, round(kept::DOUBLE / docs, 6) AS per_doc, round((kept::DOUBLE / docs) / (ak::DOUBLE / ad::DOUBLE), 6) AS to_base, round(kept::DOUBLE / docs * 10000, 3) AS per_10000 FROM p, w"),
     "running_agreement": (agreement, f"{_G} SELECT doc_id, round(avg((got = want)::INTEGER::DOUBLE) OVER (PARTITION BY lang ORDER BY doc_id ROWS UNBOUNDED PRECEDING), 6) AS agreement FROM g"),
-    "verbatim_violations": (verbatim_violations, rf"WITH {SENTENCES_SQL} SELECT n.doc_id FROM n JOIN s USING (doc_id) WHERE s.pos = 0 AND NOT contains(n.t, CASE WHEN n.doc_id % 7 = 0 THEN s.s || '~~' ELSE s.s END)"),
+    "verbatim_violations": (verbatim_violations, rf"WITH {SENTENCES_SQL} SELECT n.doc_id, s.pos FROM n JOIN s USING (doc_id) WHERE NOT contains(n.t, CASE WHEN n.doc_id % 7 = 0 AND s.pos % 3 = 0 THEN s.s || '~~' ELSE s.s END)"),
     "domain_violations": (domain_violations, "SELECT problems, count(*) AS n FROM (SELECT concat_ws(';', CASE WHEN l_quantity > 49 THEN 'quantity' END, CASE WHEN l_discount > 0.09 THEN 'discount' END, CASE WHEN l_returnflag NOT IN ('A', 'N', 'R') THEN 'flag' END) AS problems FROM lineitem) WHERE problems <> '' GROUP BY 1"),
     "reconcile_export": (reconcile, "WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT c_custkey AS k, count(*) AS m FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1) SELECT count(*) AS customers, count(*) FILTER (n IS DISTINCT FROM m) AS differ, sum(n)::BIGINT AS orders FROM a FULL JOIN b USING (k)"),
     "key_and_numeric_check": (key_check, 'SELECT count(*) AS "rows", count(DISTINCT (l_orderkey, l_linenumber)) AS keys, count(*) FILTER (l_tax IS NULL OR isnan(l_tax)) AS not_numbers FROM lineitem'),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import predicates as P
 from ..operators.rules import DATA_RULES, first_reason
+from ..operators.order import running
 from ..session import table
 from .base import SENTENCES_SQL, Plans, sentences, sql_has, sql_reason
 from .dedupe import GROUPS_SQL, components
@@ -47,8 +48,8 @@ def triage(spark: SparkSession, d: str) -> DataFrame:
 def queue_order(spark: SparkSession, d: str) -> DataFrame:
     """Proposals first, then productive rows, then the queue's own order; nothing is filtered."""
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", (F.col("o_orderkey") % 9 == 0).alias("proposal"), (F.col("o_orderstatus") == "F").alias("productive"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_custkey")).alias("queue_order"))
-    w = Window.partitionBy("o_orderpriority").orderBy(F.desc("proposal"), F.desc("productive"), F.coalesce("queue_order", F.lit(0)), "o_orderkey")
-    return rows.select("o_orderkey", F.row_number().over(w).alias("place"))
+    order = [F.desc("proposal"), F.desc("productive"), F.coalesce("queue_order", F.lit(0)), F.col("o_orderkey")]
+    return running(rows, ["o_orderpriority"], order).select("o_orderkey", "place")
 
 
 def split_rows(spark: SparkSession, d: str) -> DataFrame:

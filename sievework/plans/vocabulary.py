@@ -108,8 +108,11 @@ def first_mention(spark: SparkSession, d: str) -> DataFrame:
 def edit_distance_one(spark: SparkSession, d: str) -> DataFrame:
     """Frequent words one edit away from a form of the vocabulary that aren't in it."""
     frequent = C.frequencies(tokens(spark, d), "w", "doc_id").where((F.col("docs") >= 30) & F.rlike("w", F.lit("^[a-z]{4,}$")))
-    near = frequent.join(F.broadcast(vocabulary(spark).where(F.length("form") >= 4)), F.levenshtein("w", "form") == 1)
-    return near.select("w", "form", "docs")
+    # Words one edit apart become equal when at most one letter of each is left out.
+    keys = lambda w: F.explode(F.array_distinct(F.concat(F.array(w), F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w)))))))
+    left = frequent.select("w", "docs", keys(F.col("w")).alias("k"))
+    right = vocabulary(spark).where(F.length("form") >= 4).select("form", keys(F.col("form")).alias("k"))
+    return left.join(right, "k").where(F.levenshtein("w", "form") == 1).select("w", "form", "docs").distinct()
 
 
 def topk_terms(spark: SparkSession, d: str) -> DataFrame:

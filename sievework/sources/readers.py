@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,8 +54,9 @@ def value_text(value: Column) -> Column:
 
 def sections_below(spark: SparkSession, tree: DataFrame, headings: list[str]) -> DataFrame:
     """Rows of a section tree (id, parent, heading) that have one of the headings, at any depth, with their depth."""
-    tree.createOrReplaceTempView("_section_tree")
-    walked = spark.sql("WITH RECURSIVE w AS (SELECT id, heading, 0 AS depth FROM _section_tree WHERE parent IS NULL UNION ALL SELECT t.id, t.heading, w.depth + 1 FROM _section_tree t JOIN w ON t.parent = w.id) SELECT * FROM w")
+    view = f"_section_tree_{uuid.uuid4().hex}"  # so that two calls in one session don't meet
+    tree.createOrReplaceTempView(view)
+    walked = spark.sql(f"WITH RECURSIVE w AS (SELECT id, heading, 0 AS depth FROM {view} WHERE parent IS NULL UNION ALL SELECT t.id, t.heading, w.depth + 1 FROM {view} t JOIN w ON t.parent = w.id) SELECT * FROM w")
     return walked.where(F.col("heading").isin(headings))
 
 

@@ -19,9 +19,9 @@ def write_json(df: DataFrame, path: str, force: bool = False) -> None:
 
 
 def write_tsv(df: DataFrame, path: str, order: list[str], force: bool = False) -> None:
-    """One tab-separated file with a header, in order; fields are cleaned, so none holds a tab or line end."""
+    """Tab-separated files with headers that follow one another in order; a small table is one file. Fields are cleaned, so none holds a tab or line end."""
     plain = df.select(*(clean_field(c).alias(c) for c in df.columns)) if df.columns else df
-    plain.orderBy(*order).coalesce(1).write.mode("overwrite" if force else "errorifexists").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+    plain.orderBy(*order).write.mode("overwrite" if force else "errorifexists").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
 
 
 def write_version(df: DataFrame, root: str) -> str:
@@ -56,8 +56,10 @@ def planned(df: DataFrame, path: str, write: bool = False) -> DataFrame:
     return df
 
 
-def embed_json(df: DataFrame, template: str, mark: str = "__DATA__") -> str:
-    """A page with the rows as JSON in it; "</" is escaped, so a row can't end the script."""
+def embed_json(df: DataFrame, template: str, mark: str = "__DATA__", most: int = 100_000) -> str:
+    """A page with the rows as JSON in it; "</" is escaped, so a row can't end the script. One page holds `most` rows; more are refused."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows for one page")
     rows = ",".join(r["j"] for r in df.select(F.to_json(F.struct("*")).alias("j")).collect())
     return template.replace(mark, f"[{rows}]".replace("</", "<\\/"))
 

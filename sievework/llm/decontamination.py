@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, small_side
+from ..session import ensure_checkpoint_dir, fits, small_side
 from .natives import let, lower_ascii
 
 WINDOW, GRAM = 13, 5
@@ -123,7 +123,7 @@ def _candidates(docs: DataFrame, marks: DataFrame, broadcast_rows: int) -> DataF
     marked = source.select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), every.alias("m"))
     exploded = marked.select("doc_id", "text_hash", "n_words", F.explode("m").alias("m")).select("doc_id", "text_hash", "n_words", "m", _hash_of(F.col("m")).alias("hash"), _place_of(F.col("m")).alias("p"))
     pair = F.struct("p", "window", "gram", "context", "at", "items")
-    if many <= broadcast_rows:
+    if many <= broadcast_rows and fits(marks, broadcast_rows):
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in marks.schema if f.name != "hash"]
         sentinel = marks.sparkSession.range(1).select(F.lit(_SENTINEL).cast("long").alias("hash"), *nothing)
         found = exploded.join(F.broadcast(marks.unionByName(sentinel)), "hash").where((F.col("m") == _SENTINEL) | F.col("window").isNotNull())
@@ -141,7 +141,8 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcas
     some = found.where(F.size("pairs") > 0)
     sizes = some.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("pairs")), F.lit(0)).alias("pairs")).first()
     pairs = some.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "pairs")
-    pairs = F.broadcast(pairs) if sizes["docs"] <= broadcast_docs and sizes["pairs"] <= BROADCAST_PAIRS else pairs
+    small = sizes["docs"] <= broadcast_docs and sizes["pairs"] <= BROADCAST_PAIRS and fits(pairs, broadcast_docs)
+    pairs = F.broadcast(pairs) if small else pairs
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     texts = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     # The words are bound by let(): a column of a lower projection would be merged into the lambda and split anew for each word.

@@ -65,8 +65,19 @@ def funnel(sentences: DataFrame, rules: RuleSet, s: str = "s", reason: str = "re
     )
 
 
-def single_gate_rows(sentences: DataFrame, patterns: dict[str, str], s: str = "s") -> DataFrame:
-    """For sizing a new rule: how many sentences each pattern would catch, and how many any of them."""
+def gates_failed(s: Column | str, rules: RuleSet) -> Column:
+    """How many of the four gates a sentence fails: length, head word, attribution, name."""
+    s = col(s)
+    attributed = F.lit(False)
+    for p in rules.attribution:
+        attributed = attributed | F.rlike(s, F.lit(p))
+    fit = (F.length(s) > rules.shortest) & (F.length(s) < rules.longest)
+    return sum((F.when(gate, 0).otherwise(1) for gate in (F.rlike(s, F.lit(rules.head)), attributed, is_named(s, rules))), F.when(fit, 0).otherwise(1))
+
+
+def single_gate_rows(sentences: DataFrame, patterns: dict[str, str], rules: RuleSet, s: str = "s") -> DataFrame:
+    """For sizing a new rule: of the sentences that fail one gate alone, how many each pattern catches, and how many any of them."""
+    sentences = sentences.where(gates_failed(s, rules) == 1)
     hits = {name: F.rlike(F.col(s), F.lit(p)) for name, p in patterns.items()}
     anyone = None
     for h in hits.values():

@@ -80,5 +80,11 @@ def sql_named(s: str, rules: RuleSet = DATA_RULES) -> str:
     return f"({sure} OR len(list_filter(regexp_extract_all({s}, '{rules.suffix_token}'), lambda w: lower(w) NOT IN ({stop}))) > 0)"
 
 
+def sql_gates_failed(s: str, rules: RuleSet) -> str:
+    attributed = " OR ".join(f"regexp_matches({s}, '{p}')" for p in rules.attribution)
+    gates = (f"length({s}) > {rules.shortest} AND length({s}) < {rules.longest}", f"regexp_matches({s}, '{rules.head}')", attributed, sql_named(s, rules))
+    return "(" + " + ".join(f"(NOT ({g}))::INTEGER" for g in gates) + ")"
+
+
 def sql_has(s: str, word: str) -> str:
     return f"regexp_matches({s}, '(?i){BEFORE}{word}{AFTER}')"

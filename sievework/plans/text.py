@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators.rules import DATA_RULES, KEPT, first_reason, funnel, is_named, single_gate_rows
 from ..session import table
-from .base import SENTENCES_SQL, Plans, sentences, sql_named, sql_norm, sql_reason
+from .base import SENTENCES_SQL, Plans, sentences, sql_gates_failed, sql_named, sql_norm, sql_reason
 
 
 def norm_text(spark: SparkSession, d: str) -> DataFrame:
@@ -65,8 +65,8 @@ def context_window(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dead_rows(spark: SparkSession, d: str) -> DataFrame:
-    """How many sentences each candidate rule would drop."""
-    return single_gate_rows(sentences(spark, d), {"digits": "[0-9]", "bars": r"\|", "bangs": "!!"})
+    """How many sentences that fail one gate alone each candidate rule would catch."""
+    return single_gate_rows(sentences(spark, d), {"digits": "[0-9]", "bars": r"\|", "bangs": "!!"}, DATA_RULES)
 
 
 def quoted_json(spark: SparkSession, d: str) -> DataFrame:
@@ -97,7 +97,7 @@ PLANS: Plans = {
     "entity_decode": (entity_decode, f"SELECT page_id, regexp_matches(html, '&(#[0-9]+|#x[0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);') AS has_entity, md5({_DECODED}) AS digest FROM pages"),
     "clause_gate": (clause_gate, rf"WITH {SENTENCES_SQL}, c AS (SELECT lang, string_split_regex(s, '[,;:]\s+') AS c FROM s) SELECT lang, sum(len(c))::BIGINT AS clauses, count(*) FILTER (len(list_filter(c, lambda x: regexp_matches(x, '{DATA_RULES.attribution[0]}') AND regexp_matches(x, '{DATA_RULES.suffix_token}'))) > 0) AS passed FROM c GROUP BY lang"),
     "context_window": (context_window, r"SELECT doc_id, lower(trim(regexp_replace(substr(text, greatest(1, p - 55), p + 59 - greatest(1, p - 55)), '\s+', ' ', 'g'))) AS context FROM (SELECT doc_id, text, strpos(text, 'tion ') AS p FROM documents) WHERE p > 0"),
-    "rule_sizing": (dead_rows, rf"WITH {SENTENCES_SQL} SELECT count(*) FILTER (regexp_matches(s, '[0-9]')) AS digits, count(*) FILTER (regexp_matches(s, '\|')) AS bars, count(*) FILTER (regexp_matches(s, '!!')) AS bangs, count(*) FILTER (regexp_matches(s, '[0-9]|\||!!')) AS any_pattern FROM s"),
+    "rule_sizing": (dead_rows, rf"WITH {SENTENCES_SQL} SELECT count(*) FILTER (regexp_matches(s, '[0-9]')) AS digits, count(*) FILTER (regexp_matches(s, '\|')) AS bars, count(*) FILTER (regexp_matches(s, '!!')) AS bangs, count(*) FILTER (regexp_matches(s, '[0-9]|\||!!')) AS any_pattern FROM s WHERE {sql_gates_failed('s', DATA_RULES)} = 1"),
     "nested_json": (quoted_json, "SELECT event_type, count(*) AS n, sum(k)::BIGINT AS total, count(*) FILTER (contains(props, '\"k\": ' || k::VARCHAR)) AS verbatim FROM (SELECT *, (props::JSON->>'k')::BIGINT AS k FROM events) GROUP BY event_type"),
     "page_sections": (page_titles, "SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, regexp_extract(url, '^[a-z]+://([^/:]+)', 1) AS host FROM pages"),
 }

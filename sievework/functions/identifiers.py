@@ -109,29 +109,39 @@ MASSES = {"H": 1.008, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998, "P": 3
 VALENCES = {"B": 3, "C": 4, "N": 3, "O": 2, "F": 1, "P": 3, "S": 2, "Cl": 1, "Br": 1, "I": 1}
 
 
-def formula_of(smiles: str) -> tuple[str, float] | None:
-    """Hill formula and mass of a molecule written as SMILES; None if it can't be read."""
+Atom = tuple[str, int, bool, int]
+Bond = tuple[int, int, float]
+
+
+def molecule_of(smiles: str) -> tuple[list[Atom], list[Bond]] | None:
+    """Atoms (element, hydrogens, aromatic, charge) and bonds (two atoms, order) of a molecule written as SMILES; None if it can't be read."""
     import re
 
-    atoms: list[list] = []  # element, hydrogens (None: by valence), bonds, aromatic
+    atoms: list[list] = []  # element, hydrogens (None: by valence), sum of bond orders, aromatic, charge
+    bonds: list[Bond] = []
     stack: list[int] = []
     rings: dict[str, tuple[int, float]] = {}
     last, order, at = -1, 0.0, 0
     token = re.compile(r"\[(\d*)([A-Za-z][a-z]?)(@{0,2})(H\d*)?([+-]+\d*)?(?::\d+)?\]|(Cl|Br|[BCNOPSFI]|[bcnops])|([-=#:/\\.])|(\()|(\))|(%\d\d|\d)")
+
+    def bind(a: int, b: int, written: float) -> None:
+        bond = written or (1.5 if atoms[a][3] and atoms[b][3] else 1.0)
+        atoms[a][2] += bond
+        atoms[b][2] += bond
+        bonds.append((a, b, bond))
+
     while at < len(smiles):
         m = token.match(smiles, at)
         if not m:
             return None
         at = m.end()
         if m[2] or m[6]:
-            symbol = m[2] or m[6]
-            aromatic = symbol[0].islower()
+            symbol, sign = m[2] or m[6], m[5] or ""
             hydrogens = None if m[6] else 0 if not m[4] else int(m[4][1:] or 1)
-            atoms.append([symbol.capitalize(), hydrogens, 0.0, aromatic])
+            size = int(re.sub(r"\D", "", sign) or len(sign))
+            atoms.append([symbol.capitalize(), hydrogens, 0.0, symbol[0].islower(), -size if "-" in sign else size])
             if last >= 0:
-                bond = order or (1.5 if aromatic and atoms[last][3] else 1.0)
-                atoms[last][2] += bond
-                atoms[-1][2] += bond
+                bind(last, len(atoms) - 1, order)
             last, order = len(atoms) - 1, 0.0
         elif m[7]:
             if m[7] == ".":
@@ -144,25 +154,38 @@ def formula_of(smiles: str) -> tuple[str, float] | None:
             if not stack:
                 return None
             last = stack.pop()
+        elif last < 0:
+            return None
         else:
             if m[10] in rings:
                 other, first = rings.pop(m[10])
-                bond = order or first or (1.5 if atoms[last][3] and atoms[other][3] else 1.0)
-                atoms[last][2] += bond
-                atoms[other][2] += bond
+                bind(last, other, order or first)
             else:
                 rings[m[10]] = (last, order)
             order = 0.0
-    count: dict[str, int] = {}
-    for symbol, hydrogens, bonds, aromatic in atoms:
+    if rings or stack:
+        return None
+    out = []
+    for symbol, hydrogens, used, aromatic, charge in atoms:
         if symbol not in MASSES and symbol != "B":
             return None
         if hydrogens is None:
-            valence, used = VALENCES[symbol], int(bonds + (0.5 if aromatic and bonds % 1 else 0))
+            valence, whole = VALENCES[symbol], int(used + (0.5 if aromatic and used % 1 else 0))
             if symbol in ("S", "P"):
-                while valence < used:
+                while valence < whole:
                     valence += 2
-            hydrogens = max(0, valence - used)
+            hydrogens = max(0, valence - whole)
+        out.append((symbol, hydrogens, aromatic, charge))
+    return out, bonds
+
+
+def formula_of(smiles: str) -> tuple[str, float] | None:
+    """Hill formula and mass of a molecule written as SMILES; None if it can't be read."""
+    read = molecule_of(smiles)
+    if read is None:
+        return None
+    count: dict[str, int] = {}
+    for symbol, hydrogens, *_ in read[0]:
         count[symbol] = count.get(symbol, 0) + 1
         count["H"] = count.get("H", 0) + hydrogens
     count = {k: v for k, v in count.items() if v}
@@ -171,6 +194,52 @@ def formula_of(smiles: str) -> tuple[str, float] | None:
     return "".join(e + (str(count[e]) if count[e] > 1 else "") for e in ordered), round(sum(MASSES.get(e, 10.81) * n for e, n in count.items()), 3)
 
 
+# Outer electrons.
+OUTER = {"H": 1, "B": 3, "C": 4, "N": 5, "O": 6, "F": 7, "P": 5, "S": 6, "Cl": 7, "Br": 7, "I": 7}
+DESCRIPTORS = ("heavy_atoms", "n_carbon", "n_oxygen", "n_nitrogen", "n_sulfur", "n_halogen", "heteroatoms", "h_donors", "rings", "valence_electrons")
+
+
+def descriptors_of(smiles: str) -> tuple | None:
+    """The numbers of DESCRIPTORS and the share of carbons with four single bonds; None if the molecule can't be read."""
+    read = molecule_of(smiles)
+    if read is None:
+        return None
+    atoms = [(at, *a) for at, a in enumerate(read[0]) if a[0] != "H"]
+    flat = {at for a, b, order in read[1] if order != 1.0 for at in (a, b)}
+    root = list(range(len(read[0])))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    closed = 0  # a bond between two atoms that hang together already closes a ring
+    for a, b, _ in read[1]:
+        x, y = top(a), top(b)
+        closed += x == y
+        root[x] = y
+    count = lambda *symbols: sum(a[1] in symbols for a in atoms)
+    donates = lambda symbol, h, aromatic, charge: h > 0 and charge in (0, 1) if symbol == "N" and not aromatic else symbol in ("N", "O", "S") and h == 1 and charge == 0
+    sp3 = sum(a[1] == "C" and not a[3] and a[0] not in flat for a in atoms)
+    electrons = sum(OUTER[s] - charge + h for _, s, h, _, charge in atoms)
+    whole = (len(atoms), count("C"), count("O"), count("N"), count("S"), count("F", "Cl", "Br", "I"), len(atoms) - count("C"), sum(donates(*a[1:]) for a in atoms), closed, electrons)
+    return *whole, round(sp3 / count("C"), 4) if count("C") else 0.0
+
+
+def smiles_descriptors(x: Column | str) -> Column:
+    """The numbers of descriptors_of for each molecule; all null where it can't be read."""
+    import pandas as pd
+
+    names = [*DESCRIPTORS, "fraction_csp3"]
+
+    def run(s):  # type: ignore[no-untyped-def]
+        rows = [descriptors_of(t) if t else None for t in s]
+        return pd.DataFrame([r or [None] * len(names) for r in rows], columns=names).astype({n: "Int64" for n in DESCRIPTORS} | {"fraction_csp3": "Float64"})
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.DataFrame}
+    return vectorized(f"struct<{', '.join(f'{n}: bigint' for n in DESCRIPTORS)}, fraction_csp3: double>")(run)(col(x))
+
+
 def smiles_formula(x: Column | str) -> Column:
     """formula and mass of each molecule; both null where it can't be read."""
     import pandas as pd

@@ -42,3 +42,19 @@ def confusion(rows: DataFrame, truth: str, predicted: str) -> DataFrame:
 def stratum_weights(rows: DataFrame, sampled: DataFrame, stratum: str) -> DataFrame:
     """stratum, weight: rows that a sampled row stands for."""
     return rows.groupBy(stratum).agg(F.count("*").alias("_all")).join(sampled.groupBy(stratum).agg(F.count("*").alias("_some")), stratum).select(stratum, (F.col("_all") / F.col("_some")).alias("weight"))
+
+
+def agreement(rows: DataFrame, truth: str, predicted: str, names: Column, predicted_names: Column) -> DataFrame:
+    """n, agreed, rejected, reject_precision, approved, same_names: two booleans compared, and the names (arrays, as sets
+    without case) of rows that both approve. A null decision counts as neither; nothing rejected gives a precision of 0."""
+    as_set = lambda xs: F.array_sort(F.array_distinct(F.transform(xs, lambda x: F.lower(x))))
+    got, want = F.col(predicted), F.col(truth)
+    out = rows.agg(
+        F.count("*").alias("n"),
+        F.count_if(got == want).alias("agreed"),
+        F.count_if(~got).alias("rejected"),
+        F.count_if(~got & ~want).alias("_right"),
+        F.count_if(got & want).alias("approved"),
+        F.count_if(got & want & (as_set(names) == as_set(predicted_names))).alias("same_names"),
+    )
+    return out.select("n", "agreed", "rejected", F.round(ratio(F.col("_right"), F.col("rejected")), 6).alias("reject_precision"), "approved", "same_names")

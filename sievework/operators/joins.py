@@ -85,3 +85,37 @@ def edit_plan(rows: DataFrame, edits: DataFrame, keys: list[str], expected: str,
     out = rows.join(plan, keys, "left")
     fits = F.coalesce("_fits", F.lit(False))
     return out.select(*(F.when(fits, F.col("_new")).otherwise(F.col(c)).alias(c) if c == column else F.col(c) for c in rows.columns), F.when(fits, F.concat(F.lit("was "), F.col(column).cast("string"))).alias(note), F.when(fits, "applied").when(F.col("_fits").isNotNull(), "refused").otherwise("none").alias("edit_status"))
+
+
+def would_cross(forms: DataFrame, form: str, tagged: DataFrame, tag: str, entity: str, bar: int, most: int = 2, stem: int = 5) -> DataFrame:
+    """For each form without a tag the first tags that it looks like, with uses, have, after, and whether the tag crosses the bar.
+
+    forms: distinct (form, entity); tagged: distinct (tag, entity). They look alike if one holds the first letters of the
+    other; what is joined on are pieces of distinct forms and tags, so no form is compared with every tag.
+    """
+    uses = forms.groupBy(form).agg(F.count("*").alias("uses"))
+    have = tagged.groupBy(tag).agg(F.count("*").alias("have"))
+    pieces = lambda x: F.flatten(F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.transform(F.sequence(F.lit(1), F.lit(stem)), lambda n: F.substring(x, i, n))))
+    keys = lambda x, mine: F.explode(F.array_distinct(F.concat(F.transform(pieces(x), lambda p: F.concat(F.lit(mine), p)), F.array(F.concat(F.lit("<" if mine == ">" else ">"), F.substring(x, 1, stem))))))
+    near = uses.where(F.length(form) > 0).select(form, keys(F.col(form), "<").alias("_k")).join(have.where(F.length(tag) > 0).select(tag, keys(F.col(tag), ">").alias("_k")), "_k").select(form, tag).distinct()
+    near = near.withColumn("_n", F.row_number().over(Window.partitionBy(form).orderBy(tag))).where(F.col("_n") <= most).drop("_n")
+    fresh = near.join(forms, form).join(tagged, [tag, entity], "left_anti").groupBy(form, tag).agg(F.count("*").alias("_fresh"))
+    after = F.col("have") + F.coalesce("_fresh", F.lit(0))
+    out = near.join(uses, form).join(have, tag).join(fresh, [form, tag], "left")
+    return out.select(form, "uses", tag, "have", after.alias("after"), ((F.col("have") < bar) & (after >= bar)).alias("crosses"))
+
+
+def hit_summary(hits: DataFrame, entity: str, doc: str, pos: str, text: str, compared: str, state: str, tags: str, most: int = 8, cut: int = 220) -> DataFrame:
+    """One row for each entity: sentences, docs, both again without comparisons, review states, the most frequent tags of
+    sentences without a comparison, and the first such sentence. A null state is undecided; null tags are none."""
+    plain = ~F.coalesce(F.col(compared), F.lit(False))
+    first = F.min(F.when(plain, F.struct(doc, pos, F.substring(text, 1, cut).alias("_t")))).alias("_first")
+    per = hits.groupBy(entity, doc).agg(F.count("*").alias("_s"), F.count_if(plain).alias("_p"), first)
+    per = per.groupBy(entity).agg(F.sum("_s").alias("sentences"), F.count("*").alias("docs"), F.sum("_p").alias("plain_sentences"), F.count_if(F.col("_p") > 0).alias("plain_docs"), F.min("_first").alias("_first"))
+    states = hits.groupBy(entity, F.coalesce(state, F.lit("undecided")).alias("_state")).agg(F.count("*").alias("_n"))
+    states = states.groupBy(entity).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "_state", F.col("_n").cast("string")))), ";").alias("states"))
+    counted = hits.where(plain).select(entity, F.explode(tags).alias("_tag")).groupBy(entity, "_tag").agg(F.count("*").alias("_n"))
+    counted = counted.withColumn("_r", F.row_number().over(Window.partitionBy(entity).orderBy(F.col("_n").desc(), "_tag"))).where(F.col("_r") <= most)
+    best = F.transform(F.array_sort(F.collect_list(F.struct("_r", "_tag", "_n"))), lambda x: F.concat_ws(" ", x["_tag"], x["_n"].cast("string")))
+    out = per.join(states, entity).join(counted.groupBy(entity).agg(F.array_join(best, ", ").alias("tags")), entity, "left")
+    return out.select(entity, "sentences", "docs", "plain_sentences", "plain_docs", "states", F.coalesce("tags", F.lit("")).alias("tags"), F.col("_first._t").alias("example"))

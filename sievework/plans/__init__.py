@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import Plans
 
-MODULES = ("text", "vocabulary", "counts", "joins", "dedupe", "quality", "features", "sources", "review", "cues", "fields")
+MODULES = ("text", "vocabulary", "counts", "joins", "dedupe", "quality", "features", "sources", "review", "cues", "fields", "names")
 
 
 def plans() -> Plans:

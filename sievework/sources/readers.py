@@ -113,3 +113,18 @@ def split_prefixes(rows: DataFrame, text: str, cap: int, longest: int) -> DataFr
         if size < longest:
             left = left.withColumn("prefix", F.substring("p", 1, size)).join(level.where(over).select("prefix"), "prefix", "left_semi").drop("prefix")
     return done
+
+
+def split_years(rows: DataFrame, prefix: str, year: str, cap: int, first: int, wide: int = 3) -> DataFrame:
+    """prefix, from_year, to_year, n, status: a prefix at the cap is cut into windows of `wide` years, such a window into years.
+
+    Both years are null for a prefix that is below the cap as a whole. A single year at the cap has status failed; nothing
+    is dropped. Rows are counted by prefix and year first, so what the windows order is a few rows for each prefix.
+    """
+    per = rows.groupBy(F.col(prefix).alias("prefix"), F.col(year).alias("y")).agg(F.count("*").alias("k"))
+    block = F.col("y") - F.pmod(F.col("y") - first, F.lit(wide))
+    per = per.withColumn("b", block).withColumns({"t": F.sum("k").over(Window.partitionBy("prefix")), "w": F.sum("k").over(Window.partitionBy("prefix", "b"))})
+    start = F.when(F.col("t") < cap, F.lit(None)).when(F.col("w") < cap, F.col("b")).otherwise(F.col("y"))
+    stop = F.when(F.col("t") < cap, F.lit(None)).when(F.col("w") < cap, F.col("b") + (wide - 1)).otherwise(F.col("y"))
+    out = per.groupBy("prefix", start.alias("from_year"), stop.alias("to_year")).agg(F.sum("k").alias("n"))
+    return out.withColumn("status", F.when(F.col("n") < cap, "ok").otherwise("failed"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-import os
-from pathlib import Path
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from py4j.java_gateway import JavaObject
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_field
@@ -24,28 +23,50 @@ def write_tsv(df: DataFrame, path: str, order: list[str], force: bool = False) -
     plain.orderBy(*order).write.mode("overwrite" if force else "errorifexists").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
 
 
+def _files(spark: SparkSession, where: str) -> tuple[Callable[[str], JavaObject], JavaObject]:
+    """How to name a path, and the file system that holds `where`: local or shared."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    return path, path(where).getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def put_text(spark: SparkSession, where: str, text: str) -> None:
+    """One text file, in UTF-8; an existing one is replaced."""
+    path, files = _files(spark, where)
+    out = files.create(path(where), True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def write_version(df: DataFrame, root: str) -> str:
-    """Writes the next v=<n> under a local root, completely or not at all, and gives its path; older versions stay."""
-    Path(root).mkdir(parents=True, exist_ok=True)
-    n = 1 + max((int(p.name[2:]) for p in Path(root).glob("v=*") if p.name[2:].isdigit()), default=0)
+    """Writes the next v=<n> under a root on any file system, completely or not at all, and gives its path; older versions stay."""
+    path, files = _files(df.sparkSession, root)
+    files.mkdirs(path(root))
+    held = [s.getPath().getName() for s in files.listStatus(path(root))]
+    n = 1 + max((int(p[2:]) for p in held if p.startswith("v=") and p[2:].isdigit()), default=0)
     part, final = f"{root}/.part-{n}", f"{root}/v={n}"
     df.write.mode("overwrite").parquet(part)
-    os.replace(part, final)
+    if files.exists(path(final)) or not files.rename(path(part), path(final)):
+        raise FileExistsError(final)
     return final
 
 
-def write_manifest(folder: str, counts: dict[str, int]) -> dict:
-    """manifest.json with counts and the SHA-256 of every file below a local folder, and SHA256SUMS beside it."""
-    sums = {}
-    for path in sorted(p for p in Path(folder).rglob("*") if p.is_file() and p.name not in ("manifest.json", "SHA256SUMS") and not p.name.startswith(".")):
-        digest = hashlib.sha256()
-        with path.open("rb") as f:
-            while block := f.read(1 << 20):
-                digest.update(block)
-        sums[path.relative_to(folder).as_posix()] = digest.hexdigest()
+def write_manifest(spark: SparkSession, folder: str, counts: dict[str, int]) -> dict:
+    """manifest.json with counts and the SHA-256 of every data file below a folder, and SHA256SUMS beside it.
+
+    The executors hash the files, each of which must be below 2 GB; only names and sums come to the driver.
+    """
+    path, files = _files(spark, folder)
+    root = files.makeQualified(path(folder)).toString() + "/"
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    name = F.substring(F.regexp_replace("path", "^file:/+", "file:/"), len(root) + 1, 1 << 20)
+    rows = read.select(name.alias("name"), F.sha2("content", 256).alias("sum")).where(~F.col("name").isin("manifest.json", "SHA256SUMS"))
+    sums = {r["name"]: r["sum"] for r in rows.orderBy("name").collect()}
     out = {"counts": counts, "sha256": sums}
-    Path(folder, "manifest.json").write_text(json.dumps(out, indent=1, sort_keys=True), encoding="utf-8")
-    Path(folder, "SHA256SUMS").write_text("".join(f"{v}  {k}\n" for k, v in sums.items()), encoding="utf-8")
+    put_text(spark, f"{folder}/manifest.json", json.dumps(out, indent=1, sort_keys=True))
+    put_text(spark, f"{folder}/SHA256SUMS", "".join(f"{v}  {k}\n" for k, v in sums.items()))
     return out
 
 

@@ -55,7 +55,7 @@ def test_sinks(spark, tmp_path):
     sinks.write_json(df, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).count() == 2
     assert sinks.write_version(df, str(tmp_path / "v")).endswith("v=1") and sinks.write_version(df, str(tmp_path / "v")).endswith("v=2")
-    manifest = sinks.write_manifest(str(tmp_path / "out"), {"rows": 2})
+    manifest = sinks.write_manifest(spark, str(tmp_path / "out"), {"rows": 2})
     assert manifest["counts"] == {"rows": 2} and any(k.startswith("part-") for k in manifest["sha256"])
     sinks.planned(df, str(tmp_path / "dry"))
     assert not (tmp_path / "dry").exists()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, table
-from . import bpe, chat, decontamination, pivots, quality, recompression, secrets, simhash, toxicity, transducer
+from . import bpe, chat, decontamination, middle, pivots, quality, recompression, secrets, simhash, toxicity, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 512
@@ -87,8 +87,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = middle.transform(table(spark, sf_dir, "documents"))
+    chars = [F.when(F.col("form") != "plain", F.length(c)).cast("long").alias(f"{c}_chars") for c in ("prefix", "middle")]
+    return out.select("doc_id", "n", "form", *chars, F.sha2("output", 256).alias("output_sha256"), F.sha2(middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_decontamination, op2_chat_format, op3_bpe, op4_secrets, op5_simhash, op6_token_counts, op7_toxicity, op8_quality, op9_topk, op10_substring_dedup)
+    own = (op1_decontamination, op2_chat_format, op3_bpe, op4_secrets, op5_simhash, op6_token_counts, op7_toxicity, op8_quality, op9_topk, op10_substring_dedup, op11_fill_in_middle)
     return {q.__name__: q for q in own}
 
 
@@ -134,6 +140,17 @@ k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS m, CASE WHEN gone
 SELECT doc_id, n::BIGINT AS n_words, m::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
 """
 
+_MIDDLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT doc_id, t, n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, t, n, a, b, form, CASE WHEN a > 0 THEN substring(t, 1, a) ELSE '' END AS p, CASE WHEN b > a THEN substring(t, a + 1, b - a) ELSE '' END AS m, CASE WHEN n > b THEN substring(t, b + 1, n - b) ELSE '' END AS s FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": _CONTAMINATION_SQL, "op2_chat_format": _CHAT_SQL, "op9_topk": _TOP_K_SQL, "op10_substring_dedup": _REPEATS_SQL}
+    return {"op1_decontamination": _CONTAMINATION_SQL, "op2_chat_format": _CHAT_SQL, "op9_topk": _TOP_K_SQL, "op10_substring_dedup": _REPEATS_SQL, "op11_fill_in_middle": _MIDDLE_SQL}

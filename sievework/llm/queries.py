@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, table
-from . import bpe, chat, decontamination, middle, pivots, quality, recompression, secrets, simhash, toxicity, transducer
+from . import bpe, chat, codes, decontamination, middle, pivots, quality, recompression, secrets, simhash, toxicity, transducer
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 512
@@ -93,8 +94,15 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", *chars, F.sha2("output", 256).alias("output_sha256"), F.sha2(middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out, books = codes.quantise(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
+    return out.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_decontamination, op2_chat_format, op3_bpe, op4_secrets, op5_simhash, op6_token_counts, op7_toxicity, op8_quality, op9_topk, op10_substring_dedup, op11_fill_in_middle)
+    own = (op1_decontamination, op2_chat_format, op3_bpe, op4_secrets, op5_simhash, op6_token_counts, op7_toxicity, op8_quality, op9_topk, op10_substring_dedup, op11_fill_in_middle, op13_vector_codes)
     return {q.__name__: q for q in own}
 
 
@@ -152,5 +160,30 @@ FROM p
 """
 
 
+def _codes_sql() -> str:
+    """Two rounds of assigning every part to its nearest entry and moving the entries, then the last assignment."""
+
+    def nearest(books: str) -> str:
+        return f"SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (SELECT x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM x JOIN {books} b USING (p)) GROUP BY r, p"
+
+    rounds = ""
+    for i in range(codes.ROUNDS):
+        rounds += f"""a{i} AS ({nearest(f"b{i}")}),
+m{i} AS (SELECT p, e, list(m ORDER BY j) AS v FROM (SELECT a.p, a.e, u.j, floor(sum(x.v[u.j])::DOUBLE / count(*))::BIGINT AS m FROM a{i} a JOIN x USING (r, p), (SELECT unnest(range(1, 5)) AS j) u GROUP BY a.p, a.e, u.j) GROUP BY p, e),
+b{i + 1} AS (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM b{i} b LEFT JOIN m{i} m USING (p, e)),
+"""
+    last = codes.ROUNDS
+    return f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+x AS (SELECT r, p, v[4 * p + 1 : 4 * p + 4] AS v FROM k, (SELECT unnest(range(16)) AS p)),
+b0 AS (SELECT p, r - 1 AS e, v FROM x WHERE r <= 64),
+{rounds}z AS ({nearest(f"b{last}")}),
+s AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM z GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{last})
+SELECT k.vec_id, s.code, s.error, sum(s.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, h.codebooks_sha256 FROM k JOIN s USING (r), h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": _CONTAMINATION_SQL, "op2_chat_format": _CHAT_SQL, "op9_topk": _TOP_K_SQL, "op10_substring_dedup": _REPEATS_SQL, "op11_fill_in_middle": _MIDDLE_SQL}
+    return {"op1_decontamination": _CONTAMINATION_SQL, "op2_chat_format": _CHAT_SQL, "op9_topk": _TOP_K_SQL, "op10_substring_dedup": _REPEATS_SQL, "op11_fill_in_middle": _MIDDLE_SQL, "op13_vector_codes": _codes_sql()}

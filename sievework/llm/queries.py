@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, table
-from . import bpe, chat, codes, decontamination, middle, pivots, quality, recompression, secrets, simhash, toxicity, transducer
+from . import bpe, chat, codes, decontamination, middle, pivots, quality, recompression, secrets, simhash, toxicity, transducer, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 512
@@ -94,6 +94,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", *chars, F.sha2("output", 256).alias("output_sha256"), F.sha2(middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    out = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     out, books = codes.quantise(table(spark, sf_dir, "embeddings"))
@@ -102,7 +108,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_decontamination, op2_chat_format, op3_bpe, op4_secrets, op5_simhash, op6_token_counts, op7_toxicity, op8_quality, op9_topk, op10_substring_dedup, op11_fill_in_middle, op13_vector_codes)
+    own = (op1_decontamination, op2_chat_format, op3_bpe, op4_secrets, op5_simhash, op6_token_counts, op7_toxicity, op8_quality, op9_topk, op10_substring_dedup, op11_fill_in_middle, op12_embedding_dedup, op13_vector_codes)
     return {q.__name__: q for q in own}
 
 
@@ -159,6 +165,16 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGIN
 FROM p
 """
 
+_VECTORS_SQL = f"""
+WITH RECURSIVE k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v, label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS able FROM embeddings),
+l AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM k a JOIN k b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v) WHERE a.able AND b.able AND list_cosine_similarity(a.v, b.v) >= {vectors.COSINE}),
+w AS (SELECT r, r AS t FROM k UNION SELECT w.r, l.b FROM w JOIN l ON w.t = l.a),
+c AS (SELECT w.r, min(k.vec_id) AS component_id FROM w JOIN k ON w.t = k.r GROUP BY w.r),
+n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT k.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, k.vec_id IS NOT DISTINCT FROM c.component_id AS kept FROM k JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
 
 def _codes_sql() -> str:
     """Two rounds of assigning every part to its nearest entry and moving the entries, then the last assignment."""
@@ -186,4 +202,4 @@ SELECT k.vec_id, s.code, s.error, sum(s.error) OVER (PARTITION BY k.label)::BIGI
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": _CONTAMINATION_SQL, "op2_chat_format": _CHAT_SQL, "op9_topk": _TOP_K_SQL, "op10_substring_dedup": _REPEATS_SQL, "op11_fill_in_middle": _MIDDLE_SQL, "op13_vector_codes": _codes_sql()}
+    return {"op1_decontamination": _CONTAMINATION_SQL, "op2_chat_format": _CHAT_SQL, "op9_topk": _TOP_K_SQL, "op10_substring_dedup": _REPEATS_SQL, "op11_fill_in_middle": _MIDDLE_SQL, "op12_embedding_dedup": _VECTORS_SQL, "op13_vector_codes": _codes_sql()}

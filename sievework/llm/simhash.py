@@ -7,7 +7,9 @@ Buckets beyond BUCKET rows are cut into blocks, and each pair of blocks is worke
 in a task and no link is lost. Components of the links give the groups.
 
 Dropping near copies (keep_one) takes a similarity: the fingerprints of five-word shingles may then differ in more bits,
-and each link must be borne out by sketches, the least hashes of both texts' shingles.
+and each link must be borne out by sketches, the least hashes of both texts' shingles. Buckets with few links emit every
+one, to be verified afterwards; those with many fetch the sketches of their rows and emit a spanning forest of links that
+hold by distance and similarity both. Either way what is joined is what all links that hold join, at any size of blocks.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ COPY_SHINGLE, COPY_SIMILARITY, COPY_DISTANCE = 5, 0.8, 10
 SKETCH = 256
 #: Fingerprints by which candidate counts are estimated when bits are dealt into groups; those of least hash.
 SAMPLE = 2_048
-#: Pairs that a bucket emits for each of its rows when links are verified afterwards; denser ones emit spanning forests.
+#: Pairs that a bucket emits for each of its rows when links are verified afterwards; denser ones fetch sketches and emit verified forests.
 DENSE = 8
 #: Rows of a bucket up to which it stays whole.
 BUCKET = 4_096
@@ -134,12 +136,19 @@ def _buckets(fps: DataFrame, groups: tuple[Group, ...]) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("k.part", "k.key", "fp", "k.own")
 
 
+_BUCKET = ("part", "key", "block")
+
+
 def _verify(rows: DataFrame, distance: int, every: bool) -> DataFrame:
-    """Links a, b of a spanning forest of each bucket, or every one if it isn't dense; rows of a bucket must be together and in order."""
+    """Links a, b of a spanning forest of each bucket, or every one if it isn't dense; rows of a bucket must be together and in order.
+
+    Where every link is asked for, dense buckets give their members as a, with part, key and block, instead.
+    """
 
-    def links(words: np.ndarray, mine: np.ndarray, cuts: np.ndarray) -> tuple[list[int], list[int]]:
+    def links(words: np.ndarray, mine: np.ndarray, cuts: np.ndarray) -> tuple[list[int], list[int], list[int]]:
         a: list[int] = []
         b: list[int] = []
+        dense: list[int] = []
         sizes = np.diff(cuts)
         top: dict[int, int] = {}
 
@@ -158,6 +167,9 @@ def _verify(rows: DataFrame, distance: int, every: bool) -> DataFrame:
         for k in np.flatnonzero(sizes > SMALL).tolist():
             own = words[cuts[k] : cuts[k + 1]]
             x, y, degree, whole = near_pairs(own, mine[cuts[k] : cuts[k + 1]] > 0, distance, DENSE * len(own))
+            if not whole and every:
+                dense.append(k)
+                continue
             if not whole:  # what is near to most comes first, so that it is the others' link
                 order = np.argsort(-degree, kind="stable")
                 tree = forest(own[order], distance)
@@ -180,7 +192,7 @@ def _verify(rows: DataFrame, distance: int, every: bool) -> DataFrame:
                 if every or joins(x, x + shift):
                     a.append(int(words[x]))
                     b.append(int(words[x + shift]))
-        return a, b
+        return a, b, dense
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[], [], [], [], []]
@@ -190,11 +202,16 @@ def _verify(rows: DataFrame, distance: int, every: bool) -> DataFrame:
             fresh = np.flatnonzero((part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             end = len(words) if final else int(fresh[-1]) if len(fresh) else 0
             cuts = np.concatenate([[0], fresh[fresh < end], [end]]) if end else np.zeros(1, np.int64)
-            a, b = links(words[:end].view(np.uint64), own[:end], cuts)
+            a, b, dense = links(words[:end].view(np.uint64), own[:end], cuts)
+            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays([signed(a), signed(b), none.cast(pa.int32()), none, none], names=["a", "b", *_BUCKET])
+            for k in dense:
+                of = slice(int(cuts[k]), int(cuts[k + 1]))
+                members = pa.array(words[of])
+                yield pa.RecordBatch.from_arrays([members, pa.nulls(len(members), pa.int64()), pa.array(part[of].astype(np.int32)), pa.array(key[of]), pa.array(block[of])], names=["a", "b", *_BUCKET])
             for at, x in enumerate((part, key, block, words, own)):
                 held[at] = [x[end:]]
-            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([signed(a), signed(b)], names=["a", "b"])
 
         for batch in batches:
             for at in range(5):
@@ -202,12 +219,14 @@ def _verify(rows: DataFrame, distance: int, every: bool) -> DataFrame:
             yield from flush(False)
         yield from flush(True)
 
-    return rows.mapInArrow(run, "a long, b long")
-
+    return rows.mapInArrow(run, "a long, b long, part int, key long, block long")
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, every: bool = False) -> DataFrame:
-    """Links a, b between distinct fingerprints that differ in at most so many bits: enough of them to keep every group together, or (but for dense buckets) every one."""
+    """Links a, b between distinct fingerprints that differ in at most so many bits: enough of them to keep every group together, or every one.
+
+    Of every one, those of dense buckets aren't spelt out: these give their members as a, with part, key and block.
+    """
     counts, n = _counts(fps)
     sample = np.array([r["fp"] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).select("fp").collect()], np.int64).view(np.uint64)
     rows = _buckets(fps, divide(counts, n, distance, sample))
@@ -220,15 +239,58 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, every:
     return _verify(cut.repartition("part", "key", "block").sortWithinPartitions("part", "key", "block", "fp"), distance, every)
 
 
-def _similar(found: DataFrame, own: DataFrame, least: float) -> DataFrame:
-    """The links whose texts are similar enough by their sketches."""
-    found = stash(found.distinct())
-    ends = [found.select(F.col(x).alias("fp")).groupBy("fp").agg(F.count("*").alias(f"n_{x}")) for x in ("a", "b")]
-    degree = small_side(ends[0].join(ends[1], "fp", "outer"), BROADCAST_IDS)
-    held = stash(own.join(degree, "fp").groupBy("fp").agg(F.first("sketch").alias("sketch"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")))
+def verified_forest(words: np.ndarray, sketches: list[bytes], distance: int, least: float) -> list[tuple[int, int]]:
+    """Links between rows that hold by distance and similarity, and join what all such links join.
+
+    Each reached row is compared with those not yet reached. How many hashes it shares with each of them is read from
+    postings; where a full sketch says that not all shared ones count, the two sketches are compared themselves.
+    """
+    rows = [np.frombuffer(x, np.uint32) for x in sketches]
+    sizes = np.array([len(r) for r in rows])
+    _, code = np.unique(np.concatenate(rows) if len(rows) else np.zeros(0, np.uint32), return_inverse=True)
+    codes = np.split(code, np.cumsum(sizes)[:-1]) if len(rows) else []
+    order = np.argsort(code, kind="stable")
+    posted = np.repeat(np.arange(len(rows)), sizes)[order]
+    cuts = np.searchsorted(code[order], np.arange(int(code.max(initial=-1)) + 2))
+
+    def alike(at: int, near: np.ndarray) -> np.ndarray:
+        held = [posted[cuts[c] : cuts[c + 1]] for c in codes[at].tolist()]
+        shared = np.bincount(np.concatenate(held), minlength=len(rows))[near] if held else np.zeros(len(near), np.int64)
+        union = sizes[at] + sizes[near] - shared
+        full = (sizes[near] == SKETCH) | (sizes[at] == SKETCH)
+        good = np.where(union > 0, shared / np.maximum(union, 1), 1.0) >= least
+        for k in np.flatnonzero(full).tolist():
+            good[k] = shared[k] >= least * SKETCH and resemblance(sketches[at], sketches[near[k]]) >= least
+        return near[good]
+
+    out: list[tuple[int, int]] = []
+    waiting = np.ones(len(words), bool)
+    while waiting.any():
+        frontier = [int(np.argmax(waiting))]
+        waiting[frontier] = False
+        while frontier and waiting.any():
+            at = frontier.pop()
+            near = np.flatnonzero(waiting & (np.bitwise_count(words ^ words[at]) <= distance))
+            reached = alike(at, near) if len(near) else near
+            waiting[reached] = False
+            out += [(at, x) for x in reached.tolist()]
+            frontier += reached.tolist()
+    return out
+
+
+def _similar(found: DataFrame, own: DataFrame, distance: int, least: float) -> DataFrame:
+    """The links whose texts are similar enough by their sketches, those of dense buckets as forests."""
+    found = stash(found)
+    dense = found.where(F.col("part").isNotNull()).select(F.col("a").alias("fp"), *_BUCKET)
+    spelt = stash(found.where(F.col("part").isNull()).select("a", "b").distinct())
+    sketches = own.groupBy("fp").agg(F.min("sketch").alias("sketch"))
+    ends = [spelt.select(F.col(x).alias("fp")).groupBy("fp").agg(F.count("*").alias(f"n_{x}")) for x in ("a", "b")]
+    needed = ends[0].join(ends[1], "fp", "outer").join(dense.groupBy("fp").agg(F.count("*").alias("n_dense")), "fp", "outer")
+    held = stash(sketches.join(small_side(needed, BROADCAST_IDS), "fp"))
+    pairs = spelt
     for x in ("a", "b"):
         side = held.where(F.col(f"n_{x}").isNotNull()).select(F.col("fp").alias(x), F.col("sketch").alias(f"sketch_{x}"), F.col(f"n_{x}").alias("rows"))
-        found = join_one(found, side, [x]).drop("rows")
+        pairs = join_one(pairs, side, [x]).drop("rows")
 
     def make() -> Any:
         def work(a: list[int], b: list[int], of_a: list[bytes], of_b: list[bytes]) -> list:
@@ -237,7 +299,17 @@ def _similar(found: DataFrame, own: DataFrame, least: float) -> DataFrame:
 
         return work
 
-    return map_blocks(found.select("a", "b", "sketch_a", "sketch_b"), make, "a long, b long", None)
+    def grown(table: pa.Table) -> pa.Table:
+        table = table.sort_by("fp")
+        fps = table["fp"].to_numpy()
+        tree = verified_forest(fps.view(np.uint64), table["sketch"].to_pylist(), distance, least)
+        return pa.table({x: pa.array([int(fps[pair[at]]) for pair in tree], pa.int64()) for at, x in enumerate("ab")})
+
+    checked = map_blocks(pairs.select("a", "b", "sketch_a", "sketch_b"), make, "a long, b long", None)
+    if not dense.limit(1).count():
+        return checked
+    met = join_one(dense, held.where("n_dense is not null").select("fp", "sketch", F.col("n_dense").alias("rows")), ["fp"]).select(*_BUCKET, "fp", "sketch")
+    return checked.unionByName(met.groupBy(*_BUCKET).applyInArrow(grown, "a long, b long"))
 
 
 def _grouped(own: DataFrame, key: str, found: DataFrame) -> DataFrame:
@@ -271,7 +343,7 @@ def keep_one(docs: DataFrame, distance: int = COPY_DISTANCE, shingle: int = COPY
     text are judged apart, and repeated rows stay once. Texts without words are alike. An empty table gives no rows.
     """
     own = stash(fingerprints(docs, shingle=shingle, sketches=True))
-    found = _similar(links(stash(own.select("fp").distinct()), distance, bucket, every=True), own, similarity)
+    found = _similar(links(stash(own.select("fp").distinct()), distance, bucket, every=True), own, distance, similarity)
     judged = stash(_grouped(own.drop("sketch"), "doc_id", found).groupBy("doc_id", "text_hash").agg(F.first("kept").alias("kept"), F.count("*").alias("rows")))
     stays = (F.col("text_hash") == F.col("kept.text_hash")) & F.col("doc_id").eqNullSafe(F.col("kept.key"))
     pair = (F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))

@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from sievework.llm import simhash
 from sievework.llm.pigeonhole import divide
@@ -164,8 +166,10 @@ def test_dense_buckets_keep_groups_together(spark):
     base = rng.getrandbits(64)
     words = sorted({base} | {base ^ sum(1 << x for x in rng.sample(range(64), 2)) for _ in range(1500)})
     fps = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in words], "fp long")
+    own = fps.withColumn("sketch", F.lit(b""))
     for every in (False, True):
-        found = simhash.links(fps, 4, 500, every).collect()
+        found = simhash.links(fps, 4, 500, every)
+        found = (simhash._similar(found, own, 4, 0.8) if every else found).collect()
         top = {}
 
         def root(x):
@@ -176,3 +180,41 @@ def test_dense_buckets_keep_groups_together(spark):
         for r in found:
             top[root(r.a)] = root(r.b)
         assert len({root(r.fp) for r in fps.collect()}) == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dense_buckets_lose_no_near_copy(spark, seed):
+    """Edits of one text, all in a few bits of each other, not all of them similar: what stays is what all pairs say, at any size of blocks."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.choice([2, 5, 8, 12])):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(50)}"
+        rows.append((i, " ".join(words)))
+    expected = sorted(min(d for d, _ in g) for g in kept_by_brute_force(rows).values())
+    assert 1 < len(expected) < 390
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for bucket in (4_096, 100):
+        assert sorted(r.doc_id for r in simhash.keep_one(df, bucket=bucket).collect()) == expected
+
+
+def test_verified_forests_join_what_all_links_join():
+    rng = random.Random(6)
+    for full in (False, True):
+        base = [rng.getrandbits(64) for _ in range(400 if full else 120)]
+        own = [np.array(sorted(set(rng.sample(base, int(len(base) * rng.uniform(0.8, 1))))), np.uint64) for _ in range(60)] + [np.zeros(0, np.uint64)] * 2
+        words = np.array([rng.getrandbits(12) for _ in own], np.uint64)
+        sketches = [simhash.sketch(x) for x in own]
+
+        def parts(pairs):
+            top = list(range(len(own)))
+            for a, b in pairs:
+                old, new = top[a], top[b]
+                top = [new if t == old else t for t in top]
+            return {frozenset(i for i, t in enumerate(top) if t == x) for x in top}
+
+        every = [(a, b) for a in range(len(own)) for b in range(a) if bin(int(words[a]) ^ int(words[b])).count("1") <= 6 and simhash.resemblance(sketches[a], sketches[b]) >= 0.8]
+        tree = simhash.verified_forest(words, sketches, 6, 0.8)
+        assert set(tree) <= set(every) | {(b, a) for a, b in every} and parts(tree) == parts(every)

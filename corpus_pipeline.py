@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm import bpe, decontamination, secrets, simhash
 from sievework.llm import toxicity as toxic
-from sievework.session import ensure_checkpoint_dir, ship_package, table
+from sievework.session import ship_package, stash, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -61,11 +61,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each keeps is written to the shared checkpoint folder before the next one reads it."""
-    ensure_checkpoint_dir(spark)
+    """All stages over documents; what each keeps is written as Parquet beside the checkpoints before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
     for at, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
-            docs = docs.checkpoint()
+            docs = stash(docs)
     return docs

@@ -28,4 +28,4 @@ def running(rows: DataFrame, group: list[str], order: list[Column], sums: dict[s
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
     placed = held.withColumns({"_n": F.row_number().over(own), **{f"_t_{k}": F.sum(f"_of_{k}").over(upto) for k in sums}}).join(before, on)
-    return placed.select(*rows.columns, (F.col("_n") + F.col("_ahead_n")).cast("int").alias("place"), *((F.col(f"_t_{k}") + F.col(f"_ahead_t_{k}")).alias(k) for k in sums))
+    return placed.select(*rows.columns, (F.col("_n") + F.col("_ahead_n")).cast("long").alias("place"), *((F.col(f"_t_{k}") + F.col(f"_ahead_t_{k}")).alias(k) for k in sums))

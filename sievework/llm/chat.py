@@ -97,5 +97,10 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, loss_spans: Column) -> Column:
-    """The text under the loss mask: what stands in the output from each span's start to its stop, unescaped."""
-    return let(formatted, lambda f: F.array_join(F.transform(loss_spans, lambda s: unescape(F.replace(F.substring(f, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")), F.lit(PART), F.lit("")))), ""))
+    """The text under the loss mask: what stands in the output from each span's start to its stop, each part of it unescaped."""
+
+    def read(f: Column, s: Column) -> Column:
+        body = F.substring(f, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int"))
+        return F.array_join(F.transform(F.split(body, PART.replace("|", r"\|")), unescape), "")
+
+    return let(formatted, lambda f: F.array_join(F.transform(loss_spans, lambda s: read(f, s)), ""))

@@ -1,15 +1,17 @@
 """Toxicity scores by a counterfactually regularised linear classifier.
 
 Features are the presence of words and of word beginnings, chosen by how strongly they go with the label among the
-training rows. Besides the usual logistic loss, training swaps identity terms of a text for others of their group and
-penalises the square of the change in score, so that naming a group doesn't count as toxic by itself.
+training rows. Besides the usual logistic loss, training swaps identity terms for others of their group, those that a
+text has and those of mentions put into one of its sentences, and penalises the square of the change in score (before it
+is squeezed to 0 to 1), so that naming a group doesn't count as toxic by itself.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import Any
 
@@ -22,6 +24,7 @@ from .labelled import held_out, training_rows
 from .linear import minimise, sigmoid
 
 WORD = re.compile(r"[^\W\d_]+")
+SENTENCE_END = re.compile(r"[.!?\n]+")
 #: Lengths of the word beginnings that are features beside whole words.
 STEMS = (4, 5, 6)
 #: Bound of the training sample, and of the features kept.
@@ -45,7 +48,29 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "natives", "foreigners"),
     ("disabled", "deaf", "blind", "autistic"),
     ("young", "old", "elderly"),
+    ("musulmane", "chrétienne", "juive", "hindoue", "bouddhiste", "athée"),
+    ("noire", "blanche", "asiatique", "arabe", "africaine", "européenne"),
+    ("handicapée", "sourde", "aveugle", "autiste"),
+    ("homosexuelle", "lesbienne", "bisexuelle", "hétérosexuelle"),
+    ("immigrée", "réfugiée", "étrangère"),
+    ("muslimische", "christliche", "jüdische", "hinduistische", "buddhistische", "atheistische"),
+    ("schwarze", "weiße", "asiatische", "arabische", "afrikanische", "europäische"),
+    ("behinderte", "gehörlose", "blinde", "autistische"),
+    ("schwule", "lesbische", "bisexuelle", "heterosexuelle"),
+    ("eingewanderte", "geflüchtete", "ausländische"),
+    ("musulmana", "cristiana", "judía", "hindú", "budista", "atea"),
+    ("negra", "blanca", "asiática", "árabe", "africana", "europea"),
+    ("discapacitada", "sorda", "ciega", "autista"),
+    ("homosexual", "lesbiana", "bisexual", "heterosexual"),
+    ("inmigrante", "refugiada", "extranjera"),
 )
+# Neutral mentions, and a term of each group that they take.
+CARRIERS = {
+    "said by a {} person": ("muslim", "gay", "black", "disabled", "young"),
+    "dit par une personne {}": ("musulmane", "noire", "handicapée", "homosexuelle", "immigrée"),
+    "gesagt von einer {} Person": ("muslimische", "schwarze", "behinderte", "schwule", "eingewanderte"),
+    "dicho por una persona {}": ("musulmana", "negra", "discapacitada", "homosexual", "inmigrante"),
+}
 _GROUP = {t: g for g in IDENTITY_TERMS for t in g}
 
 
@@ -62,6 +87,24 @@ def swapped(words: set[str]) -> set[str]:
     return {g[(g.index(w) + 1) % len(g)] if (g := _GROUP.get(w)) else w for w in words}
 
 
+def mentions(text: str) -> list[tuple[set[str], set[str]]]:
+    """One sentence of the text, drawn by its hash, with a neutral mention of a group in each language: its words with one term and with another of its group.
+
+    Texts name groups too seldom to learn from, or never; so the mention is put in, and the swap is made there.
+    """
+    draw = zlib.crc32(text.encode())
+    own = [w for s in SENTENCE_END.split(text) if (w := words_of(s))]
+    sentence = own[draw % len(own)] if own else set()
+    out = []
+    for at, (carrier, heads) in enumerate(CARRIERS.items()):
+        draw = zlib.crc32(b"%d %d" % (draw, at))
+        group = _GROUP[heads[draw % len(heads)]]
+        first = draw // 8 % len(group)
+        second = (first + 1 + draw // 64 % (len(group) - 1)) % len(group)
+        out.append((sentence | words_of(carrier.format(group[first])), sentence | words_of(carrier.format(group[second]))))
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, float]
@@ -103,11 +146,14 @@ class _Rows:
         return np.bincount(self.column, of_rows[self.row], self.width)
 
 
-def fit_rows(rows: list[tuple[list[int], list[int], int]], names: list[str], counterfactual: float = COUNTERFACTUAL) -> Model:
-    """rows: features present, features present after the swap, label."""
+def fit_rows(rows: list[tuple[list[int], list[int], int]], names: list[str], counterfactual: float = COUNTERFACTUAL, pairs: Iterable[tuple[list[int], list[int]]] = ()) -> Model:
+    """rows: features present, features present after the swap, label; pairs: features of a mention and of its swap."""
     n, size = len(rows), len(names)
     x = _Rows([[*r[0], size] for r in rows], size + 1)
-    swaps = [(a, b) for a, b, _ in rows if a != b]
+    swaps = [(sorted(set(a) - set(b)), sorted(set(b) - set(a))) for a, b in [*((r[0], r[1]) for r in rows), *pairs]]
+    swaps = [s for s in swaps if s[0] or s[1]]
+    # each different swap weighs alike, however seldom it is drawn
+    strength = 2 * counterfactual * len({(*min(s), -1, *max(s)) for s in swaps}) / max(len(swaps), 1)
     here, there = _Rows([a for a, _ in swaps], size + 1), _Rows([b for _, b in swaps], size + 1)
     y = np.array([r[2] for r in rows], float)
     weight = np.full(n, 1 / max(n, 1))
@@ -119,18 +165,13 @@ def fit_rows(rows: list[tuple[list[int], list[int], int]], names: list[str], cou
         return here.sums(moved) - there.sums(moved)
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        out = x.sums((sigmoid(x.dot(w)) - y) * weight) + ridge * w
-        return out + 2 * counterfactual / len(swaps) * changes(w) if swaps else out
-
-    def norm(square: Callable[[np.ndarray], np.ndarray]) -> float:
-        v = np.random.default_rng(1).normal(size=size + 1)  # swaps cancel on even vectors
-        for _ in range(60):
-            v = square(v)
-            v /= np.linalg.norm(v) or 1
-        return float(np.linalg.norm(square(v)))
-
-    smooth = 1.1 * (0.25 * norm(lambda v: x.sums(x.dot(v) * weight)) + (2 * counterfactual / len(swaps) * norm(changes) if swaps else 0)) + RIDGE
-    w = minimise(gradient, size + 1, smooth)
+        return x.sums((sigmoid(x.dot(w)) - y) * weight) + ridge * w + strength * changes(w)
+
+    # a diagonal above the curvature gives every weight a step of its own
+    one = np.ones(size + 1)
+    of_swaps = here.dot(one) + there.dot(one)
+    scale = 1 / np.sqrt(0.25 * x.sums(x.dot(one) * weight) + strength * (here.sums(of_swaps) + there.sums(of_swaps)) + ridge)
+    w = scale * minimise(lambda u: scale * gradient(scale * u), size + 1, 1.0)
     return Model({f: float(v) for f, v in zip(names, w[:size], strict=True) if v}, float(w[size]))
 
 
@@ -158,9 +199,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", counterfactual
         pooled = (F.col("a") + F.col("b") + 1) / (n + 2)
         z = F.abs(with_label - without) / F.sqrt(pooled * (1 - pooled) * (1 / max(p, 1) + 1 / max(n - p, 1)))
         counts = found.select(F.explode("f").alias("f"), "y").groupBy("f").agg(F.sum("y").cast("long").alias("a"), F.sum(1 - F.col("y")).cast("long").alias("b")).where(F.col("a") + F.col("b") >= LEAST_ROWS)
-        terms = sorted(_GROUP)
+        terms = sorted({f for t in _GROUP for f in features_of(t)})
         names = [r["f"] for r in counts.where(z >= LEAST_Z).orderBy(z.desc(), "f").limit(FEATURES).collect()]
-        names = sorted({*names, *(r["f"] for r in counts.where(F.col("f").isin(terms)).collect())})
+        names = sorted({*names, *terms})
         number = {f: i for i, f in enumerate(names)}
 
         def present() -> Any:
@@ -169,13 +210,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", counterfactual
 
             def work(texts: list[str], ys: list[int]) -> list[list]:
                 every = [words_of(t) for t in texts]
-                return [[of(w) for w in every], [of(swapped(w)) for w in every], ys]
+                swaps = [[(set(of(a)), set(of(b))) for a, b in mentions(t)] for t in texts]
+                only = lambda k: [[sorted(p[k] - p[1 - k]) for p in own] for own in swaps]
+                return [[of(w) for w in every], [of(swapped(w)) for w in every], ys, only(0), only(1)]
 
             return work
 
-        got = map_blocks(rows, present, "a array<int>, b array<int>, y int", 0).collect()
+        got = map_blocks(rows, present, "a array<int>, b array<int>, y int, c array<array<int>>, d array<array<int>>", 0).collect()
         # Rows come in any order; sums shall not depend on it.
-        return fit_rows(sorted((r["a"], r["b"], r["y"]) for r in got), names, counterfactual)
+        pairs = sorted(p for r in got for p in zip(r["c"], r["d"], strict=True))
+        return fit_rows(sorted((r["a"], r["b"], r["y"]) for r in got), names, counterfactual, pairs)
     finally:
         rows.unpersist()
 

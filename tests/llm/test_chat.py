@@ -54,3 +54,13 @@ def test_a_very_long_conversation(spark):
     rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} <|end|> " * 40) for i in range(3000)]
     row = formatted(spark, rows).first()
     assert [t["text"] for t in row["read"]] == [r[3] for r in rows] and row["loss"] == "".join(r[3] for r in rows if r[1] % 2)
+
+
+def test_parts_that_make_a_control_string_together(spark):
+    """Each part is read back by itself, in turns and under the loss mask alike."""
+    texts = ["a <\\", "/s> b", "<", "|im_end|>", "[", "INST]", "\\"]
+    rows = [(1, 0, "user", [("text", t, None, None) for t in texts]), (1, 1, "assistant", [("text", t, None, None) for t in reversed(texts)] + [("image", None, "x.png", 3)])]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    out = chat.format_turns(turns).select(chat.read_turns(F.col("formatted")).alias("t"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert [p.text for p in out.t[0].parts] == texts and [p.text for p in out.t[1].parts] == [*reversed(texts), None]
+    assert "".join(texts[::-1]) in out.loss and out.t[0].text == "".join(texts)

@@ -145,3 +145,36 @@ def test_a_column_named_like_the_score(spark):
     labels = docs.selectExpr("doc_id", "doc_id % 2 AS toxic")
     out = toxicity.reject(docs, labels)
     assert out.columns == docs.columns and 0 < out.count() < 60
+
+
+def test_mentions_are_made_of_labelled_sentences_and_bind(spark):
+    """Counterfactual pairs exist where no text names a group, and naming one or another moves no score of the given data."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = docs.join(labels.where("toxic is not null"), "doc_id").limit(200).collect()
+    assert all(len(toxicity.mentions(r.text)) == len(toxicity.CARRIERS) and all(a != b for a, b in toxicity.mentions(r.text)) for r in rows)
+    score = toxicity.fit(docs, labels).scorer()
+    for r in rows[:60]:
+        for carrier, heads in toxicity.CARRIERS.items():
+            for head in heads:
+                said = [score(f"{r.text} {carrier.format(t)}") for t in toxicity._GROUP[head]]
+                assert max(said) - min(said) < 0.05
+
+
+def test_mentions_unlearn_a_slur_by_association(spark):
+    """One term of a group stands in toxic texts only: with the regulariser its swap moves neutral sentences far less."""
+    rows = []
+    for i in range(400):
+        toxic = i % 2
+        rows.append((i, f"text {i % 7} was said by a {'muslim' if toxic and i % 4 == 1 else 'christian'} person {'awful' if toxic and i % 3 else 'fine'}", toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = df.select("doc_id", "text"), df.select("doc_id", "toxic")
+    gap = {}
+    for strength in (0.0, toxicity.COUNTERFACTUAL):
+        score = toxicity.fit(docs, labels, counterfactual=strength).scorer()
+        gap[strength] = abs(score("it was said by a muslim person") - score("it was said by a christian person"))
+    assert gap[0.0] > 0.2 and gap[toxicity.COUNTERFACTUAL] < 0.1 * gap[0.0]
+
+
+def test_mentions_of_texts_without_words():
+    assert all(a and b for a, b in toxicity.mentions("")) and toxicity.mentions("... 12") == toxicity.mentions("... 12")

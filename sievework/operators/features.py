@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import norm2
+from ..session import small_side, stash
 
 #: Points that one map holds; the method compares all with all, so more are refused rather than sampled.
 MOST_POINTS = 5_000
+#: Parts that a range is cut into when values are looked for by counting, and rounds after which that fails. Numbers of one
+#: size take three or four rounds; every round leaves at most a thousandth of the range.
+PARTS, MOST_ROUNDS = 1_024, 250
+#: Places that are broadcast to the rows; more are joined as Spark plans it.
+BROADCAST_RANKS = 1_000_000
 
 
 def unit(v: Column | str) -> Column:
@@ -19,12 +25,53 @@ def unit(v: Column | str) -> Column:
     return F.transform(v, lambda x: F.try_divide(x.cast("double"), length))
 
 
+def ranked_values(rows: DataFrame, group: str, x: str, ranks: Column) -> DataFrame:
+    """_g, rank, v: the values that stand at given places (from 0) of each group, found by counting, without sorting a group.
+
+    ranks: an array over the number of the group's values, n. Each round cuts the range that holds a place into PARTS,
+    counts what lies in each, and keeps the part where the place is; it ends when every range holds a single value. What
+    is grouped in a round is PARTS counts for each place, however large the group. Null groups are one group; null and
+    not-a-number values take no part.
+    """
+    own = rows.select(F.col(group).alias("_g"), F.col(x).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    start = own.groupBy("_g").agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    now = stash(start.select("_g", F.explode(F.array_distinct(ranks)).alias("rank"), F.lit(0).cast("long").alias("before"), "lo", "hi"))
+    for _ in range(MOST_ROUNDS):
+        open_ = now.where("lo < hi")
+        if not open_.limit(1).count():
+            return now.select("_g", "rank", F.col("lo").alias("v"))
+        side = small_side(open_.withColumnRenamed("_g", "_h"), BROADCAST_RANKS)
+        met = own.join(side, F.col("_g").eqNullSafe(F.col("_h")) & F.col("_v").between(F.col("lo"), F.col("hi")))
+        share = (F.col("_v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)  # halved, so that no difference overflows
+        part = F.least(F.floor(F.greatest(share, F.lit(0.0)) * PARTS), F.lit(PARTS - 1))
+        counts = met.groupBy("_g", "rank", "before", part.alias("part")).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        upto = F.col("before") + F.sum("n").over(Window.partitionBy("_g", "rank").orderBy("part"))  # PARTS rows at most
+        held = counts.withColumn("_upto", upto).where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("n")))
+        now = stash(now.where("lo = hi").unionByName(held.select("_g", "rank", (F.col("_upto") - F.col("n")).alias("before"), "lo", "hi")))
+    raise RuntimeError(f"places weren't found in {MOST_ROUNDS} rounds")
+
+
+def exact_quantiles(rows: DataFrame, group: str, x: str, shares: list[float]) -> DataFrame:
+    """_g, q: for each group its quantiles at the shares, between neighbours in proportion, for groups of any size."""
+    at = [(F.col("n") - 1) * F.lit(s) for s in shares]
+    places = stash(ranked_values(rows, group, x, F.array(*(f(p).cast("long") for p in at for f in (F.floor, F.ceil)))))
+    n = rows.where(F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double"))).groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("n"))
+    found = places.groupBy("_g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("_m"))  # two places for each share
+
+    def value(p: Column) -> Column:
+        low, high = (F.try_element_at("_m", f(p).cast("long")) for f in (F.floor, F.ceil))
+        return low + (high - low) * (p - F.floor(p))
+
+    met = n.withColumnRenamed("_g", "_h").join(found, F.col("_h").eqNullSafe(F.col("_g")))
+    return met.select("_g", F.array(*map(value, at)).alias("q"))
+
+
 def clip_rescale(rows: DataFrame, group: str, x: str, low: float = 0.03, high: float = 0.97) -> DataFrame:
-    """x on 0 to 1 between two percentiles of its group, clipped beyond."""
-    bounds = rows.groupBy(group).agg(F.percentile(x, F.array(F.lit(low), F.lit(high))).alias("_b"))
+    """x on 0 to 1 between two percentiles of its group, clipped beyond; exact, with no task that holds a group."""
+    bounds = small_side(exact_quantiles(rows, group, x, [low, high]).select(F.col("_g"), F.col("q").alias("_b")), BROADCAST_RANKS)
     low_x, high_x = F.get("_b", F.lit(0)), F.get("_b", F.lit(1))
     scaled = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(F.col(x) - low_x, high_x - low_x)))
-    return rows.join(bounds, group).withColumn("scaled", scaled).drop("_b")
+    return rows.join(bounds, F.col(group).eqNullSafe(F.col("_g"))).withColumn("scaled", scaled).drop("_b", "_g")
 
 
 def profiles(rows: DataFrame, entity: str, kind: str, kinds: list[str]) -> DataFrame:

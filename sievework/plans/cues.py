@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import predicates as P
-from ..operators.rules import AFTER, BEFORE, SMELL_RULES, first_reason
+from ..operators.rules import AFTER, BEFORE
 from ..session import table
 from ..sources.sinks import edited_lines
-from .base import SENTENCES_SQL, VOCABULARY, VOCABULARY_SQL, Plans, sentences, sql_reason, vocabulary
+from .base import SENTENCES_SQL, VOCABULARY, VOCABULARY_SQL, Plans, sentences, vocabulary
 
 #: One sentence or more for every rule of the cascade, and some that are kept.
 SMELLS = (
@@ -45,51 +44,10 @@ SMELLS = (
     "Olfactive description of citronellal: green, fresh, lemon",
     "Rosalva Plus\u2122 has a waxy and rosy odor of great charm",
 )
-#: sentence, names, descriptors, names of others, and the checks that apply.
-ATTRIBUTIONS = (
-    ("Ambrol has body and strength. Citral gives a minty freshness.", ["Ambrol"], ["minty", "body"], ["Citral"], ["GLUED:minty", "NEARER:minty"]),
-    ("Ambrol of Pat. No. 3 and by approx. 0.5. 6 parts is minty", ["Ambrol"], ["minty"], [], []),
-    ("Ambrol is devoid of any minty note and is not, however, green", ["Ambrol"], ["minty", "green"], [], ["NEGATED:minty"]),
-    ("If ambrol instead of citral is taken the blend is fresh", ["ambrol"], ["fresh"], ["citral"], ["COUNTERFACT", "NEARER:fresh"]),
-    ("Had ambrol been used it would have a woody note", ["ambrol"], ["woody"], [], ["COUNTERFACT"]),
-    ("Ambrol lifts this floral essential oil composition", ["Ambrol"], ["floral"], [], ["COMPOSITION:floral"]),
-    ("Ambrol is an oily liquid, a green liquid and a waxy solid", ["Ambrol"], ["oily", "green", "waxy"], [], ["PHYSICAL:oily", "PHYSICAL:waxy"]),
-    ("Ambrol is like aromatic hydrocarbons and has aromatic charm", ["Ambrol"], ["aromatic"], [], ["CLASS:aromatic"]),
-    ("Ambrol shows freshness and mintier notes", ["Ambrol"], ["fresh", "minty"], [], []),
-    ("Ambrol is floral whereas citral is fresh", ["Ambrol"], ["floral", "fresh"], ["citral"], ["NEARER:fresh"]),
-    ("Nothing is said here", [], ["green"], [], []),
-)
-#: sentence, names, whether a decision on them is taken back.
-REVERSALS = (
-    ("It causes the tobacco to have a sweet note", ["ambrol"], True),
-    ("It lends body to the soup and more", [], True),
-    ("7 and 8-acetyl ambrol are both woody", ["ambrol"], True),
-    ("The ketone is woody", ["Z-methyl ambrol"], True),
-    ("The ketone is woody", ["ambrol", "4-alkyl ambrol"], True),
-    ("The ketone is woody", ["EZ-methyl ambrol", "alkylated ambrol"], False),
-    ("The soupy note is woody", ["ambrol"], False),
-)
-
-
 def _rows(spark: SparkSession, fields: str, rows: tuple) -> DataFrame:
     return spark.createDataFrame([(n, *(x if isinstance(x, tuple) else (x,))) for n, x in enumerate(rows)], f"id int, {fields}")
 
 
-def smell_rule_reasons(spark: SparkSession, d: str) -> DataFrame:
-    """What the whole cascade says of each sentence."""
-    return _rows(spark, "s string", SMELLS).select("id", first_reason("s", SMELL_RULES).alias("reason"))
-
-
-def attribution(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, "s string, names array<string>, words array<string>, others array<string>, expected array<string>", ATTRIBUTIONS)
-    others = F.flatten(F.transform("others", lambda n: T.spans_of(n, "s")))
-    return rows.select("id", F.array_join(P.attribution_checks("s", "names", "words", others), " ").alias("checks"))
-
-
-def reversals(spark: SparkSession, d: str) -> DataFrame:
-    return _rows(spark, "s string, names array<string>, expected boolean", REVERSALS).select("id", P.taken_back("s", "names").alias("taken_back"))
-
-
 def cue_flags(spark: SparkSession, d: str) -> DataFrame:
     """Sentences of the documents and those above that deny, or that no row can come of."""
     own = _rows(spark, "s string", SMELLS).select(F.lit("own").alias("lang"), "s")
@@ -148,14 +106,6 @@ _TERMS_SQL = f"{_PASSAGES_SQL}, t AS (SELECT s, docs, form FROM p, {VOCABULARY_S
 # Borders of words count accents here, which SQL must be told.
 _NEGATED, _DEAD = P.NEGATION.replace(r"\b(", f"{BEFORE}(").replace(r")\b", f"){AFTER}"), P.DEAD
 PLANS: Plans = {
-    "smell_rule_reasons": (smell_rule_reasons, f"SELECT id::INTEGER AS id, {sql_reason('s', SMELL_RULES)} AS reason FROM {_SMELLS_SQL}"),
-    "attribution_checks": (attribution, f"SELECT id::INTEGER AS id, checks FROM {_sql_values([(n, ' '.join(x[4])) for n, x in enumerate(ATTRIBUTIONS)])} v(id, checks)"),
-    "decision_reversals": (
-        reversals,
-        "SELECT id::INTEGER AS id, (regexp_matches(s, '(?i)the tobacco to have|enhances the natural tobacco|to the soup\\b|to the strawberry aroma') OR regexp_matches(s, '(?i)\\b7 and 8-\\w+') "
-        "OR regexp_matches(names, '(?i)(^|[^A-Za-z])[ZS]-(methyl|hydroxy|butyl|sec)|\\bIO-\\b|\\[2\\.2\\.21|0ct-|cyclohexanI|\\balkyl\\b|\\balkoxy\\b')) AS taken_back "
-        f"FROM {_sql_values([(n, x[0], chr(10).join(x[1])) for n, x in enumerate(REVERSALS)])} v(id, s, names)",
-    ),
     "cue_flags": (cue_flags, f"WITH {SENTENCES_SQL}, e AS (SELECT lang, s FROM s UNION ALL SELECT 'own', s FROM {_SMELLS_SQL}) SELECT lang, count(*) FILTER (regexp_matches(s, '{_NEGATED}')) AS negated, count(*) FILTER (regexp_matches(s, '{_DEAD}')) AS dead FROM e GROUP BY lang"),
     "save_guard": (guarded, "WITH r AS (SELECT doc_id, text, string_split(text, ' ') AS w, quality = 1 AS kept FROM documents JOIN labels USING (doc_id)) SELECT doc_id, (CASE WHEN kept THEN 2 ELSE 0 END)::INTEGER AS spans, coalesce(NOT kept, true) OR coalesce(contains(text, w[1]) AND contains(text, CASE WHEN doc_id % 3 = 0 THEN 'zzyx' ELSE w[-1] END), false) AS saved FROM r"),
     "passage_terms": (passage_terms, f"WITH {_TERMS_SQL} SELECT md5(s) AS digest, docs, count(*)::INTEGER AS n_terms, string_agg(form, ',' ORDER BY form) AS terms FROM t GROUP BY s, docs"),

@@ -17,41 +17,6 @@ from ..sources import readers, sinks
 from .base import SENTENCES_SQL, TOKENS_SQL, VOCABULARY, VOCABULARY_SQL, Plans, sentences, sql_has, tokens, vocabulary
 from .fields import _folder
 
-#: A misread name, its repair, and the rules that changed it.
-REPAIRS = (
-    ("rnethyl l-methyl", "methyl 1-methyl", "L1,R1"),
-    ("2a hexan", "2a-hexan", "W2"),
-    ("2 - methyl hexan", "2-methyl hexan", "W1"),
-    ("[l] bicyc1o", "[1] bicyclo", "L1,L4"),
-    ("l-carvone", "l-carvone", ""),
-    ("2–3′-diol", "2-3'-diol", "U1"),
-    ("(lh)-inden", "(1H)-inden", "H1"),
-    ("4l-ol", "41-ol", "L3"),
-    ("ionone", "ionone", ""),
-)
-#: A name with a ring, and the same with digits between the brackets.
-RINGS = (("bicyclo[2.2.l]heptan", "bicyclo[2.2.1]heptan"), ("spiro[4.S]decan", "spiro[4.S]decan"), ("spiro (4.I)decan", "spiro (4.1)decan"), ("[l] ionone", "[l] ionone"), ("bicyclo[l.l.l]x", "bicyclo[l.l.l]x"), ("cyclo[1O.2]x", "cyclo[10.2]x"))
-#: A span, its sentence, what becomes of the span, and how.
-SPANS = (
-    ("rose oxide", "the rose oxide is sweet", "rose oxide", "unchanged"),
-    ("Example 3: rose oxide", "the rose oxide is sweet", "rose oxide", "label"),
-    ("(rose", "the (rose) oxide", "(rose)", "bracket restored"),
-    ("3-(rose oxide", "a 3-(rose oxide] b", None, "unbalanced"),
-    ("rose oxide)", "the rose oxide) is sweet", "rose oxide", "orphan trimmed"),
-    ("iris", "the rose oxide is sweet", None, "not verbatim"),
-)
-#: A captured name, and what is kept of it.
-CLEANED = (("Example 3: rose oxide (ROX)", "rose oxide"), ("rose oxide, i.e. a pyran", "rose oxide"), ("compound of formula (IV)", None), ("3-hexenol (Z)", "3-hexenol (Z)"), ("hexenol (E,Z) x", "hexenol (E,Z) x"), ("plain", "plain"))
-#: Two strings, and twice the characters of matching blocks over all characters.
-ALIKE = (("abcd", "bcde", 0.75), ("rose", "rose", 1.0), ("rose", "lily", 0.0), ("hedione", "hedion", 12 / 13), ("ab", "", 0.0))
-#: A sentence, a name, and whether all its mentions stand behind a comparison.
-COMPARED = (
-    ("It has a note reminiscent of rose.", "rose", True),
-    ("Rose is stronger than rose.", "rose", False),
-    ("It is stronger than musk; a rose is near.", "rose", False),
-    ("It was used in place of Rose oil.", "rose", True),
-    ("Nothing here", "rose", False),
-)
 _MOLECULES = (
     ("CCO", 3, 2, 1, 0, 0, 0, 1, 1, 0, 20, 1.0),
     ("c1ccccc1", 6, 6, 0, 0, 0, 0, 0, 0, 1, 30, 0.0),
@@ -75,33 +40,6 @@ def _values(rows: tuple, names: str) -> str:
     return "(VALUES " + ", ".join(f"({n}, {', '.join(map(plain, r))})" for n, r in enumerate(rows)) + f") v(id, {names})"
 
 
-def repaired_names(spark: SparkSession, d: str) -> DataFrame:
-    """Names after all repairs, with the rules that changed them."""
-    name, rules = T.repaired("x", [r for r, *_ in T.REPAIRS])
-    return _cases(spark, "x string, y string, r string", REPAIRS).select("id", name.alias("name"), F.array_join(rules, ",").alias("rules"))
-
-
-def ring_names(spark: SparkSession, d: str) -> DataFrame:
-    return _cases(spark, "x string, y string", RINGS).select("id", T.ring_brackets("x").alias("name"))
-
-
-def repaired_spans(spark: SparkSession, d: str) -> DataFrame:
-    rows = _cases(spark, "span string, s string, y string, h string", SPANS)
-    return rows.select("id", T.repaired_span("span", "s").alias("r")).select("id", "r.span", "r.how")
-
-
-def cleaned_names(spark: SparkSession, d: str) -> DataFrame:
-    return _cases(spark, "x string, y string", CLEANED).select("id", T.clean_name("x").alias("name"))
-
-
-def similar_names(spark: SparkSession, d: str) -> DataFrame:
-    return _cases(spark, "a string, b string, y double", ALIKE).select("id", F.round(T.similarity("a", "b"), 6).alias("ratio"))
-
-
-def compared_names(spark: SparkSession, d: str) -> DataFrame:
-    return _cases(spark, "s string, name string, y boolean", COMPARED).select("id", P.only_compared("s", "name").alias("compared"))
-
-
 def molecule_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Descriptors of the molecules of parts that need no cheminformatics library."""
     ship_package(spark)
@@ -299,12 +237,6 @@ _NUMBER = "(p_partkey % 90 + 10)::VARCHAR || '-' || lpad((p_partkey % 50)::VARCH
 _CITES = r"list_filter(regexp_extract_all(c, '\(([^()]*\b(?:19|20)\d\d)\)', 1), lambda x: NOT regexp_matches(x, '\b(USCG|NTP|EPA|NIOSH|OSHA|NOAA|DOT|CDC|NLM|HSDB)\b'))"
 _FORMS = ", ".join(f"'{f}'" for f in VOCABULARY)
 PLANS: Plans = {
-    "repaired_names": (repaired_names, f"SELECT id, y AS name, r AS rules FROM {_values(REPAIRS, 'x, y, r')}"),
-    "ring_names": (ring_names, f"SELECT id, y AS name FROM {_values(RINGS, 'x, y')}"),
-    "repaired_spans": (repaired_spans, f"SELECT id, y AS span, h AS how FROM {_values(SPANS, 'x, s, y, h')}"),
-    "cleaned_names": (cleaned_names, f"SELECT id, y AS name FROM {_values(CLEANED, 'x, y')}"),
-    "similar_names": (similar_names, f"SELECT id, round(y::DOUBLE, 6) AS ratio FROM {_values(ALIKE, 'a, b, y')}"),
-    "compared_names": (compared_names, f"SELECT id, y AS compared FROM {_values(COMPARED, 's, name, y')}"),
     "molecule_numbers": (molecule_numbers, f"SELECT smiles, count(*) AS n, {', '.join(f'any_value({x})::BIGINT AS {x}' for x in N.DESCRIPTORS)}, any_value(fraction_csp3)::DOUBLE AS fraction_csp3 FROM part JOIN {_values(_MOLECULES, ', '.join(('smiles', *N.DESCRIPTORS, 'fraction_csp3')))} ON id = p_partkey % {len(_MOLECULES)} GROUP BY smiles"),
     "sentence_around": (
         sentence_around,

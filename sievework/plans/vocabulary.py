@@ -76,17 +76,23 @@ def two_threshold_admission(spark: SparkSession, d: str) -> DataFrame:
     return out.where((F.col("docs") >= 20) & (F.col("attestations") >= 30)).select("w", "docs", "attestations")
 
 
+def forms_of_parts(spark: SparkSession, d: str) -> DataFrame:
+    """A vocabulary as merged from many hands: form (a part's name and brand, as some write it), tag (its kind), layer (its size)."""
+    form = F.concat_ws(" ", "p_name", "p_brand")
+    return table(spark, d, "part").select(F.when(F.col("p_partkey") % 2 == 0, F.upper(form)).otherwise(form).alias("form"), F.col("p_type").alias("tag"), F.col("p_size").alias("layer"))
+
+
 def vocab_conflicts(spark: SparkSession, d: str) -> DataFrame:
     """Forms that a merged vocabulary maps to more than one tag; a loader must fail on them."""
-    more = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(a).alias("form"), F.lit(b).alias("tag")) for a, b in (("the", "link"), ("von", "relation"), ("neu", "article"))))).alias("r")).select("r.*")
-    return vocabulary(spark).unionByName(more).groupBy(F.lower("form").alias("form")).agg(F.countDistinct("tag").alias("tags"), F.array_join(F.array_sort(F.collect_set("tag")), ";").alias("which")).where(F.col("tags") > 1)
+    return forms_of_parts(spark, d).groupBy(F.lower("form").alias("form")).agg(F.countDistinct("tag").alias("tags"), F.array_join(F.array_sort(F.collect_set("tag")), ";").alias("which")).where(F.col("tags") > 1)
 
 
 def overlay_classes(spark: SparkSession, d: str) -> DataFrame:
-    """Later layers win, and forms in use are of class D whatever the layers say."""
-    layer = lambda rows, p: spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(a).alias("form"), F.lit(b).alias("class")) for a, b in rows))).alias("r")).select("r.*", F.lit(p).alias("priority"))
-    layers = layer((("the", "T"), ("tion", "H"), ("new", "M")), 1).unionByName(layer((("tion", "X"), ("new", "T")), 2)).unionByName(vocabulary(spark).select("form", F.lit("D").alias("class"), F.lit(9).alias("priority")))
-    return layers.groupBy("form").agg(F.max_by("class", "priority").alias("class"))
+    """Later layers win (of one layer the greatest class), and forms in use, those of parts sold at the greatest discount, are of class D whatever the layers say."""
+    own = forms_of_parts(spark, d).select(F.lower("form").alias("form"), F.col("tag").alias("class"), "layer")
+    sold = table(spark, d, "lineitem").where(F.col("l_discount") >= 0.1).select(F.col("l_partkey").alias("p_partkey")).distinct()
+    used = table(spark, d, "part").join(sold, "p_partkey").select(F.lower(F.concat_ws(" ", "p_name", "p_brand")).alias("form"), F.lit("D").alias("class"), F.lit(1 << 30).alias("layer"))
+    return own.unionByName(used).groupBy("form").agg(F.max(F.struct("layer", "class")).alias("m")).select("form", F.col("m.class").alias("class"))
 
 
 def unmapped_terms(spark: SparkSession, d: str) -> DataFrame:
@@ -137,8 +143,8 @@ PLANS: Plans = {
     "boilerplate_ratio": (boilerplate_ratio, "WITH t AS (SELECT unnest(['token', 'license', 'copyright', 'zzyx']) AS w), c AS (SELECT doc_id, string_split_regex(lower(text), 'token|license|copyright') AS p, regexp_extract_all(lower(text), 'token|license|copyright') AS h FROM documents), f AS (SELECT doc_id, unnest(h) AS w, unnest(list_transform(range(1, len(h) + 1), lambda i: right(p[i], 30) || h[i] || left(p[i + 1], 30))) AS context FROM c), p AS (SELECT w, context, count(DISTINCT doc_id) AS n FROM f GROUP BY w, context), m AS (SELECT w, max(n) AS modal FROM p GROUP BY w), dd AS (SELECT w, count(DISTINCT doc_id) AS docs FROM f GROUP BY w) SELECT w, coalesce(docs, 0) AS docs, coalesce(modal, 0) AS modal, round(coalesce(modal::DOUBLE / docs, 0), 6) AS ratio FROM t LEFT JOIN dd USING (w) LEFT JOIN m USING (w)"),
     "repeated_passages": (repeated_passages, r"WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.;])\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM documents), q AS (SELECT doc_id, lower(trim(regexp_replace(s, '\s+', ' ', 'g'))) AS s FROM p) SELECT md5(s) AS passage, count(DISTINCT doc_id) AS docs FROM q WHERE length(s) > 40 AND length(s) < 600 GROUP BY s HAVING count(DISTINCT doc_id) >= 5"),
     "two_threshold_admission": (two_threshold_admission, f"{_WORDS}{_ATTEST} SELECT w, docs, attestations FROM a WHERE docs >= 20 AND attestations >= 30"),
-    "vocab_conflicts": (vocab_conflicts, f"WITH v AS (SELECT * FROM {VOCABULARY_SQL} UNION ALL SELECT * FROM (VALUES ('the', 'link'), ('von', 'relation'), ('neu', 'article'))) SELECT lower(form) AS form, count(DISTINCT tag) AS tags, string_agg(DISTINCT tag, ';' ORDER BY tag) AS which FROM v GROUP BY 1 HAVING count(DISTINCT tag) > 1"),
-    "overlay_classes": (overlay_classes, f"WITH l AS (SELECT * FROM (VALUES ('the', 'T', 1), ('tion', 'H', 1), ('new', 'M', 1), ('tion', 'X', 2), ('new', 'T', 2)) t(form, class, p) UNION ALL SELECT form, 'D', 9 FROM {VOCABULARY_SQL}) SELECT form, max_by(class, p) AS class FROM l GROUP BY form"),
+    "vocab_conflicts": (vocab_conflicts, "SELECT lower(p_name || ' ' || p_brand) AS form, count(DISTINCT p_type) AS tags, string_agg(DISTINCT p_type, ';' ORDER BY p_type) AS which FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1"),
+    "overlay_classes": (overlay_classes, "WITH l AS (SELECT lower(p_name || ' ' || p_brand) AS form, p_type AS class, p_size AS layer FROM part UNION ALL SELECT lower(p_name || ' ' || p_brand), 'D', 1073741824 FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount >= 0.1)), r AS (SELECT form, class, row_number() OVER (PARTITION BY form ORDER BY layer DESC, class DESC) AS n FROM l) SELECT form, class FROM r WHERE n = 1"),
     "unmapped_terms": (unmapped_terms, f"WITH {TOKENS_SQL} SELECT w, count(*) AS uses, count(DISTINCT source) AS sources, count(DISTINCT doc_id) AS docs FROM tok WHERE w NOT IN (SELECT form FROM {VOCABULARY_SQL}) GROUP BY w HAVING count(DISTINCT doc_id) >= 50"),
     "never_attested": (never_attested, f"WITH {TOKENS_SQL} SELECT form, tag FROM {VOCABULARY_SQL} WHERE NOT contains(form, ' ') AND form NOT IN (SELECT w FROM tok)"),
     "first_mention": (first_mention, rf"WITH t AS (SELECT doc_id, unnest(l) AS w, unnest(range(len(l)))::INTEGER AS pos FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+') AS l FROM documents)) SELECT doc_id, tag, min_by(form, pos) AS form, min(pos) AS pos FROM t JOIN {VOCABULARY_SQL} ON w = form GROUP BY doc_id, tag"),

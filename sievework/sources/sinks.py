@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,17 +42,83 @@ def put_text(spark: SparkSession, where: str, text: str) -> None:
         out.close()
 
 
-def write_version(df: DataFrame, root: str) -> str:
-    """Writes the next v=<n> under a root on any file system, completely or not at all, and gives its path; older versions stay."""
-    path, files = _files(df.sparkSession, root)
-    files.mkdirs(path(root))
-    held = [s.getPath().getName() for s in files.listStatus(path(root))]
-    n = 1 + max((int(p[2:]) for p in held if p.startswith("v=") and p[2:].isdigit()), default=0)
-    part, final = f"{root}/.part-{n}", f"{root}/v={n}"
-    df.write.mode("overwrite").parquet(part)
-    if files.exists(path(final)) or not files.rename(path(part), path(final)):
-        raise FileExistsError(final)
-    return final
+_LOG = "_commits"
+
+
+class VersionConflict(FileExistsError):
+    """Another writer has committed since the version that this one started from."""
+
+
+def _claimed(spark: SparkSession, root: str) -> list[int]:
+    """Numbers that the commit log holds, in order."""
+    path, files = _files(spark, root)
+    log = path(f"{root}/{_LOG}")
+    names = [x.getPath().getName() for x in files.listStatus(log)] if files.exists(log) else []
+    return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+
+
+def _written(spark: SparkSession, root: str) -> list[int]:
+    path, files = _files(spark, root)
+    names = [x.getPath().getName() for x in files.listStatus(path(root))]
+    return [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+
+
+def latest_version(spark: SparkSession, root: str) -> int:
+    """The last version that readers may see, 0 if there is none: its number is in the log and its rows are in place."""
+    path, files = _files(spark, root)
+    return next((n for n in reversed(_claimed(spark, root)) if files.exists(path(f"{root}/v={n}"))), 0)
+
+
+def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The rows of a committed version, the last one by default."""
+    n = latest_version(spark, root) if version is None else version
+    if n not in _claimed(spark, root):
+        raise FileNotFoundError(f"{root} has no version {n}")
+    return spark.read.parquet(f"{root}/v={n}")
+
+
+def write_version(df: DataFrame, root: str, base: int | None = None) -> str:
+    """Writes the next v=<n> under a root on any file system, completely or not at all, and gives its path; older versions stay.
+
+    Rows go to a folder of the writer's own. The number is taken by creating its file in the commit log, which succeeds for
+    one writer only; then the folder gets its name. A writer that dies in between leaves a number without rows, which
+    readers and later writers pass over. base: the version that the rows were made from; if there is a later number, the
+    write is refused with VersionConflict and nothing of it stays. Without a base the next free number is taken.
+    """
+    spark = df.sparkSession
+    path, files = _files(spark, root)
+    part = f"{root}/.part-{uuid.uuid4().hex}"
+    df.write.parquet(part)
+    files.mkdirs(path(f"{root}/{_LOG}"))
+    try:
+        while True:
+            n = max([*_claimed(spark, root), *_written(spark, root), 0]) + 1
+            if base is not None and n != base + 1:
+                raise VersionConflict(f"{root} is at {n - 1}, not at {base}")
+            if _claim(spark, root, n, base):
+                break
+        if not files.rename(path(part), path(f"{root}/v={n}")):
+            raise OSError(f"{part} can't be renamed to v={n}")
+    finally:
+        files.delete(path(part), True)
+    return f"{root}/v={n}"
+
+
+def _claim(spark: SparkSession, root: str, n: int, base: int | None) -> bool:
+    """Whether the number's file could be created: False if another writer has it."""
+    path, files = _files(spark, root)
+    where = path(f"{root}/{_LOG}/{n:020d}.json")
+    try:
+        out = files.create(where, False)
+    except Py4JJavaError:
+        if files.exists(where):
+            return False
+        raise
+    try:
+        out.write(bytearray(json.dumps({"version": n, "base": base}).encode()))
+    finally:
+        out.close()
+    return True
 
 
 def write_manifest(spark: SparkSession, folder: str, counts: dict[str, int]) -> dict:

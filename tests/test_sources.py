@@ -98,3 +98,33 @@ def test_edited_lines_leave_the_others_alone(spark):
         edited_lines(df, edits(("2", "{}"), ("2", "{}")), ["id"])
     with pytest.raises(ValueError, match="known style"):
         edited_lines(df.where("n = 1"), edits(("9", "{}")), ["id"])
+
+
+def test_of_two_writers_one_is_refused_and_readers_see_whole_versions(spark, tmp_path):
+    root = str(tmp_path / "log")
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "i int")
+    read = lambda **how: sorted(r.i for r in sinks.read_version(spark, root, **how).collect())
+    assert sinks.latest_version(spark, root) == 0
+    sinks.write_version(rows(1), root, base=0)
+    sinks.write_version(rows(1, 2), root, base=1)
+    with pytest.raises(sinks.VersionConflict):
+        sinks.write_version(rows(1, 3), root, base=1)
+    assert read() == [1, 2] and read(version=1) == [1] and sinks.latest_version(spark, root) == 2
+    assert not sinks._claim(spark, root, 2, 1)
+    # one writer dies between its number and its rows: readers stay with the last whole version, writers go on
+    assert sinks._claim(spark, root, 3, 2)
+    assert read() == [1, 2]
+    assert sinks.write_version(rows(4), root).endswith("v=4") and read() == [4]
+    assert [p.name for p in (tmp_path / "log").iterdir() if p.name.startswith(".part")] == []
+    with pytest.raises(FileNotFoundError):
+        sinks.read_version(spark, root, 9)
+
+
+def test_writers_at_once_get_numbers_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "many")
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda i: sinks.write_version(spark.createDataFrame([(i,)], "i int"), root), range(6)))
+    assert sorted(m.rsplit("=", 1)[1] for m in made) == list("123456")
+    assert sorted(sinks.read_version(spark, root, n).first().i for n in range(1, 7)) == list(range(6))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import norm2
 from ..session import small_side, stash
+from .order import running
 
 #: Points that one map holds; the method compares all with all, so more are refused rather than sampled.
 MOST_POINTS = 5_000
@@ -18,6 +19,8 @@ MOST_POINTS = 5_000
 PARTS, MOST_ROUNDS = 1_024, 250
 #: Places that are broadcast to the rows; more are joined as Spark plans it.
 BROADCAST_RANKS = 1_000_000
+#: Distinct values whose codes are broadcast.
+BROADCAST_CODES = 1_000_000
 
 
 def unit(v: Column | str) -> Column:
@@ -132,10 +135,15 @@ def embed(rows: DataFrame, key: str, vector: str, perplexity: float = 20.0, roun
 
 
 def auc(rows: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the ROC curve by ranks; equal scores count half."""
+    """Area under the ROC curve by ranks; equal scores count half. Scores are dealt out by ranges, so no task has all of them."""
     by = rows.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    from pyspark.sql import Window
-
-    below = F.coalesce(F.sum("neg").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = by.withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
+    placed = running(by, [], [F.col(score)], {"upto": F.col("neg")})
+    won = placed.withColumn("won", F.col("pos") * (F.col("upto") - F.col("neg") + F.col("neg") / 2))
     return won.agg((F.sum("won") / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+
+
+def dictionary_codes(rows: DataFrame, column: str, most: int = BROADCAST_CODES) -> DataFrame:
+    """rows with code: the place (from 0) of the column's value among its distinct values, however many there are; a null's is null."""
+    values = rows.where(F.col(column).isNotNull()).select(F.col(column).alias("_value")).distinct()
+    codes = small_side(running(values, [], [F.col("_value")]).select("_value", (F.col("place") - 1).alias("code")), most)
+    return rows.join(codes, F.col(column) == F.col("_value"), "left").drop("_value")

@@ -102,8 +102,7 @@ def cross_assertions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dictionary_codes(spark: SparkSession, d: str) -> DataFrame:
-    codes = table(spark, d, "part").select("p_brand").distinct().withColumn("code", F.dense_rank().over(Window.orderBy("p_brand")) - 1)
-    return table(spark, d, "part").join(F.broadcast(codes), "p_brand").select("p_partkey", "code")
+    return X.dictionary_codes(table(spark, d, "part").select("p_partkey", "p_brand"), "p_brand").select("p_partkey", F.col("code").cast("int").alias("code"))
 
 
 def cards(spark: SparkSession, d: str) -> DataFrame:

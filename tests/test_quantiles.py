@@ -35,3 +35,10 @@ def test_rescaled_rows_keep_their_columns(spark):
     assert out.columns == ["g", "v", "q", "scaled"]
     got = {r.v: r.scaled for r in out.where("g = 'a'").collect()}
     assert got[0.0] == got[10.0] == 0 and got[90.0] == got[100.0] == 1 and abs(got[50.0] - 0.5) < 1e-12
+
+
+def test_codes_of_values(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("b", 4), ("c", 5)], "x string, _value int").drop("_value")
+    for most in (0, 100):
+        assert sorted(((r.x, r.code) for r in features.dictionary_codes(df, "x", most).collect()), key=repr) == sorted([("b", 1), ("a", 0), (None, None), ("b", 1), ("c", 2)], key=repr)
+    assert features.dictionary_codes(df.where("false"), "x").collect() == []

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from typing import Any
 
 import numpy as np
@@ -210,7 +211,7 @@ class Counter:
     def changes(self, data: np.ndarray, starts: np.ndarray, skip: np.ndarray, chunk: int = 1024) -> np.ndarray:
         """The change in tokens at each byte. starts: does a piece start there? skip: is it outside of pieces?"""
         n = len(data)
-        chunk = max(1, min(chunk, int(n**0.5) + 1))
+        chunk = min(chunk, 1 << (n.bit_length() + 1 >> 1))
         many = -(-n // chunk)
 
         def lanes(x: np.ndarray, fill: int) -> np.ndarray:
@@ -235,18 +236,25 @@ class Counter:
 
         every = np.arange(many)
         run(every[has], head[has], np.full(int(has.sum()), chunk))
-        known = has.copy()
-        # Scan: the maps of chunks with a piece start are constant; the others pass on what they get.
-        waiting = every[(head > 0) & (every > 0)]
-        exits = state.copy()
-        known[0] |= not has[0]
-        while len(waiting):
-            ready = waiting[known[waiting - 1]]
-            state[ready] = exits[ready - 1]
-            run(ready, np.zeros(len(ready), np.int64), head[ready])
-            whole = ready[~has[ready]]
-            exits[whole], known[whole] = state[whole], True
-            waiting = np.setdiff1d(waiting, ready, assume_unique=True)
+        enter = np.zeros(many, np.int32)  # the state before each chunk
+        enter[1:][has[:-1]] = state[:-1][has[:-1]]
+        whole = every[~has]
+        if len(whole):
+            ends = np.full(len(whole), chunk)
+
+            def through(chosen: np.ndarray, entries: np.ndarray) -> np.ndarray:
+                """Exit states of whole chunks from these entry states."""
+                state[whole[chosen]] = entries
+                run(whole[chosen], np.zeros(len(chosen), np.int64), ends[chosen])
+                return state[whole[chosen]].copy()
+
+            first = (whole == 0) | has[whole - 1]
+            enter[whole] = _entries(first, np.where(first, enter[whole], 0), through)
+            after = whole[whole + 1 < many]
+            enter[after + 1] = state[after]
+        rest = every[has & (head > 0)]
+        state[rest] = enter[rest]
+        run(rest, np.zeros(len(rest), np.int64), head[rest])
         return out.T.ravel()[:n]
 
     def count(self, texts: list[str]) -> np.ndarray:
@@ -273,6 +281,54 @@ class Counter:
         return total + np.diff(sums[stops[ends - 1] - 1], prepend=0)
 
 
+def _entries(first: np.ndarray, given: np.ndarray, through: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Entry states of a row of chunks, each of which is left through a map of states that is dear to ask for.
+
+    Chunks marked first are entered in the given states, the others in what the one before them leaves. Each chunk's map
+    is kept for the states asked so far; any other state is taken to leave the chunk as the last one asked did. These
+    maps are composed by a prefix scan, and the entries that come out are asked where they aren't known, all chunks
+    together, until every one is known: then they are right, chunk after chunk. Counts forget where they began after a
+    token or two, so two or three rounds are the rule; a text of one repeated token needs at most as many as the token
+    has places. The last run of each chunk is the one from its entry.
+    """
+    many = len(first)
+    number: dict[int, int] = {}
+    states: list[int] = []
+
+    def numbers(of: np.ndarray) -> np.ndarray:
+        for x in np.unique(of).tolist():
+            if x not in number:
+                number[x] = len(states)
+                states.append(x)
+        return np.fromiter((number[x] for x in of.tolist()), np.int32, len(of))
+
+    asked: dict[tuple[int, int], int] = {}
+    entry, latest, ran = numbers(given), np.zeros(many, np.int32), np.full(many, -1, np.int32)
+    again = np.arange(many)
+    while True:
+        latest[again] = numbers(through(again, np.asarray(states, np.int32)[entry[again]]))
+        ran[again] = entry[again]
+        asked.update(zip(zip(again.tolist(), entry[again].tolist()), latest[again].tolist()))
+        maps = np.repeat(latest[:, None], len(states), axis=1)
+        if len(asked) > many:
+            where = np.array(list(asked), np.int64)
+            maps[where[:, 0], where[:, 1]] = list(asked.values())
+        maps[first] = latest[first, None]
+        reach = 1
+        while reach < many:  # after it, maps[i] takes the state before chunk 0 to that after chunk i
+            maps[reach:] = np.take_along_axis(maps[reach:], maps[:-reach].copy(), axis=1)
+            reach *= 2
+        entry[1:] = np.where(first[1:], entry[1:], maps[:-1, 0])
+        unknown = [i for i, e in enumerate(entry.tolist()) if (i, e) not in asked]
+        if not unknown:
+            break
+        again = np.asarray(unknown)
+    again = np.flatnonzero(ran != entry)
+    if len(again):
+        through(again, np.asarray(states, np.int32)[entry[again]])
+    return np.asarray(states, np.int32)[entry]
+
+
 def _byte_letters() -> dict[int, str]:
     """Byte-level tokenizers write printable bytes as themselves and the others as the characters from 256 on, in order."""
     own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 from array import array
 
 import numpy as np
@@ -98,3 +99,43 @@ def test_a_small_table_and_little_memory_count_alike(monkeypatch):
     for text in [t or "" for t in texts()[:200]] + ["plain words of a text"]:
         if len(text) < 500:
             assert counter.count([text, text]).tolist() == [len(library.encode(text, add_special_tokens=False).ids)] * 2
+
+
+@pytest.mark.parametrize("unit", ["a", "-", "=+=", "ab", "the", "é", "中文"])
+def test_a_long_piece_is_counted_in_lanes(unit):
+    """A megabyte without a piece start takes seconds, not minutes, and is counted as by the library."""
+    counter, library = transducer.Counter(open(JSON, encoding="utf-8").read()), Tokenizer.from_file(JSON)
+    text = unit * (1_000_000 // len(unit.encode()))
+    began = time.process_time()
+    got = counter.count([text])
+    assert time.process_time() - began < 2
+    assert got.tolist() == [len(library.encode(text, add_special_tokens=False).ids)]
+
+
+def test_long_pieces_of_many_shapes():
+    """Entries of chunks come out right where maps differ from state to state and where pieces begin and end anywhere."""
+    rng = random.Random(6)
+    counter, library = transducer.Counter(open(JSON, encoding="utf-8").read()), Tokenizer.from_file(JSON)
+    for _ in range(150):
+        parts = ["".join(rng.choices(rng.choice(["a", "ab", "ACGT", "-=", "0", "abcdefghijklmnopqrstuvwxyz", "é中a"]), k=rng.randint(1, 3000))) for _ in range(rng.randint(1, 4))]
+        text = rng.choice(["", " ", "<|endoftext|>"]).join(parts)
+        assert counter.count([text]).tolist() == [len(library.encode(text, add_special_tokens=False).ids)]
+
+
+def test_entries_are_those_of_chunks_one_after_the_other():
+    rng = random.Random(7)
+    for _ in range(200):
+        many, states = rng.randint(1, 12), rng.randint(1, 5)
+        maps = [[rng.randrange(states) for _ in range(states)] for _ in range(many)]
+        first = np.array([True] + [rng.random() < 0.2 for _ in range(many - 1)])
+        given = np.array([rng.randrange(states) if f else 0 for f in first])
+        last: dict[int, int] = {}
+
+        def through(chosen, entries, maps=maps, last=last):
+            last.update(zip(chosen.tolist(), entries.tolist()))
+            return np.array([maps[i][e] for i, e in zip(chosen.tolist(), entries.tolist())])
+
+        want: list[int] = []
+        for i in range(many):
+            want.append(int(given[i]) if first[i] else maps[i - 1][want[-1]])
+        assert transducer._entries(first, given, through).tolist() == want == [last[i] for i in range(many)]

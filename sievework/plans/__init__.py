@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import Plans
 
-MODULES = ("text", "vocabulary", "counts", "joins", "matching", "chemistry", "learning", "assembled", "dedupe", "quality", "features", "sources", "review", "cues", "fields", "names")
+MODULES = ("text", "vocabulary", "counts", "joins", "matching", "chemistry", "learning", "assembled", "dedupe", "quality", "features", "sources", "review", "cues", "fields", "names", "walks")
 
 
 def plans() -> Plans:

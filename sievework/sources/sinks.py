@@ -25,7 +25,7 @@ def write_tsv(df: DataFrame, path: str, order: list[str], force: bool = False) -
     plain.orderBy(*order).write.mode("overwrite" if force else "errorifexists").option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
 
 
-def _files(spark: SparkSession, where: str) -> tuple[Callable[[str], JavaObject], JavaObject]:
+def files_of(spark: SparkSession, where: str) -> tuple[Callable[[str], JavaObject], JavaObject]:
     """How to name a path, and the file system that holds `where`: local or shared."""
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path
@@ -34,7 +34,7 @@ def _files(spark: SparkSession, where: str) -> tuple[Callable[[str], JavaObject]
 
 def put_text(spark: SparkSession, where: str, text: str) -> None:
     """One text file, in UTF-8; an existing one is replaced."""
-    path, files = _files(spark, where)
+    path, files = files_of(spark, where)
     out = files.create(path(where), True)
     try:
         out.write(bytearray(text.encode("utf-8")))
@@ -51,21 +51,21 @@ class VersionConflict(FileExistsError):
 
 def _claimed(spark: SparkSession, root: str) -> list[int]:
     """Numbers that the commit log holds, in order."""
-    path, files = _files(spark, root)
+    path, files = files_of(spark, root)
     log = path(f"{root}/{_LOG}")
     names = [x.getPath().getName() for x in files.listStatus(log)] if files.exists(log) else []
     return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
 
 
 def _written(spark: SparkSession, root: str) -> list[int]:
-    path, files = _files(spark, root)
+    path, files = files_of(spark, root)
     names = [x.getPath().getName() for x in files.listStatus(path(root))]
     return [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
     """The last version that readers may see, 0 if there is none: its number is in the log and its rows are in place."""
-    path, files = _files(spark, root)
+    path, files = files_of(spark, root)
     return next((n for n in reversed(_claimed(spark, root)) if files.exists(path(f"{root}/v={n}"))), 0)
 
 
@@ -86,7 +86,7 @@ def write_version(df: DataFrame, root: str, base: int | None = None) -> str:
     write is refused with VersionConflict and nothing of it stays. Without a base the next free number is taken.
     """
     spark = df.sparkSession
-    path, files = _files(spark, root)
+    path, files = files_of(spark, root)
     part = f"{root}/.part-{uuid.uuid4().hex}"
     df.write.parquet(part)
     files.mkdirs(path(f"{root}/{_LOG}"))
@@ -106,7 +106,7 @@ def write_version(df: DataFrame, root: str, base: int | None = None) -> str:
 
 def _claim(spark: SparkSession, root: str, n: int, base: int | None) -> bool:
     """Whether the number's file could be created: False if another writer has it."""
-    path, files = _files(spark, root)
+    path, files = files_of(spark, root)
     where = path(f"{root}/{_LOG}/{n:020d}.json")
     try:
         out = files.create(where, False)
@@ -126,7 +126,7 @@ def write_manifest(spark: SparkSession, folder: str, counts: dict[str, int]) ->
 
     The executors hash the files, each of which must be below 2 GB; only names and sums come to the driver.
     """
-    path, files = _files(spark, folder)
+    path, files = files_of(spark, folder)
     root = files.makeQualified(path(folder)).toString() + "/"
     read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     name = F.substring(F.regexp_replace("path", "^file:/+", "file:/"), len(root) + 1, 1 << 20)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..sources.sinks import files_of
+
 
 def ingest(spark: SparkSession, source: str, schema: StructType, target: str, key: str, checkpoint: str) -> StreamingQuery:
     """Appends what isn't held yet to the target and stops: running it twice leaves the same table.
@@ -15,14 +17,12 @@ def ingest(spark: SparkSession, source: str, schema: StructType, target: str, ke
     target. The first row of a key within a batch is the least one.
     """
 
+    path, files = files_of(spark, target)
+
     def upsert(batch: DataFrame, _: int) -> None:
         own = batch.groupBy(key).agg(F.min(F.struct(*[c for c in batch.columns if c != key])).alias("_r")).select(key, "_r.*").select(*batch.columns)
-        try:
-            held = spark.read.schema(schema).parquet(target).select(key)
-            own = own.join(held, key, "left_anti")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        if files.exists(path(target)):
+            own = own.join(spark.read.schema(schema).parquet(target).select(key), key, "left_anti")
         own.write.mode("append").parquet(target)
 
     stream = spark.readStream.schema(schema).parquet(source)

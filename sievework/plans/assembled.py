@@ -19,7 +19,9 @@ MISREAD = ("rnethyl l-{n}", "{k} - methyl {n}", "{k}a {n}", "(lh)-{n}", "{n}")
 SPAN = ("{n}", "Example {k}: {n}", "({n}", "{n}]", "zzyx {n}")
 LABEL = ("Example {k}: {n} ({b})", "{n}, i.e. a {b}", "compound of formula (IV) {n}", "{n} (E,Z) x", "{n}")
 BESIDE = ("It has a note reminiscent of {n}.", "{n} is stronger than {n}.", "It is stronger than musk; a {n} is near.", "It was used in place of {n} oil.")
-CLAIM = ("{n} has body and is devoid of any minty note", "Had {n} been used it would have a minty note", "{n} lifts this minty essential oil composition", "{n} is an oily liquid and minty", "{n} has a minty charm")
+CLAIM = ("{n} has body and is devoid of any minty note", "Had {n} been used it would have a minty note", "{n} lifts this minty essential oil composition", "{n} is an oily liquid and minty", "{n} has a minty charm") + (
+    "{n} has body. {b} gives a minty freshness", "{n} is like minty hydrocarbons and has minty charm", "{n} is full whereas {b} is minty", "If {n} instead of {b} is taken the blend is minty", "{n} of Pat. No. 3 and by approx. 0.5. 6 parts is minty", "{n} is a minty liquid and an oily solid",
+)
 DECIDED = ("It causes the tobacco to have a {n} note", "It lends body to the soup and more of {n}", "7 and 8-acetyl {n} are both woody", "The ketone {n} is woody", "The soupy note of {n} is woody")
 
 
@@ -67,10 +69,9 @@ def compared_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def attribution_checks(spark: SparkSession, d: str) -> DataFrame:
-    """What speaks against giving a sentence's descriptors to the part named in it."""
+    """What speaks against giving a sentence's descriptors to the part named in it, by all checks; its brand is another name."""
     rows = _parts(spark, d).withColumn("s", _pick(CLAIM))
-    none = F.array().cast("array<struct<start: int, stop: int>>")
-    checks = P.attribution_checks("s", F.array("p_name"), F.array(F.lit("minty"), F.lit("oily")), none)
+    checks = P.attribution_checks("s", F.array("p_name"), F.array(F.lit("minty"), F.lit("oily")), T.spans_of("p_brand", "s"))
     return rows.select("p_partkey", F.array_join(checks, " ").alias("checks"))
 
 
@@ -104,7 +105,7 @@ PLANS: Plans = {
     "cleaned_names": (cleaned_names, f"""SELECT p_partkey, {_cases("p_name", "p_name", "NULL", "p_name || ' (E,Z) x'", "p_name")} AS name FROM part"""),
     "similar_names": (similar_names, "SELECT p_partkey, round(2 * (length(p_name) - p_partkey % 4)::DOUBLE / (2 * length(p_name) - p_partkey % 4), 6) AS ratio FROM part"),
     "compared_names": (compared_names, f"SELECT p_partkey, {_cases('true', 'false', 'false', 'true')} AS compared FROM part"),
-    "attribution_checks": (attribution_checks, f"""SELECT p_partkey, {_cases("'NEGATED:minty'", "'COUNTERFACT'", "'COMPOSITION:minty'", "'PHYSICAL:oily'", "''")} AS checks FROM part"""),
+    "attribution_checks": (attribution_checks, f"""SELECT p_partkey, {_cases("'NEGATED:minty'", "'COUNTERFACT'", "'COMPOSITION:minty'", "'PHYSICAL:oily'", "''", "'GLUED:minty NEARER:minty'", "'CLASS:minty'", "'NEARER:minty'", "'COUNTERFACT NEARER:minty'", "''", "'PHYSICAL:oily'")} AS checks FROM part"""),
     "decision_reversals": (decision_reversals, "SELECT p_partkey, p_partkey % 5 IN (0, 1, 2) OR p_partkey % 4 IN (0, 1) AS taken_back FROM part"),
     "smell_rule_reasons": (
         smell_rule_reasons,

@@ -39,3 +39,8 @@ def test_borders_beside_accented_letters(spark, tmp_path):
     next((tmp_path / "documents").glob("*.parquet")).rename(tmp_path / "documents.parquet")
     query, sql = plans()["smell_rule_reasons"]
     assert differences(query(spark, str(tmp_path)).toPandas(), duck(str(tmp_path)).execute(sql).df()) == ""
+
+
+def test_attribution_checks_of_every_kind(spark):
+    rows = plans()["attribution_checks"][0](spark, "/root/testdata/sf0.001").collect()
+    assert {c.split(":")[0] for r in rows for c in r.checks.split()} == {"GLUED", "NEGATED", "COUNTERFACT", "COMPOSITION", "PHYSICAL", "CLASS", "NEARER"}

@@ -46,7 +46,7 @@ def mention_places(spark: SparkSession, d: str) -> DataFrame:
     """Where a word stands in each document, case ignored, and how many words begin alike."""
     docs = table(spark, d, "documents")
     places = T.find_all(F.lit("tion"), "text")
-    return docs.select("doc_id", F.size(places).cast("long").alias("n"), F.coalesce(F.get(places, F.lit(0)), F.lit(-1)).cast("long").alias("first"), F.coalesce(F.array_max(places), F.lit(-1)).cast("long").alias("last"))
+    return docs.select("doc_id", F.when(F.col("text").isNull(), -1).otherwise(F.size(places)).cast("long").alias("n"), F.coalesce(F.get(places, F.lit(0)), F.lit(-1)).cast("long").alias("first"), F.coalesce(F.array_max(places), F.lit(-1)).cast("long").alias("last"))
 
 
 def source_classes(spark: SparkSession, d: str) -> DataFrame:

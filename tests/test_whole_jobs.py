@@ -1,5 +1,7 @@
 """Queries on small tables that the given ones have no case of."""
 
+import time
+
 from compare import differences, duck
 from sievework.plans import plans
 
@@ -44,3 +46,20 @@ def test_borders_beside_accented_letters(spark, tmp_path):
 def test_attribution_checks_of_every_kind(spark):
     rows = plans()["attribution_checks"][0](spark, "/root/testdata/sf0.001").collect()
     assert {c.split(":")[0] for r in rows for c in r.checks.split()} == {"GLUED", "NEGATED", "COUNTERFACT", "COMPOSITION", "PHYSICAL", "CLASS", "NEARER"}
+
+
+def written(spark, where, name, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{where}/{name}")
+    next((where / name).glob("*.parquet")).rename(where / f"{name}.parquet")
+
+
+def beside_sql(spark, where, name):
+    query, sql = plans()[name]
+    return differences(query(spark, str(where)).toPandas(), duck(str(where)).execute(sql).df())
+
+
+def test_many_mentions_in_a_text_and_no_text(spark, tmp_path):
+    """What the text is cut into is made once and not for each mention: minutes, before."""
+    written(spark, tmp_path, "documents", [(1, "Tion aé " * 3000), (2, None), (3, ""), (4, "tiontion"), (5, "none")], "doc_id long, text string")
+    began = time.time()
+    assert beside_sql(spark, tmp_path, "mention_places") == "" and time.time() - began < 30

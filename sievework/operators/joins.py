@@ -36,17 +36,20 @@ def unique_match(batch: DataFrame, queue: DataFrame, keys: list[str]) -> DataFra
     return batch.join(found, keys, "left").withColumn("status", F.when(F.col("found").isNull(), "none").when(F.col("found") == 1, "one").otherwise("many"))
 
 
-def first_route(left: DataFrame, routes: list[tuple[str, DataFrame, Column, str]], key: str) -> DataFrame:
+def first_route(left: DataFrame, routes: list[tuple[str, DataFrame, Column, Column, str]], key: str) -> DataFrame:
     """Matches over several routes: for each left row the value of the first route that finds one (its least value), and the route's name.
 
-    routes: (name, right side, condition between the two sides, value column of the right side).
+    routes: (name, right side, key of the left side, key of the right side, value column of the right side); null keys find
+    nothing. Each route's right side is brought to one row for each key first, so no pair of copies is ever made.
     """
-    every = None
-    for rank, (name, right, on, value) in enumerate(routes):
-        found = left.join(right, on).groupBy(left[key]).agg(F.min(right[value]).alias("value")).select(key, F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("route"), F.col("value")).alias("m"))
-        every = found if every is None else every.unionByName(found)
-    best = every.groupBy(key).agg(F.min("m").alias("m"))
-    return left.join(best, key, "left").select(left["*"], F.col("m.route").alias("route"), F.col("m.value").alias("match"))
+    out, found = left, []
+    values = [f"_v{rank}" for rank in range(len(routes))]
+    for rank, (name, right, mine, theirs, value) in enumerate(routes):
+        least = right.select(theirs.alias(f"_k{rank}"), F.col(value).alias(f"_v{rank}")).where(F.col(f"_k{rank}").isNotNull()).groupBy(f"_k{rank}").agg(F.min(f"_v{rank}").alias(f"_v{rank}"))
+        out = out.withColumn(f"_m{rank}", mine).join(least, F.col(f"_m{rank}") == F.col(f"_k{rank}"), "left")
+        found.append(F.when(F.col(f"_v{rank}").isNotNull(), F.struct(F.lit(name).alias("route"), F.col(f"_v{rank}").alias("match"))))
+    best = out.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.min(v).alias(v) for v in values)).select(key, F.coalesce(*found).alias("_m"))
+    return left.join(best, key, "left").select(*left.columns, F.col("_m.route").alias("route"), F.col("_m.match").alias("match"))
 
 
 def unambiguous(lookup: DataFrame, name: str, identity: str, connectivity: Column) -> DataFrame:

@@ -56,11 +56,8 @@ def multi_route(spark: SparkSession, d: str) -> DataFrame:
     parts = table(spark, d, "part").select("p_partkey", "p_name", T.squash("p_name").alias("k1"), (F.col("p_partkey") * 3).alias("by_key"))
     other = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), T.squash("p_name").alias("k2"))
     even, odd = other.where(F.col("id") % 2 == 0), other.where(F.col("id") % 2 == 1)
-    routes = [
-        ("key", even.alias("r0"), F.col("by_key") == F.col("r0.id"), "id"),
-        ("name", odd.where(F.col("id") % 5 == 0).alias("r1"), F.col("p_name") == F.col("r1.name"), "id"),
-        ("loose", odd.alias("r2"), (F.col("k1") == F.col("r2.k2")) & (F.length("k1") > 5), "id"),
-    ]
+    long = F.when(F.length("k1") > 5, F.col("k1"))
+    routes = [("key", even, F.col("by_key"), F.col("id"), "id"), ("name", odd.where(F.col("id") % 5 == 0), F.col("p_name"), F.col("name"), "id"), ("loose", odd, long, F.col("k2"), "id")]
     return J.first_route(parts, routes, "p_partkey").groupBy(F.coalesce("route", F.lit("none")).alias("route")).agg(F.count("*").alias("n"), F.coalesce(F.sum("match"), F.lit(0)).cast("long").alias("total"))
 
 

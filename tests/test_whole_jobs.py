@@ -63,3 +63,11 @@ def test_many_mentions_in_a_text_and_no_text(spark, tmp_path):
     written(spark, tmp_path, "documents", [(1, "Tion aé " * 3000), (2, None), (3, ""), (4, "tiontion"), (5, "none")], "doc_id long, text string")
     began = time.time()
     assert beside_sql(spark, tmp_path, "mention_places") == "" and time.time() - began < 30
+
+
+def test_routes_make_no_pairs_of_copies(spark, tmp_path):
+    """Sixty thousand parts of one name would meet as hundreds of millions of pairs."""
+    rows = [(n, "red bolt" if n % 60 else f"{n} Ab-c lo") for n in range(60_000)] + [(None, "red bolt"), (60_001, None), (60_003, "red bolt"), (60_003, "Red-Bolt")]
+    written(spark, tmp_path, "part", rows, "p_partkey long, p_name string")
+    began = time.time()
+    assert beside_sql(spark, tmp_path, "multi_route_match") == "" and time.time() - began < 60

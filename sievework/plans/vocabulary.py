@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -20,13 +22,24 @@ def sentence_words(spark: SparkSession, d: str) -> DataFrame:
     return split.select("doc_id", "s", "k", F.explode("words").alias("w"))
 
 
+def document_words(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, words: all of a document's, in order."""
+    return table(spark, d, "documents").select("doc_id", T.words("text").alias("words"))
+
+
+def of_sentences(spark: SparkSession, d: str) -> tuple[DataFrame, str, DataFrame, str, Callable[[Column], Column], str, str]:
+    """What counts of whole vocabularies ask for: documents with the words of their sentences, and the sentences."""
+    docs = table(spark, d, "documents").select("doc_id", F.array_distinct(T.words(T.norm_text("text"))).alias("words"))
+    return docs, "words", sentences(spark, d), "s", T.words, "w", "doc_id"
+
+
 def term_doc_freq(spark: SparkSession, d: str) -> DataFrame:
-    return C.frequencies(tokens(spark, d), "w", "doc_id")
+    return C.word_frequencies(document_words(spark, d), "words", "w", "doc_id")
 
 
 def content_terms(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.explode(T.words("text")).alias("w")).where((F.length("w") > 2) & ~F.col("w").isin(*STOP))
-    return C.frequencies(docs, "w", "doc_id").where(F.col("docs") >= 20)
+    out = C.word_frequencies(document_words(spark, d), "words", "w", "doc_id")
+    return out.where((F.col("docs") >= 20) & (F.length("w") > 2) & ~F.col("w").isin(*STOP))
 
 
 def pre_head_terms(spark: SparkSession, d: str) -> DataFrame:
@@ -47,8 +60,7 @@ def copy_factor(spark: SparkSession, d: str) -> DataFrame:
 
 def suspect_terms(spark: SparkSession, d: str) -> DataFrame:
     """Suspect terms among all words."""
-    words, texts = sentence_words(spark, d), sentences(spark, d).select(F.unhex(F.md5("s")).alias("k"), "s")
-    return C.suspects(words, texts, "w", "k", "doc_id", "s").select("w", "docs", "copy_factor", F.md5("top_sentence").alias("top_sentence"))
+    return C.suspects(*of_sentences(spark, d)).select("w", "docs", "copy_factor", F.md5("top_sentence").alias("top_sentence"))
 
 
 def boilerplate_ratio(spark: SparkSession, d: str) -> DataFrame:
@@ -72,7 +84,7 @@ def repeated_passages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def two_threshold_admission(spark: SparkSession, d: str) -> DataFrame:
-    out = C.attestations(sentence_words(spark, d), "w", "k", "doc_id")
+    out = C.attested(*of_sentences(spark, d))
     return out.where((F.col("docs") >= 20) & (F.col("attestations") >= 30)).select("w", "docs", "attestations")
 
 
@@ -113,7 +125,7 @@ def first_mention(spark: SparkSession, d: str) -> DataFrame:
 
 def edit_distance_one(spark: SparkSession, d: str) -> DataFrame:
     """Frequent words one edit away from a form of the vocabulary that aren't in it."""
-    frequent = C.frequencies(tokens(spark, d), "w", "doc_id").where((F.col("docs") >= 30) & F.rlike("w", F.lit("^[a-z]{4,}$")))
+    frequent = C.word_frequencies(document_words(spark, d), "words", "w", "doc_id").where((F.col("docs") >= 30) & F.rlike("w", F.lit("^[a-z]{4,}$")))
     # Words one edit apart become equal when at most one letter of each is left out.
     keys = lambda w: F.explode(F.array_distinct(F.concat(F.array(w), F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w)))))))
     left = frequent.select("w", "docs", keys(F.col("w")).alias("k"))
@@ -122,7 +134,7 @@ def edit_distance_one(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_terms(spark: SparkSession, d: str) -> DataFrame:
-    return C.frequencies(tokens(spark, d), "w", "doc_id").orderBy(F.desc("n"), "w").limit(25)
+    return C.word_frequencies(document_words(spark, d), "words", "w", "doc_id").orderBy(F.desc("n"), "w").limit(25)
 
 
 def cap_per_source(spark: SparkSession, d: str) -> DataFrame:

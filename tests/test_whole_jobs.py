@@ -71,3 +71,12 @@ def test_routes_make_no_pairs_of_copies(spark, tmp_path):
     written(spark, tmp_path, "part", rows, "p_partkey long, p_name string")
     began = time.time()
     assert beside_sql(spark, tmp_path, "multi_route_match") == "" and time.time() - began < 60
+
+
+def test_vocabularies_of_repeated_and_missing_ids(spark, tmp_path):
+    """Documents without an id are no documents, for all that their words count; those of one id are one."""
+    word = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+    rows = [(None if n % 9 == 0 else n // 2, f"The {word(n)} frog; A {word(n % 19)} toad. The frog; Some copied line", "en", "s") for n in range(76)]
+    written(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
+    for name in ("two_threshold_admission", "suspect_terms", "content_terms", "term_doc_freq", "exact_dup_collapse"):
+        assert beside_sql(spark, tmp_path, name) == "", name

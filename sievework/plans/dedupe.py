@@ -13,8 +13,11 @@ from .base import SENTENCES_SQL, Plans, sentences
 
 def exact_collapse(spark: SparkSession, d: str) -> DataFrame:
     """Distinct sentences with their sources and occurrences; the occurrences add up to the rows."""
-    out = sentences(spark, d).groupBy("s").agg(F.countDistinct("doc_id").alias("docs"), F.countDistinct("source").alias("sources"), F.count("*").alias("occurrences"))
-    return out.where(F.col("occurrences") > 1).select(F.md5("s").alias("digest"), "docs", "sources", "occurrences")
+    rows = sentences(spark, d).select(F.md5("s").alias("digest"), "doc_id", "source").groupBy("digest", "doc_id", "source").agg(F.count("*").alias("n"))
+    # Digests travel, not texts; with the rows already grouped, of two distinct counts one is a sum unless a document has two sources.
+    docs = rows.groupBy("digest", "doc_id").agg(F.sum("n").alias("n"), F.collect_set("source").alias("sources"))
+    out = docs.groupBy("digest").agg(F.count("doc_id").alias("docs"), F.size(F.array_distinct(F.flatten(F.collect_set("sources")))).cast("long").alias("sources"), F.sum("n").alias("occurrences"))
+    return out.where(F.col("occurrences") > 1).select("digest", "docs", "sources", "occurrences")
 
 
 def predicate_sizes(spark: SparkSession, d: str) -> DataFrame:

@@ -54,8 +54,11 @@ def first_route(left: DataFrame, routes: list[tuple[str, DataFrame, Column, Colu
 
 def unambiguous(lookup: DataFrame, name: str, identity: str, connectivity: Column) -> DataFrame:
     """name, identities, verdict, pick: the least identity, but only if all that the name finds agree in connectivity."""
-    out = lookup.groupBy(name).agg(F.countDistinct(identity).alias("identities"), F.countDistinct(connectivity).alias("connected"), F.min(identity).alias("least"))
-    return out.select(name, "identities", F.when(F.col("connected") == 1, "accepted").otherwise("ambiguous").alias("verdict"), F.when(F.col("connected") == 1, F.col("least")).alias("pick"))
+    # One row for each name and identity first; that these agree takes no second distinct count.
+    once = lookup.select(name, identity).distinct()
+    out = once.groupBy(name).agg(F.count(identity).alias("identities"), (F.min(connectivity) == F.max(connectivity)).alias("agree"), F.min(identity).alias("least"))
+    agree = F.coalesce("agree", F.lit(False))
+    return out.select(name, "identities", F.when(agree, "accepted").otherwise("ambiguous").alias("verdict"), F.when(agree, F.col("least")).alias("pick"))
 
 
 def previous_match(rows: DataFrame, partition: str, order: str, value: str, good: Column, window: int, stop: Column) -> DataFrame:

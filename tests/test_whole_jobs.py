@@ -80,3 +80,11 @@ def test_vocabularies_of_repeated_and_missing_ids(spark, tmp_path):
     written(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
     for name in ("two_threshold_admission", "suspect_terms", "content_terms", "term_doc_freq", "exact_dup_collapse"):
         assert beside_sql(spark, tmp_path, name) == "", name
+
+
+def test_a_long_text_behind_its_last_head(spark, tmp_path):
+    """From every letter behind the last head another was looked for: minutes for a text of this length, before."""
+    rows = [(1, "Geld und gut; mit THE hat with " + "x" * 300_000, "de", "s"), (2, None, "de", "s"), (3, "no head", "de", "s"), (4, "a and of the b and c", "de", "s")]
+    written(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
+    began = time.time()
+    assert beside_sql(spark, tmp_path, "head_clauses") == "" and time.time() - began < 30

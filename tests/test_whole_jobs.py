@@ -59,7 +59,7 @@ def beside_sql(spark, where, name):
 
 
 def test_many_mentions_in_a_text_and_no_text(spark, tmp_path):
-    """What the text is cut into is made once and not for each mention: minutes, before."""
+    """What the text is cut into is made once and not for each mention."""
     written(spark, tmp_path, "documents", [(1, "Tion aé " * 3000), (2, None), (3, ""), (4, "tiontion"), (5, "none")], "doc_id long, text string")
     began = time.time()
     assert beside_sql(spark, tmp_path, "mention_places") == "" and time.time() - began < 30
@@ -83,7 +83,7 @@ def test_vocabularies_of_repeated_and_missing_ids(spark, tmp_path):
 
 
 def test_a_long_text_behind_its_last_head(spark, tmp_path):
-    """From every letter behind the last head another was looked for: minutes for a text of this length, before."""
+    """From every letter behind the last head another was looked for, before."""
     rows = [(1, "Geld und gut; mit THE hat with " + "x" * 300_000, "de", "s"), (2, None, "de", "s"), (3, "no head", "de", "s"), (4, "a and of the b and c", "de", "s")]
     written(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
     began = time.time()

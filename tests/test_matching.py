@@ -36,6 +36,23 @@ def test_no_names_and_no_texts(spark):
         assert dictionary.find_names(texts.where("false"), "text", ["id"], names, "n", most=most).collect() == []
 
 
+def test_names_met_by_neighbouring_tokens(spark):
+    """Each text has all tokens and few of the pairs: names are filed under pairs, so a text meets few of them."""
+    words = [f"w{n}" for n in range(60)]
+    names = spark.createDataFrame([(f"{a} {b}",) for a in words for b in words], "name string")
+    texts = spark.createDataFrame([(str(n), " ".join(words[n:] + words[:n])) for n in range(40)], "digest string, text string")
+    met = dictionary._filed(names, texts, False).select(F.size("names").alias("n")).collect()
+    assert [r.n for r in met] == [59] * 40
+
+
+def test_a_pair_of_two_documents_one_of_which_has_no_id(spark, tmp_path):
+    from sievework.plans import matching
+
+    for name, rows, schema in (("documents", [(1, "a b. c d"), (None, "A b; e f. e f"), (2, "c d"), (2, "x y"), (2, "x y"), (None, "n n"), (None, "n n")], "doc_id long, text string"), ("part", [("p q",)], "p_name string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert sorted(r.name for r in matching.repeated_pairs(spark, str(tmp_path)).collect()) == ["a b", "c d", "p q"]
+
+
 @pytest.mark.parametrize(("least", "letters"), [(0.9, "abcdefgh"), (0.86, "ab")])
 def test_near_spellings_as_by_all_pairs(spark, least, letters):
     pick = random.Random(2)

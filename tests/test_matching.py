@@ -82,6 +82,32 @@ def test_near_spellings_as_by_all_pairs(spark, least, letters):
     assert {(r.a, r.b) for r in spelling.near_spellings(df, "w", least, edits=True).collect()} == close
 
 
+@pytest.mark.parametrize("edits", [False, True])
+def test_long_names_and_names_of_many_rests(spark, edits):
+    """Lengths that meet by rests, by pairs of letters, and one of each kind."""
+    pick = random.Random(7)
+    words = []
+    for n in (10, 17, 18, 22, 29, 33, 60, 95, 101, 110, 130):
+        w = "".join(pick.choice("abcdefghijklmnop") for _ in range(n))
+        words += [w, w[1:], w[: n // 3] + "z" + w[n // 3 + 1 :], w + "yz", w + "y" * (n // 8), w + "y" * (n // 5)]
+    got = {(r.a, r.b): r.score for r in spelling.near_spellings(spark.createDataFrame([(w,) for w in words], "w string"), "w", 0.9, edits).collect()}
+    pairs = [(a, b) for a in set(words) for b in set(words) if a < b]
+    if edits:
+        made = spark.createDataFrame(pairs, "a string, b string").withColumn("e", F.levenshtein("a", "b")).collect()
+        assert set(got) == {(r.a, r.b) for r in made if r.e <= int(0.1 * max(len(r.a), len(r.b)) + 1e-9)} and got
+    else:
+        near = {(a, b): SequenceMatcher(None, a, b, autojunk=True).ratio() for a, b in pairs}
+        assert got == {p: s for p, s in near.items() if s >= 0.9} and got
+
+
+def test_names_that_share_all_but_a_few_letters_meet_few_others(spark):
+    """Names of one stem share nearly all their pairs of letters; they meet only where no more than an edit lies between."""
+    names = spark.createDataFrame([(f"1argeringbrand{n:05}",) for n in range(0, 100_000, 37)], "name string")
+    met = spelling._by_rests(names, 0.95, True).distinct()
+    every = [r[0] for r in names.collect()]
+    assert met.count() < len(every) * 20
+
+
 def test_near_names_of_parts(spark):
     """The query over the whole small table beside all pairs."""
     from sievework.plans import matching

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from ..session import ship_package
@@ -16,39 +16,26 @@ from ..session import ship_package
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class FirstPlace(StatefulProcessor):
-    """Keeps a key's least place; gives a row when the key is new (fresh) or a lesser place than the one held turns up."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.place = handle.getValueState("place", "place long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:  # noqa: N802
-        least = min(int(r["place"].min()) for r in rows)
-        held = self.place.get() if self.place.exists() else None
-        if held is None or least < held[0]:
-            self.place.update((least,))
-            yield pd.DataFrame({"key": [key[0]], "place": [least], "fresh": [held is None]})
-
-    def close(self) -> None:
-        pass
-
-
-def _combined(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each key of a batch, so that a hot key sends its batches and not its rows."""
+def _in_batch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the number of the batch that they came in, which a repeated try of it has too."""
+    number = int(TaskContext.get().getLocalProperty("streaming.sql.batchId"))  # type: ignore[union-attr, arg-type]
     for rows in batches:
-        yield rows.groupby("key", as_index=False)["place"].min()
+        yield rows.append_column("batch", pa.array([number] * rows.num_rows, pa.int64()))
 
 
 def first_places(stream: DataFrame, key: str, place: str) -> DataFrame:
     """key, place, fresh for each key when it first comes and whenever it turns out to have an earlier place.
 
     Rows without a key or a place are left out; repeated rows and later places give nothing, in the same batch or in
-    any later one. Works on a stream only; a key's state is one number. Needs the state store of STATE_STORE.
+    any later one. Works on a stream only, in update mode, which gives the keys that a batch has: those are new whose
+    least place came in it. A key's state is four numbers.
     """
     ship_package(stream.sparkSession)
     kind = stream.schema[key].dataType.simpleString()
     rows = stream.select(F.col(key).alias("key"), F.col(place).cast("long").alias("place")).where("key IS NOT NULL AND place IS NOT NULL")
-    return rows.mapInPandas(_combined, f"key {kind}, place long").groupBy("key").transformWithStateInPandas(FirstPlace(), f"key {kind}, place long, fresh boolean", "Update", "None")
+    numbered = rows.mapInArrow(_in_batch, f"key {kind}, place long, batch long")
+    held = numbered.groupBy("key").agg(F.min(F.struct("place", "batch")).alias("least"), F.min("batch").alias("first"), F.max("batch").alias("last"))
+    return held.where(F.col("least.batch") == F.col("last")).select("key", F.col("least.place").alias("place"), (F.col("first") == F.col("last")).alias("fresh"))
 
 
 def walk(spark: SparkSession, source: str, schema: StructType, key: str, place: str, target: str, checkpoint: str) -> StreamingQuery:

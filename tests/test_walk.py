@@ -1,6 +1,7 @@
 """The resumable walk: runs over a growing folder give what one run over all of it gives."""
 
 import random
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -47,6 +48,19 @@ def test_runs_in_parts_end_where_one_run_ends(spark, tmp_path):
     assert sum(fresh for _, _, fresh, _ in parts) == len(whole) == len(least) and all(fresh for _, _, fresh, _ in whole)
 
 
+def test_many_keys_are_held_without_a_call_for_each(spark, tmp_path):
+    """Thirty thousand new keys, and again with earlier, later and equal places: a call for each key took minutes."""
+    where, schema = str(tmp_path / "in"), spark.createDataFrame([], SCHEMA).schema
+    rows = spark.range(60_000).selectExpr("cast(id % 30000 as string) AS k", "cast(id % 30000 AS int) AS place", "0D AS v")
+    began = time.time()
+    for n, more in enumerate((rows, rows.selectExpr("k", "place + cast(k AS int) % 3 - 1 AS place", "v"))):
+        more.coalesce(1).write.mode("append").parquet(where)
+        walk(spark, where, schema, "k", "place", str(tmp_path / "w"), str(tmp_path / "w-check")).awaitTermination()
+        told = spark.read.schema("key string, place long, fresh boolean").parquet(f"{tmp_path}/w/batch={n}")
+        assert told.selectExpr("count(*)", "count_if(fresh)", "count_if(place = key - 1 + int(fresh))").first() == ((30_000, 30_000, 30_000), (10_000, 0, 10_000))[n]
+    assert time.time() - began < 40
+
+
 def test_a_batch_tried_again_replaces_what_it_wrote(spark, tmp_path):
     where = str(tmp_path / "in")
     _put(spark, where, [("a", 5, 1.0)])

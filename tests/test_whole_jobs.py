@@ -88,3 +88,37 @@ def test_a_long_text_behind_its_last_head(spark, tmp_path):
     written(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
     began = time.time()
     assert beside_sql(spark, tmp_path, "head_clauses") == "" and time.time() - began < 30
+
+
+def test_nearest_vectors_of_every_kind(spark, tmp_path):
+    """Copies, near copies, and vectors that are null, zero, short, empty or hold a null or no number, beside all pairs multiplied one by one."""
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from sievework.functions import identifiers as N
+    from sievework.operators import features as X
+
+    pick = random.Random(3)
+    some = [[pick.gauss(0, 1) for _ in range(8)] for _ in range(400)]
+    odd = [None, [], [0.0] * 8, [1.0], [1.0] * 7 + [None], [float("nan")] * 8, [float("inf")] + [1.0] * 7, [1.0, 2.0]]
+    near = [[x + pick.choice((0, 1e-9)) for x in some[0]] for _ in range(60)]
+    vectors = [*some, *[some[1]] * 200, *near, *odd, *odd]
+    pick.shuffle(vectors)
+    rows = [*((n, v, 0) for n, v in enumerate(vectors)), (None, some[2], 0), (50, some[1], 0), (650, None, 0), (700, odd[5], 0)]
+    written(spark, tmp_path, "embeddings", rows, "vec_id long, embedding array<double>, label int")
+    unit = spark.read.parquet(f"{tmp_path}/embeddings.parquet").select("vec_id", X.unit("embedding").alias("v"))
+    pairs = unit.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).join(unit, F.col("vec_id") != F.col("query_id"))
+    ranked = pairs.withColumn("score", F.round(N.dot("q", "v"), 9)).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    want = ranked.where("rank <= 3").select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
+    got = plans()["cosine_topk"][0](spark, str(tmp_path))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_nearest_vectors_are_not_multiplied_one_by_one(spark, tmp_path):
+    """Four hundred queries by twenty thousand rows are eight million pairs."""
+    spark.range(20_000).selectExpr("id AS vec_id", "transform(sequence(1, 64), i -> sin(id * i)) AS embedding", "0 AS label").write.parquet(f"{tmp_path}/embeddings.parquet")
+    plan = plans()["cosine_topk"][0](spark, str(tmp_path))
+    began = time.time()
+    assert len(plan.collect()) == 1200 and time.time() - began < 20

@@ -122,3 +122,35 @@ def test_nearest_vectors_are_not_multiplied_one_by_one(spark, tmp_path):
     plan = plans()["cosine_topk"][0](spark, str(tmp_path))
     began = time.time()
     assert len(plan.collect()) == 1200 and time.time() - began < 20
+
+
+def test_names_of_two_words_are_not_sent_to_texts(spark, tmp_path, monkeypatch):
+    """Nearly every two words are a name; before, each text got its names as strings."""
+    import random
+
+    from sievework.operators import dictionary
+
+    monkeypatch.setattr(dictionary, "_filed", None)
+    pick = random.Random(6)
+    words = [f"w{n}" for n in range(60)]
+    odd = ["a b", "A b; e f. e f", "c  d c d", "É a, \u00c9 a", "x_y 1 x_y 1", None, "", " ", "p q p q r", "(p q)", "p\nq", "red bolt red"]
+    rows = [(n, " ".join(pick.choices(words, k=200))) for n in range(100)] + [(200 + n if n else None, t) for n, t in enumerate(odd * 2)] + [(300, "only here only here")]
+    written(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    written(spark, tmp_path, "part", [("P q",), ("red bolt",), (None,)], "p_name string")
+    assert beside_sql(spark, tmp_path, "name_mentions") == ""
+
+
+def test_what_is_repeated_is_as_the_table_of_it(spark, tmp_path, monkeypatch):
+    """Names found beside the mentions, or made a table first; of one word and of three too; in one block and in many."""
+    from sievework.operators import dictionary
+    from sievework.plans import matching
+
+    texts = ["a b. c d a", "A b; e f. e f", "c d e", "x y x y z", "x y", "bolt of red, nut", "a_b c a_b c", "Éa b", "éa b éa b"]
+    rows = [(i, texts[(i * i + j) % len(texts)]) for i in range(5) for j in range(3)] + [(None, "n n"), (None, "n n"), (7, "n n nut")]
+    written(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    written(spark, tmp_path, "part", [("nut",), ("Bolt of red",), ("y z",)], "p_name string")
+    docs, part = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "part"))
+    want = sorted(map(repr, dictionary.find_names(docs, "text", ["doc_id"], matching.repeated_pairs(spark, str(tmp_path)), "name").collect()))
+    for chars in (dictionary.BLOCK_CHARS, 20):
+        monkeypatch.setattr(dictionary, "BLOCK_CHARS", chars)
+        assert sorted(map(repr, dictionary.find_names(docs, "text", ["doc_id"], part, "p_name", repeated="doc_id").collect())) == want and len(want) > 20

@@ -154,3 +154,14 @@ def test_what_is_repeated_is_as_the_table_of_it(spark, tmp_path, monkeypatch):
     for chars in (dictionary.BLOCK_CHARS, 20):
         monkeypatch.setattr(dictionary, "BLOCK_CHARS", chars)
         assert sorted(map(repr, dictionary.find_names(docs, "text", ["doc_id"], part, "p_name", repeated="doc_id").collect())) == want and len(want) > 20
+
+
+def test_repeated_pairs_are_not_made_a_table(spark, tmp_path, monkeypatch):
+    """They are counted where texts meet names; before, all of them were strings that were shuffled, written and filed."""
+    from sievework.plans import matching
+
+    monkeypatch.setattr(matching, "repeated_pairs", None)
+    texts = ["a b. c d a", "A b; e f. e f", "c d e", "x y x y z", "x y, p q", None, "", "e f e f e f"]
+    written(spark, tmp_path, "documents", [(n or None, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    written(spark, tmp_path, "part", [("P q",), (None,)], "p_name string")
+    assert beside_sql(spark, tmp_path, "dictionary_mentions") == ""
